@@ -248,6 +248,36 @@ def psi_from_counts(counts: DataFrame) -> DataFrame:
     )
 
 
+def aligned_shares(
+    df: DataFrame, columns: Sequence[str], is_reference: Column | None = None
+) -> DataFrame:
+    """(column, value, share_ref, share_cur) over the union of values, absent as 0.
+
+    Both sides are counted in one grouping, so nothing has to be joined to align.
+    """
+    side = F.col(IS_REFERENCE) if is_reference is None else is_reference
+    cells = []
+    for c in columns:
+        cells += [F.lit(c), F.col(c).cast("string")]
+    counts = (
+        df.select(
+            side.alias("side__"),
+            F.stack(F.lit(len(columns)), *cells).alias("column", "value"),
+        )
+        .groupBy("column", "value")
+        .agg(F.count_if("side__").alias("n_a"), F.count_if(~F.col("side__")).alias("n_b"))
+    )
+    sizes = counts.groupBy("column").agg(
+        F.sum("n_a").alias("size_a"), F.sum("n_b").alias("size_b")
+    )
+    return counts.join(F.broadcast(sizes), "column").select(  # one row per column
+        "column",
+        "value",
+        F.coalesce(F.try_divide("n_a", "size_a"), F.lit(0.0)).alias("share_ref"),
+        F.coalesce(F.try_divide("n_b", "size_b"), F.lit(0.0)).alias("share_cur"),
+    )
+
+
 # --------------------------------------------------------------------------
 # reports
 # --------------------------------------------------------------------------

@@ -75,11 +75,14 @@ def train_and_test(
     """
     parts = split.stratified_split(df, label, key, test_share)
     path = scratch_path(df.sparkSession, "split")
-    parts.write.partitionBy("is_test").parquet(path)
+    # Partitioned by part, so each side reads only its own files.
+    parts.withColumn("is_test", F.col("is_test").cast("int")).write.partitionBy(
+        "is_test"
+    ).parquet(path)
     kept = df.sparkSession.read.parquet(path)
     return (
-        kept.where(~F.col("is_test")).drop("is_test"),
-        kept.where(F.col("is_test")).drop("is_test"),
+        kept.where(F.col("is_test") == 0).drop("is_test"),
+        kept.where(F.col("is_test") == 1).drop("is_test"),
     )
 
 
@@ -230,9 +233,12 @@ def monitor(
     report = drift.drift_report(paired, skip=skip)
     predictions = scores = None
     if model is not None:
-        scored = models.add_predictions(paired, model).select(
+        # Scored once; the drift measures read two columns of the written table.
+        path = scratch_path(paired.sparkSession, "monitor")
+        models.add_predictions(paired, model).select(
             drift.IS_REFERENCE, PROBABILITY_GOOD
-        )
+        ).write.parquet(path)
+        scored = paired.sparkSession.read.parquet(path)
         predictions = drift.prediction_drift(scored, PROBABILITY_GOOD)
         scores = scored.select(
             F.when(F.col(drift.IS_REFERENCE), "reference").otherwise("current").alias("dataset"),
