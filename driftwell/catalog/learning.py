@@ -217,7 +217,7 @@ def streamed_scores(spark, folder):
     prepared = prep.fit_preprocessor(rows, ["o_totalprice"])
     estimator = models.baseline_models(LABEL)["LogisticRegression"]
     model = models.fit_model(rows, prepared, estimator, LABEL)
-    arrivals = spark.readStream.schema(raw.schema).parquet(f"{folder}/orders.parquet")
+    arrivals = spark.readStream.schema(raw.schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
     path = scratch_path(spark, "scored")
     stream = score_stream(
         arrivals,

@@ -117,15 +117,22 @@ def _schema_sql(source, prefix, columns):
 
 @query(
     "compare_schemas",
-    f"""SELECT coalesce(a."column", b."column") AS "column", a.nn AS non_null_original, a.ty AS dtype_original,
-    a.r AS rows_original, b.nn AS non_null_modified, b.ty AS dtype_modified, b.r AS rows_modified
+    f"""SELECT coalesce(a."column", b."column") AS "column", CAST(a.nn AS DOUBLE) AS non_null_original, a.ty AS dtype_original,
+    CAST(a.r AS DOUBLE) AS rows_original, CAST(b.nn AS DOUBLE) AS non_null_modified, b.ty AS dtype_modified, CAST(b.r AS DOUBLE) AS rows_modified
     FROM ({_schema_sql('customer', 'c_', _CUSTOMER)}) a
     FULL OUTER JOIN ({_schema_sql('supplier', 's_', _SUPPLIER)}) b ON a."column" = b."column" """,
 )
 def compare_schemas(spark, folder):
-    return profile.compare_schemas(
+    out = profile.compare_schemas(
         _side(spark, folder, "customer", "c_"), _side(spark, folder, "supplier", "s_")
     )
+    return _counts_as_double(out, "non_null", "rows")
+
+
+def _counts_as_double(df, *names):
+    """A column of one side only has no counts on the other; doubles carry that alike."""
+    both = [f"{n}_{side}" for n in names for side in ("original", "modified")]
+    return df.withColumns({c: F.col(c).cast("double") for c in both})
 
 
 _STATS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
@@ -134,21 +141,20 @@ _STATS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 @query(
     "compare_describe",
     f"""SELECT coalesce(a."column", b."column") AS "column",
-    {', '.join(f'a."{s}" AS {s}_original' for s in _STATS)},
-    {', '.join(f'b."{s}" AS {s}_modified' for s in _STATS)}
+    {', '.join(f'CAST(a."{s}" AS DOUBLE) AS {s}_original' for s in _STATS)},
+    {', '.join(f'CAST(b."{s}" AS DOUBLE) AS {s}_modified' for s in _STATS)}
     FROM ({_describe_sql('customer', ['c_custkey', 'c_nationkey', 'c_acctbal'], ['custkey', 'nationkey', 'acctbal'])}) a
     FULL OUTER JOIN ({_describe_sql('supplier', ['s_suppkey', 's_nationkey', 's_acctbal'], ['suppkey', 'nationkey', 'acctbal'])}) b
     ON a."column" = b."column" """,
 )
 def compare_describe(spark, folder):
-    return rounded(
-        profile.compare_describe(
-            _side(spark, folder, "customer", "c_"),
-            _side(spark, folder, "supplier", "s_"),
-            ["custkey", "nationkey", "acctbal"],
-            ["suppkey", "nationkey", "acctbal"],
-        )
+    out = profile.compare_describe(
+        _side(spark, folder, "customer", "c_"),
+        _side(spark, folder, "supplier", "s_"),
+        ["custkey", "nationkey", "acctbal"],
+        ["suppkey", "nationkey", "acctbal"],
     )
+    return rounded(_counts_as_double(out, "count"))
 
 
 def _histogram_sql(column, bins=20):

@@ -79,11 +79,11 @@ def perturb_random(spark, folder):
 
 @query(
     "invert_scale",
-    "SELECT l_orderkey, CASE WHEN l_linenumber BETWEEN 1 AND 6 THEN 7 - l_linenumber END AS l_linenumber FROM lineitem",
+    "SELECT l_orderkey, 8 - l_linenumber AS l_linenumber FROM lineitem",
 )
 def invert_scale(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
-    return p.perturb(lines, [p.Invert("l_linenumber", 1, 6)], ["l_orderkey"])
+    return p.perturb(lines, [p.Invert("l_linenumber", 1, 7)], ["l_orderkey"])
 
 
 def _permuted(column):

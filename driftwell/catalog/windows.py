@@ -91,7 +91,8 @@ def stream_windowed_drift(spark, folder):
     events, spec, reference = _parts(spark, folder)
     arrivals = (
         spark.readStream.schema(events.schema)
-        .parquet(f"{folder}/events.parquet")
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     path = scratch_path(spark, "windows")

@@ -69,40 +69,38 @@ class Leaf:
 
 
 def node_table(spark: SparkSession, model) -> DataFrame:
-    """(tree, weight, id, left, right, feature, threshold, value, cover) of an ensemble.
+    """(tree, id, left, right, feature, threshold, categories, value, cover) of an ensemble.
 
     Reads the table that a saved MLlib tree ensemble consists of.
     """
     path = scratch_path(spark, "trees")
     model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    weights = spark.read.parquet(f"{path}/treesMetadata").select("treeID", "weights")
-    return nodes.join(weights, "treeID").select(
+    return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"),
-        F.col("weights").alias("weight"),
         F.col("nodeData.id").alias("id"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         F.col("nodeData.split.numCategories").alias("categories"),
         F.col("nodeData.prediction").alias("value"),
         F.col("nodeData.rawCount").cast("double").alias("cover"),
     )
 
 
-def leaves_of(nodes: DataFrame) -> list[Leaf]:
+def leaves_of(nodes: DataFrame, weights: Sequence[float]) -> list[Leaf]:
     """Walk the node table, whose size the model's settings bound, into leaf paths."""
     trees: dict[int, dict[int, object]] = {}
     for r in nodes.collect():
         trees.setdefault(r["tree"], {})[r["id"]] = r
     out: list[Leaf] = []
-    for tree in trees.values():
+    for number, tree in trees.items():
+        scale = LOG_ODDS_PER_MARGIN * weights[number]
         stack = [(tree[0], {}, {})]
         while stack:
             node, span, kept = stack.pop()
             if node["left"] < 0:
-                out.append(_leaf(LOG_ODDS_PER_MARGIN * node["weight"] * node["value"], span, kept))
+                out.append(_leaf(scale * node["value"], span, kept))
                 continue
             if node["categories"] >= 0:
                 raise ValueError("categorical splits are not supported")
@@ -170,7 +168,7 @@ def tree_attributions(
     so this is one map over the partitions with the leaves sent along.
     """
     spark = prepared.sparkSession
-    leaves = leaves_of(node_table(spark, model))
+    leaves = leaves_of(node_table(spark, model), model.treeWeights)
     base = float(sum(leaf.expected for leaf in leaves))
     shared = spark.sparkContext.broadcast(leaves)
     fields = [prepared.schema[c] for c in keep]
