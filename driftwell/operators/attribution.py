@@ -55,21 +55,23 @@ def permutation_importance(
 
 @dataclass(frozen=True)
 class Leaf:
-    """One path: per feature the interval it must fall in, and what each pattern adds.
+    """One path: per feature the values that stay on it, and what each pattern adds.
 
-    ``table[pattern]`` holds the attribution of every path feature, where bit j of
-    the pattern says whether feature j falls in its interval.
+    A numeric feature stays while low < x <= high, a coded one (``codes`` by path
+    position) while x is listed. ``table[pattern]`` holds the attribution of every
+    path feature, where bit j of the pattern says whether feature j stays.
     """
 
     features: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    codes: dict[int, np.ndarray]
     table: np.ndarray
     expected: float
 
 
 def node_table(spark: SparkSession, model) -> DataFrame:
-    """(tree, id, left, right, feature, threshold, categories, value, cover) of an ensemble.
+    """(tree, id, left, right, feature, left_values, categories, value, cover) of an ensemble.
 
     Reads the table that a saved MLlib tree ensemble consists of.
     """
@@ -81,7 +83,7 @@ def node_table(spark: SparkSession, model) -> DataFrame:
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+        F.col("nodeData.split.leftCategoriesOrThreshold").alias("left_values"),
         F.col("nodeData.split.numCategories").alias("categories"),
         F.col("nodeData.prediction").alias("value"),
         F.col("nodeData.rawCount").cast("double").alias("cover"),
@@ -102,21 +104,26 @@ def leaves_of(nodes: DataFrame, weights: Sequence[float]) -> list[Leaf]:
             if node["left"] < 0:
                 out.append(_leaf(scale * node["value"], span, kept))
                 continue
-            if node["categories"] >= 0:
-                raise ValueError("categorical splits are not supported")
-            f, t = node["feature"], node["threshold"]
-            low, high = span.get(f, (-math.inf, math.inf))
-            for child, interval in (
-                (tree[node["left"]], (low, min(high, t))),
-                (tree[node["right"]], (max(low, t), high)),
-            ):
+            f = node["feature"]
+            for side in ("left", "right"):
+                child = tree[node[side]]
                 share = child["cover"] / node["cover"]
-                stack.append(
-                    (child, {**span, f: interval}, {**kept, f: kept.get(f, 1.0) * share})
-                )
+                stay = _narrowed(span.get(f), node, side == "left")
+                stack.append((child, {**span, f: stay}, {**kept, f: kept.get(f, 1.0) * share}))
     return out
 
 
+def _narrowed(stay, node, left: bool):
+    """Values that stay on the path after one more split on the same feature."""
+    if node["categories"] >= 0:
+        listed = frozenset(node["left_values"])
+        before = stay or frozenset(float(i) for i in range(node["categories"]))
+        return before & listed if left else before - listed
+    low, high = stay or (-math.inf, math.inf)
+    t = node["left_values"][0]
+    return (low, min(high, t)) if left else (max(low, t), high)
+
+
 def _leaf(value: float, span: dict, kept: dict) -> Leaf:
     """Shapley values of one leaf: v(S) = value * prod(in S: hit) * prod(not in S: cover share)."""
     names = list(span)
@@ -138,8 +145,13 @@ def _leaf(value: float, span: dict, kept: dict) -> Leaf:
                         table[pattern, i] += weight * rest * (hit - shares[i]) * value
     return Leaf(
         np.array(names, dtype=np.int64),
-        np.array([span[f][0] for f in names]),
-        np.array([span[f][1] for f in names]),
+        np.array([s[0] if isinstance(s, tuple) else math.nan for s in span.values()]),
+        np.array([s[1] if isinstance(s, tuple) else math.nan for s in span.values()]),
+        {
+            j: np.array(sorted(s))
+            for j, s in enumerate(span.values())
+            if isinstance(s, frozenset)
+        },
         table,
         value * math.prod(shares),
     )
@@ -153,6 +165,8 @@ def attribute(matrix: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
             continue
         x = matrix[:, leaf.features]
         hits = (x > leaf.low) & (x <= leaf.high)
+        for j, codes in leaf.codes.items():
+            hits[:, j] = np.isin(x[:, j], codes)
         pattern = hits @ (1 << np.arange(len(leaf.features)))
         out[:, leaf.features] += leaf.table[pattern]
     return out
