@@ -114,17 +114,17 @@ def ks_two_sample(
     side = F.col(IS_REFERENCE) if is_reference is None else is_reference
     numeric, _ = split_columns(df.select(*columns))
     facts = pair_facts(df, numeric, side)
-    walked = pair_walk(pair_counts(df, numeric, side, facts), facts)
-    tested = walked.select("column", "n_a", "n_b", "d")
-    other = [c for c in columns if c not in numeric]
-    missing = [c for c in numeric if facts.n_a[c] + facts.n_b[c] == 0]
-    if other or missing:
-        blanks = [(c, 0, 0, 0.0) for c in [*other, *missing]]
-        tested = tested.unionByName(
-            df.sparkSession.createDataFrame(
-                blanks, "column string, n_a long, n_b long, d double"
-            )
-        )
+    walked = numeric if facts.rows_a + facts.rows_b else []
+    blanks = df.sparkSession.createDataFrame(
+        [(c, 0, 0, 0.0) for c in columns if c not in walked],
+        "column string, n_a long, n_b long, d double",
+    )
+    tested = blanks
+    if walked:
+        counts = pair_counts(df, numeric, side, facts)
+        tested = pair_walk(counts, facts).select("column", "n_a", "n_b", "d")
+        if len(walked) < len(columns):
+            tested = tested.unionByName(blanks)
     return ks_p_value(tested, p_method).select(
         "column",
         F.col("n_a").alias("n_ref"),
