@@ -79,16 +79,30 @@ def baseline_models(label: str, forest_trees: int = FOREST_TREES) -> dict[str, o
     }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a table that has fewer partitions than the cluster has cores.
+
+    Training passes over its rows many times; a table of one file would otherwise
+    keep one core busy. Larger tables are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_model(train: DataFrame, prep: PipelineModel, estimator, label: str) -> PipelineModel:
     """Preparation and classifier as one fitted pipeline."""
     use_shared_checkpoints(train.sparkSession)
     ready = prep.transform(train.where(F.col(label).isNotNull()))
     if estimator.hasParam("weightCol") and estimator.isDefined("weightCol"):
         ready = balanced_weights(ready, label)
-    model = estimator.fit(ready)
+    model = estimator.fit(spread(ready.select(*_training_columns(ready, label))))
     return PipelineModel([*prep.stages, model])
 
 
+def _training_columns(ready: DataFrame, label: str) -> list[str]:
+    return [c for c in (label, FEATURES, WEIGHT) if c in ready.columns]
+
+
 def grid_search(
     train: DataFrame,
     prep: PipelineModel,
@@ -121,7 +135,8 @@ def grid_search(
         parallelism=parallelism,
         seed=SEED,
     )
-    found = search.fit(prep.transform(folded))
+    ready = prep.transform(folded).select(label, FEATURES, WEIGHT, "fold")
+    found = search.fit(spread(ready))
     return PipelineModel([*prep.stages, found.bestModel]), found
 
 

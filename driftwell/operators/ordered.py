@@ -2,9 +2,9 @@
 
 Two building blocks:
 
-* ``rank_values`` / ``quantiles``: exact order statistics. A sketch gives brackets
-  around each wanted rank, counting makes the brackets certain, and only the rows
-  inside a (small, checked) bracket are counted by value and walked.
+* ``rank_values`` / ``quantiles``: exact order statistics. A sample suggests a bracket
+  around each wanted rank, counting all rows makes the bracket certain, and only the
+  rows inside a (small, checked) bracket are counted by value and walked.
 * ``pair_walk`` / ``running_counts``: running counts of two samples. Rows are first
   collapsed to counts per distinct value (map-side combined, so a hot value is one
   row), the values are cut into ranges, each range is walked on its own, and the
@@ -25,10 +25,15 @@ from driftwell.functions import no_nan
 from driftwell.session import range_buckets
 
 # A bracket with at most this many distinct values may be walked by one task.
-WALK_LIMIT = 1_000_000
+WALK_LIMIT = 5_000_000
 # approx_count_distinct is within a few percent; this margin makes the check safe.
 DISTINCT_MARGIN = 1.25
 SKETCH_ACCURACY = 10_000
+# Rows a bracket is guessed from. It bounds what the sketches of all tasks together
+# send to their one merging task; a wrong guess costs a round, never a result.
+GUESS_ROWS = 10_000_000
+# A guess reaches this many standard errors of the sample to each side.
+GUESS_ERRORS = 6
 
 
 # --------------------------------------------------------------------------
@@ -90,21 +95,27 @@ def rank_values(
     wanted: Mapping[str, tuple[Column, Iterable[int]]],
     facts: Mapping[str, ColumnFacts] | None = None,
     walk_limit: int = WALK_LIMIT,
+    guesses: Mapping[str, Mapping[int, tuple[float, float]]] | None = None,
 ) -> dict[str, dict[int, float]]:
     """The k-th smallest non-missing values (1-based), exactly, as Python floats.
 
-    Ranks outside 1..n are left out of the result.
+    Ranks outside 1..n are left out of the result. ``guesses`` gives an interval that
+    is likely to hold a rank's value, for columns of known distribution.
     """
     columns = {name: c for name, (c, _) in wanted.items()}
     if facts is None:
         facts = column_facts(df, columns)
     found: dict[str, dict[int, float]] = {name: {} for name in wanted}
     brackets: list[_Bracket] = []
+    guessed: list[tuple[_Bracket, int, float, float]] = []
     for name, (_, ranks) in wanted.items():
         known = facts[name]
         inner = []
         for k in sorted(set(ranks)):
-            if k == 1 and known.n:
+            if guesses and k in guesses.get(name, {}) and 1 <= k <= known.n:
+                whole = _Bracket(name, [k], known.lo, known.hi, 0, known.n, known.distinct)
+                guessed.append((whole, k, *guesses[name][k]))
+            elif k == 1 and known.n:
                 found[name][k] = known.lo
             elif k == known.n and known.n:
                 found[name][k] = known.hi
@@ -116,6 +127,8 @@ def rank_values(
             )
 
     view = _numeric_view(df, columns)
+    if guessed:
+        brackets += _certify(view, guessed)
     small, large = _by_size(brackets, walk_limit)
     while large:
         small_again, large = _by_size(_narrow(view, large), walk_limit)
@@ -133,31 +146,44 @@ def _by_size(brackets: list[_Bracket], limit: int):
 
 
 def _narrow(view: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
-    """One small bracket per rank: sketch bounds, then counts that make them certain.
+    """One smaller bracket per rank, guessed from a sample and made certain by counts.
 
-    Two passes whatever the number of columns and ranks; each round shrinks a
-    bracket to a few parts in SKETCH_ACCURACY, so two rounds do for 10^12 rows.
+    Two passes whatever the number of columns and ranks; each round leaves about a
+    thousandth of the rows inside, so two or three rounds do for 10^12 rows.
     """
-    slack = 2 / SKETCH_ACCURACY
+    picked = view.withColumn("pick__", F.rand(11))
     sketches = []
     for i, b in enumerate(brackets):
+        sampled = min(b.size, GUESS_ROWS)
+        slack = 2 / SKETCH_ACCURACY + GUESS_ERRORS * 0.5 / math.sqrt(sampled)
         points = []
         for k in b.ranks:
             share = (k - b.below) / b.size
             points += [max(0.0, share - slack), min(1.0, share + slack)]
         listed = ", ".join(f"{p!r}D" for p in points)
+        value = _inside(b)
+        if b.size > GUESS_ROWS:
+            value = F.when(F.col("pick__") < GUESS_ROWS / b.size, value)
         sketches.append(
             F.percentile_approx(
-                _inside(b), F.expr(f"array({listed})"), F.lit(SKETCH_ACCURACY)
+                value, F.expr(f"array({listed})"), F.lit(SKETCH_ACCURACY)
             ).alias(f"p{i}")
         )
-    row = view.agg(*sketches).first()
-    parts = [
-        (b, k, row[f"p{i}"][2 * j], row[f"p{i}"][2 * j + 1])
-        for i, b in enumerate(brackets)
-        for j, k in enumerate(b.ranks)
-    ]
+    row = picked.agg(*sketches).first()
+    return _certify(
+        view,
+        [
+            (b, k, row[f"p{i}"][2 * j], row[f"p{i}"][2 * j + 1])
+            for i, b in enumerate(brackets)
+            for j, k in enumerate(b.ranks)
+        ],
+    )
+
 
+def _certify(
+    view: DataFrame, parts: list[tuple[_Bracket, int, float, float]]
+) -> list[_Bracket]:
+    """Count what lies below and inside each guessed interval (bracket, rank, lo, hi)."""
     aggs = []
     for i, (b, _, lo, hi) in enumerate(parts):
         c = F.col(_q(b.name))
@@ -282,9 +308,11 @@ def quantiles(
 # --------------------------------------------------------------------------
 
 
-# Share of the rows the range cuts are drawn from. Cuts only say where the work is
-# divided; every row is counted whatever they are.
-CUT_SAMPLE = 0.05
+# Sampled rows per value range that the range cuts are drawn from. Cuts only say
+# where the work is divided; every row is counted whatever they are.
+CUT_ROWS = 200
+# Up to this many rows one range does.
+ONE_RANGE_ROWS = 20_000
 # Ranges below zero hold what has no place in the order.
 MISSING_RANGE = -1
 
@@ -308,31 +336,36 @@ def pair_facts(
     is_a: Column,
     buckets: int | None = None,
 ) -> PairFacts:
-    """One pass: sample sizes, and cuts that balance rows over value ranges."""
+    """Sample sizes by one counting pass, then cuts that balance rows over ranges.
+
+    The cuts come from a sample of a size fixed by the number of ranges, so the task
+    that merges the sketches gets the same little whatever the size of the table.
+    """
     buckets = buckets or range_buckets(df.sparkSession)
     view = df.select(
-        is_a.alias("is_a__"),
-        (F.rand(7) < CUT_SAMPLE).alias("pick__"),
-        *[no_nan(F.col(_q(c))).alias(c) for c in columns],
+        is_a.alias("is_a__"), *[no_nan(F.col(_q(c))).alias(c) for c in columns]
     )
     aggs = [F.count_if("is_a__").alias("rows_a"), F.count_if(~F.col("is_a__")).alias("rows_b")]
-    points = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    accuracy = max(SKETCH_ACCURACY // 10, 20 * buckets)
     for c in columns:
         value = F.col(_q(c))
         aggs.append(F.count(F.when(F.col("is_a__"), value)).alias(f"{c}__a"))
         aggs.append(F.count(F.when(~F.col("is_a__"), value)).alias(f"{c}__b"))
-        if points:
-            aggs.append(
-                F.percentile_approx(
-                    F.when(F.col("pick__"), value), F.expr(f"array({points})"), F.lit(accuracy)
-                ).alias(f"{c}__cuts")
-            )
     row = view.agg(*aggs).first()
-    cuts = {}
-    for c in columns:
-        sketched = (row[f"{c}__cuts"] or []) if points else []
-        cuts[c] = sorted({v for v in sketched if math.isfinite(v)})
+    rows = row["rows_a"] + row["rows_b"]
+    cuts: dict[str, list[float]] = {c: [] for c in columns}
+    if columns and buckets > 1 and rows > ONE_RANGE_ROWS:
+        share = min(1.0, CUT_ROWS * buckets / rows)
+        points = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+        sampled = view.where(F.rand(7) < share).agg(
+            *[
+                F.percentile_approx(
+                    F.col(_q(c)), F.expr(f"array({points})"), F.lit(SKETCH_ACCURACY)
+                ).alias(c)
+                for c in columns
+            ]
+        ).first()
+        for c in columns:
+            cuts[c] = sorted({v for v in sampled[c] or [] if math.isfinite(v)})
     return PairFacts(
         list(columns),
         cuts,

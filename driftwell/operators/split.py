@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions import keyed_uniform, no_nan
-from driftwell.operators.ordered import column_facts, rank_values
+from driftwell.operators.ordered import ColumnFacts, column_facts, rank_values
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -73,7 +73,7 @@ def stratified_split(
     rows = sum(sizes.values())
     train = allocate(sizes, rows - math.ceil(test_share * rows))
     quota = {k: n - train[k] for k, n in sizes.items()}
-    return _cut_classes(df, label, key, {k: [q] for k, q in quota.items()}, salt).select(
+    return _cut_classes(df, label, key, sizes, {k: [q] for k, q in quota.items()}, salt).select(
         *df.columns, (F.col("part__") == 0).alias("is_test")
     )
 
@@ -87,17 +87,18 @@ def stratified_folds(
     name: str = "fold",
 ) -> DataFrame:
     """Add a fold number 0..folds-1; within each class fold sizes differ by at most 1."""
+    sizes = class_sizes(df, label)
     cuts = {
         k: [sum(n // folds + (i < n % folds) for i in range(j + 1)) for j in range(folds - 1)]
-        for k, n in class_sizes(df, label).items()
+        for k, n in sizes.items()
     }
-    return _cut_classes(df, label, key, cuts, salt).select(
+    return _cut_classes(df, label, key, sizes, cuts, salt).select(
         *df.columns, F.col("part__").alias(name)
     )
 
 
-def _cut_classes(df, label, key, cuts, salt) -> DataFrame:
-    """Number the parts of each class by the ranks of a keyed draw.
+def _cut_classes(df, label, key, rows_of, cuts, salt) -> DataFrame:
+    """Number the parts of each class (``rows_of`` it) by the ranks of a keyed draw.
 
     The draws at the cut ranks are found as order statistics, one conditional
     column per class; then every row compares its own draw.
@@ -109,7 +110,17 @@ def _cut_classes(df, label, key, cuts, salt) -> DataFrame:
         f"c{i}": (F.when(same[k], F.col("draw__")), [r for r in cuts[k] if r >= 1])
         for i, k in enumerate(classes)
     }
-    found = rank_values(drawn, wanted)
+    sizes = {f"c{i}": n for i, n in enumerate(rows_of[k] for k in classes)}
+    facts = {c: ColumnFacts(n, n, n, 0.0, 1.0) for c, n in sizes.items()}
+    # A draw's rank is near its share; twelve standard errors make a sure bracket.
+    guesses = {
+        c: {
+            r: (r / sizes[c] - 6 / math.sqrt(sizes[c]), r / sizes[c] + 6 / math.sqrt(sizes[c]))
+            for r in ranks
+        }
+        for c, (_, ranks) in wanted.items()
+    }
+    found = rank_values(drawn, wanted, facts, guesses=guesses)
     part = None
     for i, k in enumerate(classes):
         place: Column = F.lit(0)
