@@ -170,8 +170,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_a, column_b, r) for every ordered pair, pairwise complete, one pass."""
     view = df.select(*[no_nan(F.col(c)).alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    # From the sums of squares, as `corr` itself fails on a constant column.
     wide = view.agg(
-        *[F.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)],
+        *[
+            F.try_divide(
+                F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
+            ).alias(f"r{k}")
+            for k, (a, b) in enumerate(pairs)
+        ],
         *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(columns)],
     )
     cells: list[Column] = []
