@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwell.functions import chi_square_p, normal_two_sided_p
@@ -45,33 +45,33 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], label: str, with_p: bool
 def chi_square(df: DataFrame, columns: Sequence[str], label: str, with_p: bool = True) -> DataFrame:
     """(column, chi2, dof[, p_value]) of independence; 2 x 2 tables get Yates' correction.
 
-    Works on the contingency counts: margins join back by column and value (many
-    keys) and by column and label (few rows, sent to every task).
+    Works on the contingency counts. The total of a value comes from its own few cells;
+    the totals per label are joined, by whichever join their size allows.
     """
     cells = crosstab(df, columns, label).select("column", "value", "label", "n")
-    by_value = cells.groupBy("column", "value").agg(F.sum("n").alias("row_n"))
     by_label = cells.groupBy("column", "label").agg(F.sum("n").alias("col_n"))
     sizes = by_label.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_labels"), F.sum("col_n").alias("total")
     )
+    one_value = Window.partitionBy("column", "value")
     expected = F.col("row_n") * F.col("col_n") / F.col("total")
     off = F.col("n") - expected
-    per_column = (
-        cells.join(by_value, ["column", "value"])
-        .join(F.broadcast(by_label), ["column", "label"])
-        .join(F.broadcast(sizes), "column")
+    joined = (
+        cells.withColumn("row_n", F.sum("n").over(one_value))
+        .withColumn("first", F.row_number().over(one_value.orderBy("label")) == 1)
+        .join(by_label, ["column", "label"])
+        .join(F.broadcast(sizes), "column")  # one row per column
         .groupBy("column", "n_labels", "total")
         .agg(
             F.sum(off * off / expected).alias("present_part"),
             F.sum(expected).alias("present_e"),
             F.count(F.lit(1)).alias("present"),
+            F.count_if("first").alias("n_values"),
             F.max(F.abs(off)).alias("gap"),
             F.min("row_n").alias("row_lo"),
             F.min("col_n").alias("col_lo"),
         )
     )
-    values = by_value.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-    joined = per_column.join(F.broadcast(values), "column")
     dof = (F.col("n_values") - 1) * (F.col("n_labels") - 1)
     # An absent cell has O = 0 and adds its E; all E together make the total.
     absent_part = F.when(

@@ -552,7 +552,7 @@ def running_counts(
         (F.row_number().over(order) == 1).alias("first_range"),
     )
     return (
-        counts.join(F.broadcast(offsets), "range")
+        counts.join(F.broadcast(offsets), "range", "left")
         .withColumn("run_a", F.col("before_a") + F.sum("n_a").over(upto))
         .withColumn("run_b", F.col("before_b") + F.sum("n_b").over(upto))
         .withColumn(
@@ -582,7 +582,7 @@ def dense_index(df: DataFrame, draw: str, ties: Sequence[str], index: str, bucke
     )
     within = Window.partitionBy("slice__").orderBy(draw, *ties)
     return (
-        sliced.join(F.broadcast(offsets), "slice__")
+        sliced.join(F.broadcast(offsets), "slice__", "left")
         .withColumn(index, F.col("before__") + F.row_number().over(within))
         .drop("slice__", "before__")
     )
