@@ -23,6 +23,10 @@ from driftwell.session import scratch_path
 LOG_ODDS_PER_MARGIN = 2.0
 # A path over m features has 2^m on/off patterns; deeper trees are refused.
 MAX_PATH_FEATURES = 10
+# What goes to every task: an ensemble of at most this many nodes, and at most this
+# many table cells (160 MB).
+MAX_NODES = 1_000_000
+MAX_CELLS = 20_000_000
 
 
 def permutation_importance(
@@ -92,10 +96,14 @@ def node_table(spark: SparkSession, model) -> DataFrame:
 
 def leaves_of(nodes: DataFrame, weights: Sequence[float]) -> list[Leaf]:
     """Walk the node table, whose size the model's settings bound, into leaf paths."""
+    rows = nodes.limit(MAX_NODES + 1).collect()
+    if len(rows) > MAX_NODES:
+        raise ValueError(f"the ensemble has more than {MAX_NODES} nodes")
     trees: dict[int, dict[int, object]] = {}
-    for r in nodes.collect():
+    for r in rows:
         trees.setdefault(r["tree"], {})[r["id"]] = r
     out: list[Leaf] = []
+    cells = 0
     for number, tree in trees.items():
         scale = LOG_ODDS_PER_MARGIN * weights[number]
         stack = [(tree[0], {}, {})]
@@ -103,6 +111,9 @@ def leaves_of(nodes: DataFrame, weights: Sequence[float]) -> list[Leaf]:
             node, span, kept = stack.pop()
             if node["left"] < 0:
                 out.append(_leaf(scale * node["value"], span, kept))
+                cells += out[-1].table.size
+                if cells > MAX_CELLS:
+                    raise ValueError("the trees are too deep to attribute row by row")
                 continue
             f = node["feature"]
             for side in ("left", "right"):

@@ -206,31 +206,38 @@ def psi(
         else {}
     )
     cut = {c for c in cut if len(edges[c]) >= 2}
-    cells = []
-    for c in columns:
+    numbers, texts = [], []
+    for i, c in enumerate(columns):
         if c in cut:
-            label = bin_right_closed(no_nan(F.col(c)), edges[c], widen_edges).cast("string")
+            numbers += [F.lit(i), bin_right_closed(no_nan(F.col(c)), edges[c], widen_edges).cast("double")]
         elif c in numeric:
-            label = no_nan(F.col(c)).cast("string")
+            numbers += [F.lit(i), no_nan(F.col(c))]
         else:
-            label = F.col(c).cast("string")
-        cells += [F.lit(c), label]
-    counts = (
+            texts += [F.lit(i), F.col(c).cast("string")]
+    parts = [
+        side_counts(df, side, cells).select("column", "n_a", "n_b")
+        for cells in (numbers, texts)
+        if cells
+    ]
+    counts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    names = F.create_map(*[F.lit(x) for pair_ in enumerate(columns) for x in pair_])
+    return psi_from_counts(counts).withColumn("column", names[F.col("column")])
+
+
+def side_counts(df: DataFrame, side: Column, cells: Sequence[Column]) -> DataFrame:
+    """(column, value, n_a, n_b) from (column, value) cell pairs of one value type."""
+    return (
         df.select(
             side.alias("side__"),
-            F.stack(F.lit(len(columns)), *cells).alias("column", "label"),
-        )
-        .groupBy("column", "label")
-        .agg(
-            F.count_if("side__").alias("n_a"),
-            F.count_if(~F.col("side__")).alias("n_b"),
+            F.stack(F.lit(len(cells) // 2), *cells).alias("column", "value"),
         )
+        .groupBy("column", "value")
+        .agg(F.count_if("side__").alias("n_a"), F.count_if(~F.col("side__")).alias("n_b"))
     )
-    return psi_from_counts(counts)
 
 
 def psi_from_counts(counts: DataFrame) -> DataFrame:
-    """PSI per column from (column, label, n_a, n_b).
+    """PSI per column from (column, n_a, n_b), one row per value or bin.
 
     Two aggregations, both map-side combined: sizes per column, then the sum. A bin
     empty on both sides adds nothing, as both shares become EMPTY_SHARE.
@@ -259,14 +266,7 @@ def aligned_shares(
     cells = []
     for c in columns:
         cells += [F.lit(c), F.col(c).cast("string")]
-    counts = (
-        df.select(
-            side.alias("side__"),
-            F.stack(F.lit(len(columns)), *cells).alias("column", "value"),
-        )
-        .groupBy("column", "value")
-        .agg(F.count_if("side__").alias("n_a"), F.count_if(~F.col("side__")).alias("n_b"))
-    )
+    counts = side_counts(df, side, cells)
     sizes = counts.groupBy("column").agg(
         F.sum("n_a").alias("size_a"), F.sum("n_b").alias("size_b")
     )
@@ -305,13 +305,34 @@ def drift_report(
     names = [c for c in names if c not in skip]
     numeric, text = split_columns(df.select(*names))
     facts = pair_facts(df, numeric, side, buckets)
-    counts = pair_counts(df, numeric, side, facts, text)
     stability = psi_term(
         F.col("n_a") / F.col("rows_a"), F.col("n_b") / F.col("rows_b")
     )
-    walked = pair_walk(counts, facts, text, stability).select(
-        "column", "n_a", "n_b", "d", F.col("term").alias("psi"), "distinct_a"
-    )
+    parts = []
+    if numeric:
+        counts = pair_counts(df, numeric, side, facts)
+        walked = pair_walk(counts, facts, stability)
+        parts.append(
+            walked.select("column", "n_a", "n_b", "d", F.col("term").alias("psi"), "distinct_a")
+        )
+    if text:
+        cells = [x for c in text for x in (F.lit(c), F.col(c).cast("string"))]
+        rows = F.lit(float(facts.rows_a)), F.lit(float(facts.rows_b))
+        parts.append(
+            side_counts(df, side, cells)
+            .withColumns({"rows_a": rows[0], "rows_b": rows[1]})
+            .groupBy("column")
+            .agg(F.sum(stability).alias("psi"), F.count_if(F.col("n_a") > 0).alias("distinct_a"))
+            .select(
+                "column",
+                F.lit(0).cast("long").alias("n_a"),
+                F.lit(0).cast("long").alias("n_b"),
+                F.lit(None).cast("double").alias("d"),
+                "psi",
+                "distinct_a",
+            )
+        )
+    walked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     is_numeric = F.col("column").isin(numeric) if numeric else F.lit(False)
     by_ks = is_numeric if rule == "dtype" else is_numeric & (F.col("distinct_a") > CONTINUOUS_ABOVE)
     return (

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from driftwell.functions import no_nan
 from driftwell.session import range_buckets
 
-# A bracket with at most this many distinct values may be walked by one task.
-WALK_LIMIT = 5_000_000
+# A bracket with at most this many distinct values may be walked by one task. Above
+# it, narrowing is not only safer but faster, as its passes use every core.
+WALK_LIMIT = 200_000
 # approx_count_distinct is within a few percent; this margin makes the check safe.
 DISTINCT_MARGIN = 1.25
 SKETCH_ACCURACY = 10_000
@@ -313,8 +314,6 @@ def quantiles(
 CUT_ROWS = 200
 # Up to this many rows one range does.
 ONE_RANGE_ROWS = 20_000
-# Ranges below zero hold what has no place in the order.
-MISSING_RANGE = -1
 
 
 @dataclass(frozen=True)
@@ -329,6 +328,10 @@ class PairFacts:
     rows_b: int
     buckets: int
 
+    @property
+    def slots(self) -> int:
+        return self.buckets + 1
+
 
 def pair_facts(
     df: DataFrame,
@@ -401,38 +404,23 @@ def value_ranges(df: DataFrame, cuts: Mapping[str, list[float]], suffix: str = "
 
 
 def pair_counts(
-    df: DataFrame,
-    numeric: Sequence[str],
-    is_a: Column,
-    facts: PairFacts,
-    text: Sequence[str] = (),
+    df: DataFrame, columns: Sequence[str], is_a: Column, facts: PairFacts
 ) -> DataFrame:
-    """(column, range, value, label) -> rows of sample a and of sample b.
+    """(slot, value) -> rows of sample a and of sample b, one row per distinct value.
 
-    ``column`` is the position in ``[*numeric, *text]``. Numeric columns fill
-    ``value``, text columns ``label``; a missing value is a row of its own. All
-    columns are counted in one shuffle, after map-side combining.
+    A slot is a range of one column: column position * (ranges + 1) + range + 1, with
+    range + 1 = 0 for missing values. All columns are counted in one shuffle of narrow
+    rows, after map-side combining.
     """
-    base = df.select(
-        is_a.alias("is_a__"),
-        *[no_nan(F.col(_q(c))).alias(c) for c in numeric],
-        *[F.col(_q(c)).cast("string").alias(c) for c in text],
-    )
-    ranged = value_ranges(base, {c: facts.cuts[c] for c in numeric})
+    base = df.select(is_a.alias("is_a__"), *[no_nan(F.col(_q(c))).alias(c) for c in columns])
+    ranged = value_ranges(base, {c: facts.cuts[c] for c in columns})
     cells: list[Column] = []
-    for i, c in enumerate(numeric):
-        place = F.coalesce(F.col(_q(c + "__range")), F.lit(MISSING_RANGE))
-        cells += [F.lit(i), place, F.col(_q(c))]
-        cells += [F.lit(None).cast("string")] if text else []
-    for i, c in enumerate(text, start=len(numeric)):
-        place = MISSING_RANGE - 1 - F.pmod(F.hash(_q(c)), F.lit(facts.buckets))
-        cells += [F.lit(i), place, F.lit(None).cast("double"), F.col(_q(c))]
-    keys = ["column", "range", "value"] + (["label"] if text else [])
+    for i, c in enumerate(columns):
+        place = F.coalesce(F.col(_q(c + "__range")) + 1, F.lit(0))
+        cells += [F.lit(i * facts.slots) + place, F.col(_q(c))]
     return (
-        ranged.select(
-            "is_a__", F.stack(F.lit(len(numeric) + len(text)), *cells).alias(*keys)
-        )
-        .groupBy(*keys)
+        ranged.select("is_a__", F.stack(F.lit(len(columns)), *cells).alias("slot", "value"))
+        .groupBy("slot", "value")
         .agg(
             F.count_if("is_a__").alias("n_a"),
             F.count_if(~F.col("is_a__")).alias("n_b"),
@@ -440,9 +428,7 @@ def pair_counts(
     )
 
 
-def pair_walk(
-    counts: DataFrame, facts: PairFacts, text: Sequence[str] = (), term: Column | None = None
-) -> DataFrame:
+def pair_walk(counts: DataFrame, facts: PairFacts, term: Column | None = None) -> DataFrame:
     """Per column: sizes, D, pairs where a is above b, tie term, distinct values.
 
     Each range is walked alone; a range then contributes its totals and the local
@@ -454,29 +440,31 @@ def pair_walk(
     spark = counts.sparkSession
     sizes = spark.createDataFrame(
         [
-            (i, c, int(facts.n_a.get(c, 0)), int(facts.n_b.get(c, 0)), facts.rows_a, facts.rows_b)
-            for i, c in enumerate([*facts.names, *text])
+            (i, c, int(facts.n_a[c]), int(facts.n_b[c]), facts.rows_a, facts.rows_b)
+            for i, c in enumerate(facts.names)
         ],
         "id int, name string, size_a long, size_b long, rows_a long, rows_b long",
     )
     walk = (
-        Window.partitionBy("column", "range")
+        Window.partitionBy("slot")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ordered = F.col("range") > MISSING_RANGE
+    ordered = F.col("slot") % facts.slots > 0
+    column = F.floor(F.col("slot") / facts.slots).cast("int")
     local = (
         counts.withColumn("run_a", F.sum("n_a").over(walk))
         .withColumn("run_b", F.sum("n_b").over(walk))
-        .join(F.broadcast(sizes), F.col("column") == F.col("id"))  # one row per column
+        .join(F.broadcast(sizes), column == F.col("id"), "left")  # one row per column
     )
     gap = F.when(ordered, _share("run_a", "size_a") - _share("run_b", "size_b"))
     ties = (F.col("n_a") + F.col("n_b")).cast("double")
     above = F.col("n_a").cast("double") * (
         F.col("run_b") - F.col("n_b") + F.col("n_b") / F.lit(2.0)
     )
-    ranges = local.groupBy("column", "range").agg(
-        F.first("name").alias("name"),
+    ranges = local.groupBy("slot").agg(
+        F.first("id").alias("id"),
+        F.first("name").alias("column"),
         F.first("size_a").alias("size_a"),
         F.first("size_b").alias("size_b"),
         F.coalesce(F.sum(F.when(ordered, F.col("n_a"))), F.lit(0)).alias("a"),
@@ -490,8 +478,8 @@ def pair_walk(
         F.sum(term if term is not None else F.lit(None).cast("double")).alias("term"),
     )
     before = (
-        Window.partitionBy("column")
-        .orderBy("range")
+        Window.partitionBy("id")
+        .orderBy("slot")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     shifted = ranges.withColumn(
@@ -500,9 +488,9 @@ def pair_walk(
     shift = _share("a_before", "size_a") - _share("b_before", "size_b")
     return (
         shifted.withColumn("shift", shift)
-        .groupBy("column")
+        .groupBy("id")
         .agg(
-            F.first("name").alias("name"),
+            F.first("column").alias("column"),
             F.first("size_a").alias("n_a"),
             F.first("size_b").alias("n_b"),
             F.greatest(
@@ -515,8 +503,7 @@ def pair_walk(
             F.sum("distinct_b").alias("distinct_b"),
             F.sum("term").alias("term"),
         )
-        .drop("column")
-        .withColumnRenamed("name", "column")
+        .drop("id")
     )
 
 

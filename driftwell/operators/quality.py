@@ -127,7 +127,8 @@ def _score_counts(df: DataFrame, label: str, score: str) -> tuple[DataFrame, Pai
     rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull())
     is_one = F.col(label) == 1
     facts = pair_facts(rows, [score], is_one)
-    return pair_counts(rows, [score], is_one, facts).drop("column"), facts
+    counts = pair_counts(rows, [score], is_one, facts)
+    return counts.withColumnRenamed("slot", "range"), facts
 
 
 def roc_points(df: DataFrame, label: str, score: str, drop_collinear: bool = True) -> DataFrame:

@@ -104,7 +104,7 @@ def test_hot_value_is_one_row_of_the_walk(spark):
     facts = pair_facts(df, ["x"], F.col("side"), 8)
     counts = pair_counts(df, ["x"], F.col("side"), facts)
     assert counts.where("value = 5.0").count() == 1
-    widest = counts.groupBy("range").count().agg(F.max("count")).first()[0]
+    widest = counts.groupBy("slot").count().agg(F.max("count")).first()[0]
     assert widest < counts.count() / 3
 
 
