@@ -326,11 +326,11 @@ class PairFacts:
     n_b: dict[str, int]
     rows_a: int
     rows_b: int
-    buckets: int
 
     @property
     def slots(self) -> int:
-        return self.buckets + 1
+        """Slots per column: the ranges of the most finely cut one, and the missing."""
+        return max((len(v) for v in self.cuts.values()), default=0) + 2
 
 
 def pair_facts(
@@ -376,7 +376,6 @@ def pair_facts(
         {c: row[f"{c}__b"] for c in columns},
         row["rows_a"],
         row["rows_b"],
-        buckets,
     )
 
 
@@ -408,8 +407,8 @@ def pair_counts(
 ) -> DataFrame:
     """(slot, value) -> rows of sample a and of sample b, one row per distinct value.
 
-    A slot is a range of one column: column position * (ranges + 1) + range + 1, with
-    range + 1 = 0 for missing values. All columns are counted in one shuffle of narrow
+    A slot is a range of one column: column position * slots + range + 1, and
+    column position * slots for missing values. All columns are counted in one shuffle of narrow
     rows, after map-side combining.
     """
     base = df.select(is_a.alias("is_a__"), *[no_nan(F.col(_q(c))).alias(c) for c in columns])
