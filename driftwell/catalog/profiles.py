@@ -368,3 +368,15 @@ def stack_scores(spark, folder):
         table(spark, folder, "supplier").withColumnRenamed("s_acctbal", "score"),
         "score",
     )
+
+
+@query(
+    "first_rows",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+    ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice LIMIT 10""",
+)
+def first_rows(spark, folder):
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"
+    )
+    return profile.first_rows(lines, lines.columns, 10)

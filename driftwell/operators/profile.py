@@ -294,6 +294,11 @@ def _type_of(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
 
 
+def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first n rows by an order that decides ties; each task keeps only n rows."""
+    return df.orderBy(*order).limit(n)
+
+
 def unpivot_scores(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
     """Score columns to (dataset, probability) rows: {score column: dataset name}."""
     cells: list[Column] = []
