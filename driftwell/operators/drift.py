@@ -19,6 +19,7 @@ from driftwell.functions import (
     no_nan,
 )
 from driftwell.operators.ordered import (
+    ColumnFacts,
     column_facts,
     pair_counts,
     pair_facts,
@@ -145,27 +146,29 @@ def decile_edges(
     columns: Mapping[str, Column],
     bins: int = 10,
     rows: Column | None = None,
+    facts: Mapping[str, ColumnFacts] | None = None,
 ) -> dict[str, list[float]]:
     """Equal-frequency edges (interpolated quantiles, duplicates removed)."""
     picked = {
         name: (F.when(rows, c) if rows is not None else c) for name, c in columns.items()
     }
     grid = [i / bins for i in range(bins + 1)]
-    got = quantiles(df, {name: (c, grid) for name, c in picked.items()})
+    got = quantiles(df, {name: (c, grid) for name, c in picked.items()}, facts)
     return {name: sorted({v for v in got[name] if v is not None}) for name in columns}
 
 
 def continuous_columns(
-    df: DataFrame, numeric: Sequence[str], rows: Column, above: int = CONTINUOUS_ABOVE
+    df: DataFrame,
+    numeric: Sequence[str],
+    rows: Column,
+    facts: Mapping[str, ColumnFacts],
+    above: int = CONTINUOUS_ABOVE,
 ) -> set[str]:
     """Numeric columns with more than ``above`` distinct values, missing as one.
 
     The sketch settles clear cases; close calls are counted exactly, and those
     sets are small.
     """
-    if not numeric:
-        return set()
-    facts = column_facts(df, {c: F.when(rows, F.col(c)) for c in numeric})
     close = [c for c in numeric if facts[c].distinct <= 2 * above + 20]
     out = {c for c in numeric if c not in close}
     if close:
@@ -195,13 +198,15 @@ def psi(
     """
     side = F.col(IS_REFERENCE) if is_reference is None else is_reference
     numeric, other = split_columns(df.select(*columns))
+    # One pass of facts serves both the choice of columns and their edges.
+    facts = column_facts(df, {c: F.when(side, F.col(c)) for c in numeric}) if numeric else {}
     cut = (
         set(numeric)
         if binned == "numeric"
-        else continuous_columns(df, numeric, side)
+        else continuous_columns(df, numeric, side, facts)
     )
     edges = (
-        decile_edges(df, {c: F.col(c) for c in numeric if c in cut}, bins, side)
+        decile_edges(df, {c: F.col(c) for c in numeric if c in cut}, bins, side, facts)
         if cut
         else {}
     )

@@ -167,14 +167,26 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_a, column_b, r) for every ordered pair, pairwise complete, one pass."""
+    """(column_a, column_b, r) for every ordered pair, pairwise complete.
+
+    One pass to see which columns have holes, one for all pairs.
+    """
     view = df.select(*[no_nan(F.col(c)).alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    # From the sums of squares, as `corr` itself fails on a constant column.
+    counts = view.agg(F.count(F.lit(1)).alias("rows__"), *[F.count(c).alias(c) for c in columns])
+    seen = counts.first()
+    holes = {c for c in columns if seen[c] < seen["rows__"]}
+
+    def spread(c: str, other: str, alone: Column) -> Column:
+        # Only where the other column has holes does the pair see other rows.
+        return F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(c))) if other in holes else alone
+
+    # From covariance and deviations, as `corr` itself fails on a constant column.
     wide = view.agg(
         *[
             F.try_divide(
-                F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
+                F.covar_pop(a, b),
+                spread(a, b, F.stddev_pop(a)) * spread(b, a, F.stddev_pop(b)),
             ).alias(f"r{k}")
             for k, (a, b) in enumerate(pairs)
         ],

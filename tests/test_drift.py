@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftwell.functions.pvalues import chi_square_tail, path_exit_probability
 from driftwell.operators import drift
+from driftwell.operators.ordered import column_facts
 
 SF = "/root/testdata/sf0.01"
 
@@ -87,7 +88,9 @@ def test_rule_is_more_than_twenty_values_with_missing_as_one(spark, distinct, ki
     values = [float(i) for i in range(distinct - 1)] + [None]
     df = frame(spark, values * 3, values)
     assert drift.drift_report(df).first()["kind"] == kind
-    cut = drift.continuous_columns(df, ["x"], F.col("is_reference"))
+    side = F.col("is_reference")
+    facts = column_facts(df, {"x": F.when(side, F.col("x"))})
+    cut = drift.continuous_columns(df, ["x"], side, facts)
     assert (cut == {"x"}) == (kind == "continuous")
 
 

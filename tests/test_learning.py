@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -165,7 +166,7 @@ def test_attribution_against_all_subsets(spark, trained):
     leaves = attribution.leaves_of(attribution.node_table(spark, stages[-1]), stages[-1].treeWeights)
     used = sorted({int(f) for leaf in leaves for f in leaf.features})[:6]
     keep = [leaf for leaf in leaves if set(map(int, leaf.features)) <= set(used)]
-    matrix = __import__("numpy").array(vectors(stages[1].transform(stages[0].transform(df.limit(3)))))
+    matrix = np.array(vectors(stages[1].transform(stages[0].transform(df.limit(3)))))
     got = attribution.attribute(matrix, keep)
 
     def value(row, subset):
@@ -209,8 +210,6 @@ def test_attribution_against_all_subsets(spark, trained):
 
 def _shares(leaf, leaf_value):
     """Cover shares of a leaf's features: the attribution table fixes them."""
-    import numpy as np
-
     m = len(leaf.features)
     if m == 1:
         return [leaf.expected / leaf_value]
