@@ -21,6 +21,8 @@ from driftwell.llm.text import WORD, stored, words
 ROUNDS = 25
 #: Pseudo-counts that keep rates off 0 and 1, as a share of all documents and at least 1.
 SMOOTHING = 1e-3
+#: Least share of bad documents that each rule is taken to blame.
+BLAME = 0.1
 #: The share of good documents is estimated within these bounds.
 PRIOR = (0.5, 0.98)
 
@@ -114,26 +116,23 @@ def votes() -> dict[str, Column]:
     c = F.col
     share = lambda a, b: F.when(c(b) > 0, c(a) / c(b)).otherwise(0.0)
 
+    def defect(bad: Column) -> Column:
+        return F.when(bad, F.lit(-1)).otherwise(F.lit(0))
+
     def rule(good: Column, bad: Column) -> Column:
         return F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0))
 
     length = share("word_chars", "n_words")
+    common, stops = share("n_common", "n_words"), share("n_stops", "n_words")
     return {
-        "v_length": rule(c("n_words") >= 20, c("n_words") < 10),
-        "v_word_chars": rule((length >= 3) & (length <= 9), (length < 2) | (length > 14)),
-        "v_symbols": rule(share("n_symbols", "n_words") <= 0.05, share("n_symbols", "n_words") > 0.1),
-        "v_dup_lines": rule(share("n_dup_lines", "n_lines") <= 0.1, share("n_dup_lines", "n_lines") > 0.3),
-        "v_repeats": rule(
-            100 * c("n_repeat_words") <= 5 * c("n_words"), 100 * c("n_repeat_words") > 20 * c("n_words")
-        ),
-        "v_common": rule(
-            share("n_common", "n_words") >= 0.05, (share("n_common", "n_words") < 0.01) & (c("n_words") >= 20)
-        ),
-        "v_shouts": rule(share("n_shouts", "n_words") <= 0.01, share("n_shouts", "n_words") > 0.2),
-        "v_upper": rule(share("n_upper", "word_chars") <= 0.15, share("n_upper", "word_chars") > 0.4),
-        "v_stops": rule(
-            share("n_stops", "n_words") >= 0.02, (share("n_stops", "n_words") < 0.002) & (c("n_words") >= 40)
-        ),
+        "v_word_chars": defect((length < 2) | (length > 14)),
+        "v_symbols": defect(share("n_symbols", "n_words") > 0.1),
+        "v_dup_lines": defect(share("n_dup_lines", "n_lines") > 0.3),
+        "v_repeats": defect(100 * c("n_repeat_words") > 15 * c("n_words")),
+        "v_shouts": defect(share("n_shouts", "n_words") > 0.2),
+        "v_upper": defect(share("n_upper", "word_chars") > 0.4),
+        "v_common": rule(common >= 0.05, (common < 0.01) & (c("n_words") >= 40)),
+        "v_stops": rule(stops >= 0.02, (stops < 0.002) & (c("n_words") >= 100)),
     }
 
 
@@ -150,13 +149,15 @@ def _posterior(names: list[str], model: dict) -> Column:
 def fit_votes(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict:
     """EM over pattern counts (columns ``names`` and n): the prior and each rule's rates.
 
-    Starts from rules that are right four times in five. A rule's vote is never taken
-    against its word: its likelihood ratio stays on its own side. Each round is one
+    Starts from rules that seldom blame a good document. Bad documents are of many kinds,
+    and a rule sees its own kind only: a vote for bad keeps a rate of at least BLAME among
+    them, or the kind with most documents would claim the class. A rule's vote is never
+    taken against its word: its likelihood ratio stays on its own side. Each round is one
     aggregate over the patterns; the driver holds the few numbers of the model.
     """
     model: dict = {"prior": 0.85}
     for v in names:
-        model |= {(v, 1, "good"): 0.8, (v, -1, "good"): 0.05, (v, 1, "bad"): 0.3, (v, -1, "bad"): 0.4}
+        model |= {(v, 1, "good"): 0.8, (v, -1, "good"): 0.01, (v, 1, "bad"): 0.5, (v, -1, "bad"): 0.4}
     p, n = F.col("p"), F.col("n")
     sums = [F.sum(n).alias("n"), F.sum(n * p).alias("good")]
     for v in names:
@@ -177,6 +178,7 @@ def fit_votes(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> di
             for value in (-1, 1):
                 g = (s[f"{v}_{value}_good"] + extra) / (good + 3 * extra)
                 b = (s[f"{v}_{value}_bad"] + extra) / (bad + 3 * extra)
+                b = max(b, BLAME) if value == -1 else b
                 if (g < b) == (value == 1):  # against its word: no evidence
                     g = b = max(g, b)
                 model[v, value, "good"], model[v, value, "bad"] = g, b
@@ -198,9 +200,10 @@ def apply_rules(
     counted = measures(docs, doc_id, text).withColumns(named)
     counted = stored(counted, "rule-votes")
     names = list(named)
-    patterns = stored(counted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "rule-patterns")
-    model = fit_votes(patterns, names)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    # What fails the base is decided; the rules are for the rest.
+    patterns = counted.where(~failed).groupBy(*names).agg(F.count("*").alias("n")).coalesce(1)
+    model = fit_votes(stored(patterns, "rule-patterns"), names)
     quality = _posterior(names, model)
     return counted.withColumns(
         {"base_failed": failed, "quality": quality, "kept": ~failed & (quality >= F.lit(keep))}
