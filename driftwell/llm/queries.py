@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, text, url_rules, weak_rules
+from driftwell.llm import mixing, nbsvm, text, url_rules, weak_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# --- 2: quality classifier --------------------------------------------------
+
+#: Scores from here on count as good.
+ACCEPT = 0.7
+
+
+def quality_model(spark: SparkSession, folder: str) -> nbsvm.Model:
+    """Learns from labelled rows outside the held-out part."""
+    labels = table(spark, folder, "labels").where(text.remainder(F.col("doc_id"), 4) != 2)
+    docs = table(spark, folder, "documents")
+    return nbsvm.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+
+
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scored = nbsvm.score(table(spark, folder, "documents"), quality_model(spark, folder))
+    return scored.select(
+        "doc_id",
+        (text.remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= ACCEPT, 1).otherwise(0).alias("predicted"),
+    )
+
+
 # --- 3: quality rules -------------------------------------------------------
 
 
@@ -90,6 +113,7 @@ FROM ruled"""
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_quality_rules": op3_quality_rules,
         "op5_mix_sources": op5_mix_sources,
         "op7_url_filters": op7_url_filters,
