@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, nbsvm, text, url_rules, weak_rules
+from driftwell.llm import mixing, nbsvm, suffix_tree, text, url_rules, weak_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,17 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "quality")
 
 
+# --- 4: language-model scores -----------------------------------------------
+
+
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = suffix_tree.score_texts(docs, text.remainder(F.col("doc_id"), 7) != 2)
+    return scored.withColumn("held_out", text.remainder(F.col("doc_id"), 7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 # --- 5: mixing --------------------------------------------------------------
 
 
@@ -115,6 +126,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
         "op3_quality_rules": op3_quality_rules,
+        "op4_lm_scores": op4_lm_scores,
         "op5_mix_sources": op5_mix_sources,
         "op7_url_filters": op7_url_filters,
     }
