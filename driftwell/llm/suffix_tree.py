@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from driftwell.llm.text import stored
 
 DEPTH = 5
-LEAST_SHARE = 2e-5
+LEAST_SHARE = 5e-6
 #: Nats by which a context's data must prefer its own distribution to its suffix's.
-DIVERGENCE = 25.0
+DIVERGENCE = 10.0
 #: Weight of the suffix's distribution, in counts.
-PULL = 4.0
+PULL = 20.0
 #: Words whose counts go to every task; the rest are joined.
 FREQUENT = 1 << 18
 #: Bytes scored at once and the number of texts scored side by side.
@@ -155,16 +155,17 @@ class Tree:
         each = -(-(len(laid) - warm) // lanes)
         padded = np.full(lanes * each + warm, END, np.uint8)
         padded[: len(laid)] = laid
-        sym = self.classes[padded].astype(np.int32)
-        at = np.arange(lanes) * each
+        # One row per step, so that a step reads its bytes in one run.
+        lane = np.lib.stride_tricks.sliding_window_view(padded, each + warm)[::each]
+        sym = np.ascontiguousarray(self.classes[lane].T)
         state = np.full(lanes, self.start, np.int32)
         flat, prob = self.step.ravel(), self.logp.ravel()
         got = np.empty((each, lanes), np.float32)
         for t in range(warm + each):
-            cell = state * width + sym[at + t]
+            cell = state * width + sym[t]
             if t >= warm:
-                got[t - warm] = prob[cell]
-            state = flat[cell]
+                prob.take(cell, out=got[t - warm])
+            state = flat.take(cell)
         logp = got.T.ravel().astype(np.float64)  # of the byte at place warm + i
         total = np.concatenate([[0.0], np.cumsum(logp)])
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -196,7 +197,7 @@ def _grown(chosen, depth: int) -> Tree:
     used[END] = True
     root = chosen[chosen["len"] == 0]
     used[root["code"].to_numpy()] = True
-    classes = np.full(256, int(used.sum()), np.int64)  # the last class: bytes never seen
+    classes = np.full(256, int(used.sum()), np.int32)  # the last class: bytes never seen
     classes[used] = np.arange(int(used.sum()))
     width = int(used.sum()) + 1
     unseen = max(1, 256 - int(used.sum()))
