@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, nbsvm, suffix_tree, text, url_rules, weak_rules
+from driftwell.llm import mixing, nbsvm, rans, suffix_tree, text, url_rules, warc, weak_rules
+from driftwell.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,21 @@ def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs.select("doc_id", "source", text.count_words(F.col("text")).alias("size")))
 
 
+# --- 6: token files ---------------------------------------------------------
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    rans.write_tokens(table(spark, folder, "documents"), path, tokenizer_path("byte_bpe_50k.json"), True, 0)
+    return rans.read_tokens(spark, path, with_ids=False)
+
+
 # --- 7: URL filters ---------------------------------------------------------
 
 HOST_RULES = (
@@ -122,15 +138,37 @@ SELECT page_id, host, path, rule,
 FROM ruled"""
 
 
+# --- 10: archives -----------------------------------------------------------
+
+
+def op10_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.read_archives(spark, path, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+_ARCHIVES_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
         "op3_quality_rules": op3_quality_rules,
         "op4_lm_scores": op4_lm_scores,
         "op5_mix_sources": op5_mix_sources,
+        "op6_token_files": op6_token_files,
         "op7_url_filters": op7_url_filters,
+        "op10_warc_archives": op10_warc_archives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filters": _url_sql()}
+    return {"op7_url_filters": _url_sql(), "op10_warc_archives": _ARCHIVES_SQL}
