@@ -9,6 +9,8 @@ Permutations come before repeats: no block is used twice before all are used onc
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,10 +19,6 @@ from driftwell.llm.text import running_total, stored
 #: Words per block and slots per output shard.
 BLOCK = 64
 SHARD = 1024
-#: Documents per bucket of the running totals.
-BUCKET_ROWS = 50_000
-#: Shards per bucket of the running totals.
-BUCKET_SHARDS = 4096
 #: Cells of the unit interval by which a draw finds its source.
 CELLS = 4096
 #: Fixed primes for index permutations; a block count can't be divisible by all of them.
@@ -134,9 +132,8 @@ def draws(targets: DataFrame, cap: int, seed: int, shard: int = SHARD) -> DataFr
         .otherwise(F.sum("slots").over(by_no) / F.lit(total or 1.0))
         .alias("hi"),
     )
-    counts = shard_counts(parts, round(total), seed, shard).withColumn(
-        "bucket", F.floor(F.col("shard") / BUCKET_SHARDS)
-    )
+    run = max(1, math.isqrt(round(total) // shard))  # shards per bucket of the running totals
+    counts = shard_counts(parts, round(total), seed, shard).withColumn("bucket", F.floor(F.col("shard") / run))
     slots = running_total(counts, ["source_no"], "bucket", ["shard"], "n", "first").select(
         "source_no", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("k")
     )
@@ -178,7 +175,7 @@ def mix_sources(
     targets = source_targets(sized, "source", "size", cycle, cap)
     targets = targets.withColumn("n_blocks", F.ceil(F.col("source_size") / F.lit(block)).cast("long"))
     targets = stored(targets, "mix-targets")
-    buckets = max(1, sized.count() // BUCKET_ROWS)
+    buckets = max(1, math.isqrt(sized.count()))  # as many buckets as rows in each
     known = targets.withColumnRenamed("source", "_source")
     rows = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     held = rows.where(F.col("size") > 0).withColumn("bucket", F.pmod("order", F.lit(buckets)))

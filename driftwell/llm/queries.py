@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, nbsvm, rans, suffix_tree, text, url_rules, warc, weak_rules
+from driftwell.llm import mixing, nbsvm, packing, rans, suffix_tree, text, url_rules, warc, weak_rules
 from driftwell.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+# --- 1: packing -------------------------------------------------------------
+
+
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(packing.tokenized_pieces(docs, tokenizer_path("word_bpe_49k.json"), False, 1))
+
+
 # --- 2: quality classifier --------------------------------------------------
 
 #: Scores from here on count as good.
@@ -71,12 +85,6 @@ def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 # --- 6: token files ---------------------------------------------------------
 
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     rans.write_tokens(table(spark, folder, "documents"), path, tokenizer_path("byte_bpe_50k.json"), True, 0)
@@ -160,6 +168,7 @@ SELECT page_id, payload_bytes, payload_digest,
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_quality_rules": op3_quality_rules,
         "op4_lm_scores": op4_lm_scores,
