@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, nbsvm, packing, rans, suffix_tree, text, url_rules, warc, weak_rules
+from driftwell.llm import mixing, nbsvm, packing, rans, sketches, suffix_tree, text, url_rules, warc, weak_rules
 from driftwell.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,13 @@ SELECT page_id, host, path, rule,
 FROM ruled"""
 
 
+# --- 8: fingerprints --------------------------------------------------------
+
+
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, folder, "documents"))
+
+
 # --- 10: archives -----------------------------------------------------------
 
 
@@ -175,6 +182,7 @@ def queries() -> dict[str, Query]:
         "op5_mix_sources": op5_mix_sources,
         "op6_token_files": op6_token_files,
         "op7_url_filters": op7_url_filters,
+        "op8_fingerprints": op8_fingerprints,
         "op10_warc_archives": op10_warc_archives,
     }
 

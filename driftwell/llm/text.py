@@ -20,6 +20,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def count_words(text: Column) -> Column:
     """Number of words as a long: the pieces between gaps less the empty ones at either end."""
     t = F.coalesce(text, F.lit(""))

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.text import WORD, stored, words
+from driftwell.llm.text import WORD, let, stored, words
 
 ROUNDS = 25
 #: Pseudo-counts that keep rates off 0 and 1, as a share of all documents and at least 1.
@@ -51,7 +51,7 @@ def repeated_words(tokens: Column, width: int = 5) -> Column:
 
     def covered(win: Column) -> Column:
         order = F.array_sort(F.transform(win, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return _let(order, lambda o: _let(
+        return let(order, lambda o: let(
             F.array_sort(
                 F.transform(
                     F.filter(
@@ -77,18 +77,13 @@ def repeated_words(tokens: Column, width: int = 5) -> Column:
             ),
         ))
 
-    counted = _let(hashes, lambda h: _let(
+    counted = let(hashes, lambda h: let(
         windows(h),
         lambda win: F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(covered(win)),
     ))
     return F.when(n >= 2, counted).otherwise(F.lit(0)).cast("long")
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def measures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Counts of each whole text, from which rules vote."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -100,7 +95,7 @@ def measures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("w")).alias("n_repeat_words"),
         F.size(lines).cast("long").alias("n_lines"),
         F.size(F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda x: x.isin(*COMMON)))
