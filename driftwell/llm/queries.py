@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, nbsvm, packing, rans, sketches, suffix_tree, text, url_rules, warc, weak_rules
+from driftwell.llm import mixing, nbsvm, near_dups, packing, rans, sketches, suffix_tree, text, url_rules, warc, weak_rules
 from driftwell.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,14 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return sketches.fingerprints(table(spark, folder, "documents"))
 
 
+# --- 9: near duplicates -----------------------------------------------------
+
+
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dups.near_duplicates(table(spark, folder, "documents"), 0.85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 # --- 10: archives -----------------------------------------------------------
 
 
@@ -183,6 +191,7 @@ def queries() -> dict[str, Query]:
         "op6_token_files": op6_token_files,
         "op7_url_filters": op7_url_filters,
         "op8_fingerprints": op8_fingerprints,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_warc_archives": op10_warc_archives,
     }
 
