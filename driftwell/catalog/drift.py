@@ -107,10 +107,11 @@ def _report_sql(ks_columns, psi_columns, source="lineitem", ref=LINE_REF):
     by_ks = union_all([ks_sql(source, c, ref) for c in ks_columns])
     by_psi = union_all([psi_by_value(source, c, ref) for c in psi_columns])
     return f"""
-SELECT "column", 'continuous' AS kind, 'ks_p_value' AS metric, round(p, 6) AS value, p < 0.05 AS drift
+SELECT "column", 'continuous' AS kind, 'ks_p_value' AS metric, round(p, 6) AS value, p < 0.05 AS drift,
+       'asymptotic' AS p_method
 FROM (SELECT "column", {kolmogorov_sql(KS_LAMBDA)} AS p FROM ({by_ks}))
 UNION ALL
-SELECT "column", 'discrete', 'psi', round(psi, 6), psi > 0.2 FROM ({by_psi})"""
+SELECT "column", 'discrete', 'psi', round(psi, 6), psi > 0.2, NULL FROM ({by_psi})"""
 
 
 _LINE_REPORT = _report_sql(

@@ -32,7 +32,6 @@ EMPTY_SHARE = 1e-4
 PSI_LIMIT = 0.2
 KS_ALPHA = 0.05
 CONTINUOUS_ABOVE = 20
-EXACT_KS_UP_TO = 10_000
 ROLLUP_CRITICAL_PCT = 20
 
 IS_REFERENCE = "is_reference"
@@ -74,17 +73,17 @@ def psi_term(base: Column, current: Column) -> Column:
     return (c - b) * F.ln(c / b)
 
 
-def ks_p_value(df: DataFrame, method: str = "auto") -> DataFrame:
+def ks_p_value(df: DataFrame, method: str = "asymptotic") -> DataFrame:
     """Add ``p_value`` and ``p_method`` to rows with n_a, n_b and d.
 
-    Exact while the larger sample has at most 10 000 rows, else the limit law;
-    an empty sample gives D = 0, p = 1.
+    ``method``: the limit law, or "exact" for small samples (a Python function per row of
+    the result). Tables of every size are treated alike; an empty sample gives D = 0,
+    p = 1.
     """
     m, n = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     lam = F.col("d") * F.sqrt(m * n / (m + n))
     usable = (F.col("n_a") > 0) & (F.col("n_b") > 0) & F.col("d").isNotNull()
-    small = F.greatest("n_a", "n_b") <= EXACT_KS_UP_TO
-    exact = {"auto": small, "exact": F.lit(True), "asymptotic": F.lit(False)}[method]
+    exact = {"exact": F.lit(True), "asymptotic": F.lit(False)}[method]
     out = df.withColumn("p_method", F.when(usable & exact, "exact").otherwise("asymptotic"))
     series = kolmogorov_series(lam)
     if method == "asymptotic":
@@ -106,7 +105,7 @@ def ks_two_sample(
     df: DataFrame,
     columns: Sequence[str],
     is_reference: Column | None = None,
-    p_method: str = "auto",
+    p_method: str = "asymptotic",
 ) -> DataFrame:
     """(column, n_ref, n_cur, d, p_value, p_method) of a two-sample KS test.
 
@@ -287,7 +286,7 @@ def aligned_shares(
 # reports
 # --------------------------------------------------------------------------
 
-REPORT_COLUMNS = ["column", "kind", "metric", "value", "drift"]
+REPORT_COLUMNS = ["column", "kind", "metric", "value", "drift", "p_method"]
 
 
 def drift_report(
@@ -296,14 +295,15 @@ def drift_report(
     skip: Sequence[str] = (),
     is_reference: Column | None = None,
     rule: str = "distinct",
-    p_method: str = "auto",
+    p_method: str = "asymptotic",
     buckets: int | None = None,
 ) -> DataFrame:
-    """(column, kind, metric, value, drift): one row per column, all in one job.
+    """(column, kind, metric, value, drift, p_method): one row per column, all in one job.
 
     ``rule="distinct"``: numeric columns with more than 20 distinct reference
     values are tested by KS (p < .05 is drift), all else by PSI over values
-    (> .2 is drift). ``rule="dtype"``: KS for every numeric column.
+    (> .2 is drift). ``rule="dtype"``: KS for every numeric column. p_method is null for
+    PSI. A side without rows counts as empty classes.
     """
     side = F.col(IS_REFERENCE) if is_reference is None else is_reference
     names = list(columns) if columns else [c for c in df.columns if c != IS_REFERENCE]
@@ -311,7 +311,8 @@ def drift_report(
     numeric, text = split_columns(df.select(*names))
     facts = pair_facts(df, numeric, side, buckets)
     stability = psi_term(
-        F.col("n_a") / F.col("rows_a"), F.col("n_b") / F.col("rows_b")
+        F.coalesce(F.try_divide("n_a", "rows_a"), F.lit(0.0)),
+        F.coalesce(F.try_divide("n_b", "rows_b"), F.lit(0.0)),
     )
     parts = []
     if numeric:
@@ -351,20 +352,21 @@ def drift_report(
             F.when(F.col("by_ks"), F.col("p_value") < KS_ALPHA)
             .otherwise(F.col("psi") > PSI_LIMIT)
             .alias("drift"),
+            F.when(F.col("by_ks"), F.col("p_method")).alias("p_method"),
         )
     )
 
 
 def drift_rollup(report: DataFrame) -> DataFrame:
-    """One row: columns checked, drifted, percent and status."""
-    pct = F.col("n_drift") * 100.0 / F.col("n_columns")
+    """One row: columns checked, drifted, percent (0 of none) and status."""
+    pct = F.coalesce(F.try_divide(F.col("n_drift") * 100.0, "n_columns"), F.lit(0.0))
     return (
         report.agg(
             F.count(F.lit(1)).alias("n_columns"), F.count_if("drift").alias("n_drift")
         )
         .withColumn("pct_drift", pct)
         .withColumn(
-            "status",
+            "status",  # fixed values: the three labels
             F.when(F.col("pct_drift") > ROLLUP_CRITICAL_PCT, "CRÍTICO")
             .when(F.col("pct_drift") > 0, "ADVERTENCIA")
             .otherwise("ESTABLE"),
@@ -377,7 +379,7 @@ def prediction_drift(
     score: str,
     is_reference: Column | None = None,
     bins: int = 10,
-    p_method: str = "auto",
+    p_method: str = "asymptotic",
 ) -> DataFrame:
     """One row for the score column: PSI over bins, KS, and a flag for each and either."""
     index = psi(df, [score], is_reference, bins)
