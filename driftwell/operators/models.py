@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwell.functions import risk_band, verdict
 from driftwell.operators.clean import align_columns, fill_defaults
@@ -49,14 +50,14 @@ def boosted_trees(label: str, **settings) -> GBTClassifier:
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = WEIGHT) -> DataFrame:
-    """Add n / (classes * n of the row's class)."""
-    sizes = class_sizes(df, label)
+    """Add n / (classes * n of the row's class); a missing label is no class, its weight null."""
+    sizes = class_sizes(df.where(F.col(label).isNotNull()), label)
     rows = sum(sizes.values())
     out: Column | None = None
     for k, n in sizes.items():
         weight = F.lit(rows / (len(sizes) * n))
         out = (F if out is None else out).when(F.col(label) == F.lit(k), weight)
-    return df.withColumn(name, out)
+    return df.withColumn(name, F.lit(None).cast("double") if out is None else out)
 
 
 def baseline_models(label: str, forest_trees: int = FOREST_TREES) -> dict[str, object]:
@@ -79,23 +80,27 @@ def baseline_models(label: str, forest_trees: int = FOREST_TREES) -> dict[str, o
     }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a table that has fewer partitions than the cluster has cores.
+#: Parts that training rows are dealt to; MLlib draws its samples part by part.
+TRAIN_PARTS = 64
 
-    Training passes over its rows many times; a table of one file would otherwise
-    keep one core busy. Larger tables are left as they are.
+
+def spread(df: DataFrame, parts: int = TRAIN_PARTS) -> DataFrame:
+    """Deal rows to a stated number of parts by their content, in a fixed order.
+
+    MLlib's samples are seeded per part, so the fitted model depends on the rows only,
+    not on how many files or cores there are. Give more parts for larger tables.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    names = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return df.repartition(parts, *names).sortWithinPartitions(*names)
 
 
 def fit_model(train: DataFrame, prep: PipelineModel, estimator, label: str) -> PipelineModel:
     """Preparation and classifier as one fitted pipeline."""
     use_shared_checkpoints(train.sparkSession)
-    ready = prep.transform(train.where(F.col(label).isNotNull()))
+    ready = prep.transform(spread(train.where(F.col(label).isNotNull())))
     if estimator.hasParam("weightCol") and estimator.isDefined("weightCol"):
         ready = balanced_weights(ready, label)
-    model = estimator.fit(spread(ready.select(*_training_columns(ready, label))))
+    model = estimator.fit(ready.select(*_training_columns(ready, label)))
     return PipelineModel([*prep.stages, model])
 
 
@@ -114,8 +119,10 @@ def grid_search(
 ) -> tuple[PipelineModel, CrossValidatorModel]:
     """Forest grid by F1 of class 1 over stratified folds.
 
-    Folds are a column, so MLlib filters instead of sampling.
+    Folds are a column, so MLlib filters instead of sampling. Unlabelled rows don't take
+    part.
     """
+    train = train.where(F.col(label).isNotNull())
     use_shared_checkpoints(train.sparkSession)
     forest = RandomForestClassifier(
         labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=SEED
@@ -135,8 +142,8 @@ def grid_search(
         parallelism=parallelism,
         seed=SEED,
     )
-    ready = prep.transform(folded).select(label, FEATURES, WEIGHT, "fold")
-    found = search.fit(spread(ready))
+    ready = prep.transform(spread(folded)).select(label, FEATURES, WEIGHT, "fold")
+    found = search.fit(ready)
     return PipelineModel([*prep.stages, found.bestModel]), found
 
 
