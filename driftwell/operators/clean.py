@@ -139,13 +139,10 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
         return {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     out: dict[str, object] = {}
-    for numeric in (True, False):
-        part = [c for c in columns if isinstance(kinds[c], T.NumericType) == numeric]
-        if not part:
-            continue
+    for kind, part in _numeric_groups(columns, kinds):
         cells: list[Column] = []
         for c in part:
-            cells += [F.lit(c), F.col(c).cast("double") if numeric else F.col(c).cast("string")]
+            cells += [F.lit(c), no_nan(F.col(c)) if kind == "double" else F.col(c).cast(kind)]
         rows = (
             df.select(F.stack(F.lit(len(part)), *cells).alias("column", "value"))
             .where(F.col("value").isNotNull())
@@ -159,20 +156,41 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     return out
 
 
+def _numeric_groups(columns: Sequence[str], kinds: Mapping) -> list[tuple[str, list[str]]]:
+    """Columns that can be stacked without losing digits: whole numbers, floats, each
+    decimal type, and all else as text."""
+    groups: dict[str, list[str]] = {}
+    for c in columns:
+        kind = kinds[c]
+        if isinstance(kind, T.IntegralType):
+            name = "bigint"
+        elif isinstance(kind, T.DecimalType):
+            name = kind.simpleString()
+        else:
+            name = "double" if isinstance(kind, T.NumericType) else "string"
+        groups.setdefault(name, []).append(c)
+    return list(groups.items())
+
+
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     got = quantiles(df, {c: (F.col(c), [0.5]) for c in columns})
     return {c: got[c][0] for c in columns}
 
 
 def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
-    """Fill missing values; a column that has no fill is left alone."""
-    return df.withColumns(
-        {
-            c: F.coalesce(no_nan(F.col(c)) if isinstance(v, float) else F.col(c), F.lit(v))
-            for c, v in fills.items()
-            if v is not None
-        }
-    )
+    """Fill missing values; a column that has no fill is left alone, and a column keeps
+    its type where the fill fits it (a half as the median of whole numbers doesn't)."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    filled = {}
+    for c, v in fills.items():
+        if v is None:
+            continue
+        whole = isinstance(kinds[c], (T.IntegralType, T.DecimalType))
+        if whole and (not isinstance(v, float) or v.is_integer()):
+            filled[c] = F.coalesce(F.col(c), F.lit(int(v) if isinstance(v, float) else v).cast(kinds[c]))
+        else:
+            filled[c] = F.coalesce(no_nan(F.col(c)) if isinstance(v, float) else F.col(c), F.lit(v))
+    return df.withColumns(filled)
 
 
 def winsor_ranks(n: int, share: float = WINSOR_SHARE) -> tuple[int, int]:

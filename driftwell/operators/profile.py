@@ -134,9 +134,11 @@ def compare_describe(
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFrame:
     """(column, bin, lo, hi, n): equal-width bins over the column's own range.
 
-    The last bin holds the maximum; empty bins are listed with n = 0.
+    The last bin holds the maximum; empty bins are listed with n = 0. Infinite values
+    have no place in bins of a width and aren't counted.
     """
-    facts = column_facts(df, {c: F.col(c) for c in columns})
+    finite = {c: F.when(F.abs(no_nan(F.col(c))) < F.lit(float("inf")), F.col(c)) for c in columns}
+    facts = column_facts(df, finite)
     spark = df.sparkSession
     edges, cells = [], []
     for c in columns:
@@ -149,7 +151,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
             (c, i, lo + i * width, hi if i == count - 1 else lo + (i + 1) * width)
             for i in range(count)
         ]
-        v = no_nan(F.col(c))
+        v = no_nan(finite[c])
         at = F.floor((v - F.lit(lo)) / F.lit(width)) if width else F.when(v.isNotNull(), F.lit(0))
         cells += [F.lit(c), F.least(at, F.lit(count - 1)).cast("int")]
     frame = spark.createDataFrame(edges, "column string, bin int, lo double, hi double")
@@ -286,10 +288,11 @@ def decode_labels(
 ) -> DataFrame:
     """Add a label column per coded column: {coded column: new name}.
 
-    ``codebook`` is (column, code, label). Its size is checked: a small one goes to
-    every task, a larger one is joined by shuffle, where adaptive execution
-    splits a hot code.
+    ``codebook`` is (column, code, label); of several labels of one code the first in
+    text order holds. Its size is checked: a small one goes to every task, a larger one
+    is joined by shuffle, where adaptive execution splits a hot code.
     """
+    codebook = codebook.groupBy("column", "code").agg(F.min("label").alias("label"))
     small = codebook.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     out = df
     for c, name in columns.items():

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftwell.functions import no_nan
 from driftwell.operators.ordered import (
     PairFacts,
     pair_counts,
@@ -20,6 +21,7 @@ COST_FN = 5.0
 COST_FP = 1.0
 SWEEP_LO, SWEEP_HI, SWEEP_STEPS = 0.1, 0.9, 33
 
+# Names of the logged metrics.
 METRICS = (
     "f1_score_test",
     "accuracy_test",
@@ -104,12 +106,32 @@ def class_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return measured.drop("tp").unionByName(summary)
 
 
+def _ranked(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Rows that can be ranked: label 0 or 1 and a score; NaN is a missing score."""
+    return df.withColumn(score, no_nan(F.col(score))).where(
+        F.col(label).isin(0, 1) & F.col(score).isNotNull()
+    )
+
+
+def unranked_rows(df: DataFrame, label: str, score: str) -> DataFrame:
+    """One row (n_rows, n_ranked, n_unlabelled, n_unscored): what the ranking measures
+    leave out. A row without both counts as unlabelled."""
+    labelled = F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    scored = no_nan(F.col(score)).isNotNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(labelled & scored).alias("n_ranked"),
+        F.count_if(~labelled).alias("n_unlabelled"),
+        F.count_if(labelled & ~scored).alias("n_unscored"),
+    )
+
+
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row (n_1, n_0, auc): the share of pairs ranked right, ties half.
 
     With one class only the value is .5.
     """
-    rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull())
+    rows = _ranked(df, label, score)
     is_one = F.col(label) == 1
     facts = pair_facts(rows, [score], is_one)
     walked = pair_walk(pair_counts(rows, [score], is_one, facts), facts)
@@ -124,7 +146,7 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def _score_counts(df: DataFrame, label: str, score: str) -> tuple[DataFrame, PairFacts]:
     """(range, value, n_a, n_b) of label 1 and 0 per distinct score."""
-    rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull())
+    rows = _ranked(df, label, score)
     is_one = F.col(label) == 1
     facts = pair_facts(rows, [score], is_one)
     counts = pair_counts(rows, [score], is_one, facts)
@@ -196,7 +218,7 @@ def cost_sweep(
     """
     grid = sorted(thresholds or sweep_thresholds())
     reached = sum(((F.col(score) >= F.lit(t)).cast("int") for t in grid[1:]), (F.col(score) >= F.lit(grid[0])).cast("int"))
-    rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull())
+    rows = _ranked(df, label, score)
     counts = rows.groupBy(reached.alias("step")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )

@@ -16,6 +16,9 @@ def as_number(df: DataFrame, column: str) -> Column:
     """Order-preserving double of a number, date or timestamp (microseconds)."""
     kind = dict(df.dtypes)[column]
     c = F.col(column)
+    if kind == "timestamp_ntz":  # through no zone: clock changes would break the order
+        zero = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", zero, c).cast("double")
     if kind.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if kind == "date":
