@@ -93,9 +93,21 @@ def train(
     model_path: str | None = None,
     metrics_path: str | None = None,
 ) -> TrainResult:
-    """Split, compare both parts, prepare, fit, evaluate, attribute, save, log."""
-    spark = df.sparkSession
+    """Split, compare both parts, prepare, fit, evaluate, attribute, save, log.
+
+    A run that fails is logged as such before its error goes on.
+    """
     run = log.start_run(options.experiment, options.description) if log else None
+    try:
+        return _train(df, options, log, run, model_path, metrics_path)
+    except Exception:
+        if run:
+            log.end_run(run, "FAILED")
+        raise
+
+
+def _train(df, options, log, run, model_path, metrics_path) -> TrainResult:
+    spark = df.sparkSession
     skip = [options.label, *options.key]
     found_numeric, found_other = drift.split_columns(df, skip)
     numeric = list(options.numeric if options.numeric is not None else found_numeric)

@@ -13,12 +13,14 @@ _stand_in: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests, one folder of this machine per application stands in.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and all
+    runs on this machine, as in tests, one of its folders per application stands in.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not (spark.sparkContext.master + "[").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _stand_in:
         _stand_in[app] = tempfile.mkdtemp(prefix="run-")

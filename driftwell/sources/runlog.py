@@ -104,7 +104,8 @@ def write_json_record(spark: SparkSession, record: Mapping[str, object], path: s
 def parse_metric_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     """Lines ``epoch_ms value step`` to typed columns, exact repeats removed.
 
-    Other columns (run, key) are kept; a line that does not parse is dropped.
+    Other columns (run, key) are kept; a line that does not parse is dropped
+    (``unparsed_lines`` counts them).
     """
     parts = F.split(F.trim(F.col(text)), r"\s+")
     keep = [c for c in lines.columns if c != text]
@@ -120,14 +121,29 @@ def parse_metric_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
+def _decoded(name: Column) -> Column:
+    """A path part as it was written: percent codes read back, a plus sign kept."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def unparsed_lines(lines: DataFrame, text: str = "value") -> DataFrame:
+    """One row (n_lines, n_unparsed): how many lines ``parse_metric_lines`` leaves out."""
+    parts = F.split(F.trim(F.col(text)), r"\s+")
+    read = (
+        F.try_element_at(parts, F.lit(1)).try_cast("long").isNotNull()
+        & F.try_element_at(parts, F.lit(2)).try_cast("double").isNotNull()
+    )
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(~read).alias("n_unparsed"))
+
+
 def read_metric_files(spark: SparkSession, glob: str) -> DataFrame:
     """Metric files ``.../<run>/metrics/<key>`` to (run_id, key, ts_ms, value, step)."""
     lines = spark.read.text(glob).select("value", F.col("_metadata.file_path").alias("path"))
     parts = F.split("path", "/")
     named = lines.select(
         "value",
-        F.element_at(parts, -3).alias("run_id"),
-        F.element_at(parts, -1).alias("key"),
+        _decoded(F.element_at(parts, -3)).alias("run_id"),
+        _decoded(F.element_at(parts, -1)).alias("key"),
     )
     return parse_metric_lines(named)
 
@@ -137,8 +153,8 @@ def read_param_files(spark: SparkSession, glob: str) -> DataFrame:
     lines = spark.read.option("wholetext", True).text(glob)
     parts = F.split("_metadata.file_path", "/")
     return lines.select(
-        F.element_at(parts, -3).alias("run_id"),
-        F.element_at(parts, -1).alias("key"),
+        _decoded(F.element_at(parts, -3)).alias("run_id"),
+        _decoded(F.element_at(parts, -1)).alias("key"),
         F.trim("value").alias("value"),
     )
 
