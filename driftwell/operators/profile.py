@@ -153,7 +153,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
         ]
         v = no_nan(finite[c])
         at = F.floor((v - F.lit(lo)) / F.lit(width)) if width else F.when(v.isNotNull(), F.lit(0))
-        cells += [F.lit(c), F.least(at, F.lit(count - 1)).cast("int")]
+        cells += [F.lit(c), F.when(at.isNotNull(), F.least(at, F.lit(count - 1))).cast("int")]
     frame = spark.createDataFrame(edges, "column string, bin int, lo double, hi double")
     if not cells:
         return frame.withColumn("n", F.lit(0).cast("long"))

@@ -17,8 +17,8 @@ def as_number(df: DataFrame, column: str) -> Column:
     kind = dict(df.dtypes)[column]
     c = F.col(column)
     if kind == "timestamp_ntz":  # through no zone: clock changes would break the order
-        zero = F.lit("1970-01-01").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", zero, c).cast("double")
+        clock = (F.hour(c) * 60 + F.minute(c)) * 60 + F.extract(F.lit("SECOND"), c)
+        return F.unix_date(c.cast("date")) * F.lit(86_400e6) + clock * F.lit(1e6)
     if kind.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if kind == "date":
