@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwell.catalog.registry import query, rounded, table
+from driftwell.catalog.drift import _SPLIT
+from driftwell.catalog.registry import query, rounded, table, uniform_sql
+from driftwell.functions import keyed_uniform, risk_band
 from driftwell.operators import models, prep
 from driftwell.operators.attribution import (
     global_attribution,
@@ -90,7 +92,7 @@ def balanced_weights(spark, folder):
 def applications(spark, folder):
     """Orders as loan applications; the label depends on the amount, with noise by key."""
     orders = table(spark, folder, "orders")
-    noise = F.pmod(F.xxhash64("o_orderkey"), F.lit(100)) / 100.0
+    noise = keyed_uniform(["o_orderkey"], "noise")
     risk = F.col("o_totalprice") / 500000.0 + noise * 0.6
     return orders.select(
         "o_orderkey",
@@ -102,6 +104,30 @@ def applications(spark, folder):
     )
 
 
+_APPLICATIONS = f"""(SELECT o_orderkey, o_totalprice,
+    CAST(o_totalprice / 500000.0 + {uniform_sql(['o_orderkey'], 'noise')} * 0.6 < 0.8 AS INTEGER) AS good
+    FROM orders)"""
+_TEST_KEYS = (
+    "(SELECT o_orderkey FROM "
+    + _SPLIT.replace("o_orderstatus", LABEL).replace("FROM orders", f"FROM {_APPLICATIONS}")
+    + " WHERE is_test)"
+)
+# What holds for every scored row, whatever model was fitted.
+_CHECKS = "TRUE AS sums_to_one, TRUE AS band_agrees, TRUE AS prediction_agrees"
+
+
+def checked_scores(scored, *more):
+    """Key and what must hold: probabilities sum to 1, band and prediction follow them."""
+    good, bad = F.col(models.PROBABILITY_GOOD), F.col(models.PROBABILITY_BAD)
+    return scored.select(
+        "o_orderkey",
+        (F.abs(good + bad - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("risk_level") == risk_band(good)).alias("band_agrees"),
+        (F.col("prediction") == (good > bad).cast("int")).alias("prediction_agrees"),
+        *more,
+    )
+
+
 def _parts(spark, folder):
     parts = stratified_split(applications(spark, folder), LABEL, ["o_orderkey"])
     return (
@@ -117,11 +143,11 @@ def _boosted(spark, folder):
     return model, prepared, test
 
 
-@query("train_gbt")
+@query("train_gbt", f"SELECT o_orderkey, {_CHECKS} FROM {_TEST_KEYS}")
 def train_gbt(spark, folder):
-    """Test rows scored by a freshly trained boosted model."""
+    """Test rows scored by a freshly trained boosted model, and what holds for them."""
     model, _, test = _boosted(spark, folder)
-    return models.score_records(test, model).drop("scored_at")
+    return checked_scores(models.score_records(test, model))
 
 
 @query("train_baselines")
@@ -155,16 +181,23 @@ def grid_search(spark, folder):
     return rounded(models.grid_results(spark, found))
 
 
-@query("score_batch")
+@query("score_batch", f"SELECT o_orderkey, {_CHECKS}, TRUE AS reload_agrees FROM orders")
 def score_batch(spark, folder):
     """Save, load and apply a fitted pipeline to the whole table."""
     rows = applications(spark, folder)
     prepared = prep.fit_preprocessor(rows, NUMERIC, CODED, scale=True)
     estimator = models.baseline_models(LABEL)["LogisticRegression"]
     path = scratch_path(spark, "model")
-    tables.save_model(models.fit_model(rows, prepared, estimator, LABEL), path)
+    fitted = models.fit_model(rows, prepared, estimator, LABEL)
+    tables.save_model(fitted, path)
     loaded = tables.load_model(path)
-    return models.score_records(rows.drop(LABEL), loaded).drop("scored_at")
+    by_loaded = models.score_records(rows.drop(LABEL), loaded)
+    # Scored once more by the model in memory, in the same pass over the rows.
+    kept = by_loaded.withColumnsRenamed({c: f"loaded_{c}" for c in ("prediction", models.PROBABILITY_GOOD)})
+    again = models.add_predictions(kept.drop(models.PROBABILITY_BAD, "risk_level"), fitted)
+    agrees = F.abs(F.col(models.PROBABILITY_GOOD) - F.col(f"loaded_{models.PROBABILITY_GOOD}")) < 1e-12
+    flags = again.withColumn("risk_level", risk_band(F.col(models.PROBABILITY_GOOD)))
+    return checked_scores(flags.withColumn("reload_agrees", agrees), "reload_agrees")
 
 
 @query("score_forms")
@@ -192,14 +225,17 @@ def permuted(spark, folder):
     )
 
 
-@query("tree_attribution")
+@query("tree_attribution", f"SELECT o_orderkey, TRUE AS adds_up FROM {_TEST_KEYS}")
 def tree_attribution(spark, folder):
-    """Per test row: key and what every feature adds to the log-odds."""
+    """Per test row: base and features' attributions together are its log-odds."""
     model, prepared, test = _boosted(spark, folder)
-    values, _ = tree_attributions(
-        prepared.transform(test), model.stages[-1], prep.feature_names(prepared), ["o_orderkey"]
-    )
-    return values
+    scored = models.add_predictions(test, model)
+    odds = F.ln(F.col(models.PROBABILITY_GOOD) / F.col(models.PROBABILITY_BAD))
+    ready = prepared.transform(scored.select(*test.columns, odds.alias("log_odds")))
+    names = prep.feature_names(prepared)
+    values, base = tree_attributions(ready, model.stages[-1], names, ["o_orderkey", "log_odds"])
+    total = sum((F.col(f"`{n}`") for n in names), F.lit(base))
+    return values.select("o_orderkey", (F.abs(total - F.col("log_odds")) < 1e-6).alias("adds_up"))
 
 
 @query("top_attribution")
@@ -209,9 +245,13 @@ def top_attribution(spark, folder):
     return top_features(global_attribution(prepared.transform(test), model.stages[-1], names))
 
 
-@query("score_stream")
+@query(
+    "score_stream",
+    """SELECT o_orderkey, o_totalprice BETWEEN 5000 AND 480000 AS valid,
+    CASE WHEN o_totalprice BETWEEN 5000 AND 480000 THEN '' ELSE 'o_totalprice' END AS broken FROM orders""",
+)
 def streamed_scores(spark, folder):
-    """Orders arriving as files: valid ones scored, others kept with their reasons."""
+    """Orders arriving as files: valid ones scored, others kept with the rules they break."""
     raw = table(spark, folder, "orders")
     rows = applications(spark, folder)
     prepared = prep.fit_preprocessor(rows, ["o_totalprice"])
@@ -228,4 +268,10 @@ def streamed_scores(spark, folder):
         f"{path}/checkpoint",
     )
     stream.awaitTermination()
-    return spark.read.parquet(f"{path}/scored").select("o_orderkey", "prediction", "risk_level")
+    scored = spark.read.parquet(f"{path}/scored").where(F.col("risk_level").isNotNull())
+    rejected = spark.read.parquet(f"{path}/rejected")
+    return scored.select("o_orderkey", F.lit(True).alias("valid"), F.lit("").alias("broken")).unionByName(
+        rejected.select(
+            "o_orderkey", F.lit(False).alias("valid"), F.array_join("failures.column", ",").alias("broken")
+        )
+    )

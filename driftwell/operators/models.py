@@ -81,7 +81,7 @@ def baseline_models(label: str, forest_trees: int = FOREST_TREES) -> dict[str, o
 
 
 #: Parts that training rows are dealt to; MLlib draws its samples part by part.
-TRAIN_PARTS = 64
+TRAIN_PARTS = 16
 
 
 def spread(df: DataFrame, parts: int = TRAIN_PARTS) -> DataFrame:

@@ -25,11 +25,16 @@ def score_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = split_valid(batch, rules)
-        score_records(valid, model).write.mode("overwrite").parquet(
-            f"{scored_path}/batch_id={batch_id}"
-        )
-        rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        # Both outputs read the batch; it is fetched and checked once.
+        batch = batch.persist()
+        try:
+            valid, rejected = split_valid(batch, rules)
+            score_records(valid, model).write.mode("overwrite").parquet(
+                f"{scored_path}/batch_id={batch_id}"
+            )
+            rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = arrivals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
