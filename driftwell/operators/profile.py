@@ -51,19 +51,23 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
     Shares divide by the row count, which is the same for every column.
     """
-    names = list(columns or df.columns)
+    counts = _counted(df, list(columns or df.columns))
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(totals), "column").select(  # one row per column
+        "column", "value", "n", (F.col("n") / F.col("total")).alias("share")
+    )
+
+
+def _counted(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column, value, n) of every column."""
     cells: list[Column] = []
     for c in names:
         cells += [F.lit(c), F.col(c).cast("string")]
-    counts = (
+    return (
         df.select(F.stack(F.lit(len(names)), *cells).alias("column", "value"))
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), "column").select(  # one row per column
-        "column", "value", "n", (F.col("n") / F.col("total")).alias("share")
-    )
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -74,9 +78,11 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, distinct_values), a missing value counting as one."""
+    """(column, distinct_values), a missing value counting as one; one scan."""
     return (
-        value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+        _counted(df, list(columns or df.columns))
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("distinct_values"))
     )
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from driftwell.functions import bin_right_closed, no_nan
 from driftwell.operators.drift import PSI_LIMIT, decile_edges, psi_term
@@ -54,6 +54,14 @@ def reference_counts(reference: DataFrame, spec: ReferenceBins) -> DataFrame:
     )
 
 
+def _whole_slides(size: str, slide: str) -> bool:
+    """Whether "7 days" is a whole number of "1 day"; only for lengths in one unit."""
+    (n, unit), (m, other) = (x.split() if len(x.split()) == 2 else (x, "") for x in (size, slide))
+    if unit.rstrip("s") != other.rstrip("s") or not (n.isdigit() and m.isdigit()):
+        return False
+    return unit.rstrip("s") not in ("month", "year", "") and int(n) % int(m) == 0
+
+
 def window_counts(
     df: DataFrame,
     spec: ReferenceBins,
@@ -62,14 +70,26 @@ def window_counts(
     slide: str | None = None,
     watermark: str | None = None,
 ) -> DataFrame:
-    """(window_start, window_end, column, bin, n) of tumbling or sliding windows."""
+    """(window_start, window_end, column, bin, n) of tumbling or sliding windows.
+
+    On a table, windows that are whole slides long add up the counts of their slides, so
+    that an event is counted once and not once for every window it lies in.
+    """
     rows = df.withWatermark(time, watermark) if watermark else df
-    span = F.window(time, size, slide) if slide else F.window(time, size)
+    long = spec.long(rows, F.col(time).alias("at"))
+    if slide and not df.isStreaming and _whole_slides(size, slide):
+        counted = (
+            long.groupBy(F.window("at", slide).alias("s"), "column", "bin")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("s.start").alias("at"), "column", "bin", "n")
+            .groupBy(F.window("at", size, slide).alias("w"), "column", "bin")
+            .agg(F.sum("n").alias("n"))
+        )
+    else:
+        span = F.window("at", size, slide) if slide else F.window("at", size)
+        counted = long.groupBy(span.alias("w"), "column", "bin").agg(F.count(F.lit(1)).alias("n"))
     return (
-        spec.long(rows, F.col(time))
-        .groupBy(span.alias("w"), "column", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
+        counted.select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
             "column",
@@ -127,8 +147,9 @@ def watch_stream(
 ) -> StreamingQuery:
     """Append the counts of every closed window to a parquet table.
 
-    Rows later than the watermark are left out, as windows must close; the query's
-    progress counts them, see ``late_rows``.
+    Rows later than the watermark are left out, as windows must close; add a
+    ``LateRows`` listener to the session's streams for their running total. A window is
+    appended once the watermark has passed its end, so the last ones wait for later rows.
     """
     counts = window_counts(arrivals, spec, time, size, slide, watermark)
     writer = (
@@ -141,6 +162,28 @@ def watch_stream(
     return writer.start()
 
 
+class LateRows(StreamingQueryListener):
+    """Running total of groups dropped for lateness, by query run; whole, unlike the few
+    last reports that a query remembers. ``spark.streams.addListener(LateRows())``."""
+
+    def __init__(self) -> None:
+        self.total: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.total.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        run = str(event.progress.runId)
+        self.total[run] = self.total.get(run, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Groups dropped for lateness so far, from the recent progress reports."""
     return sum(
