@@ -35,9 +35,9 @@ PULL = 20.0
 #: Words whose counts go to every task; the rest are joined.
 FREQUENT = 1 << 18
 #: Bytes scored at once and the number of texts scored side by side.
-BLOCK_BYTES, LANES = 8 << 20, 4096
+BLOCK_BYTES, LANES = 2 << 20, 4096
 #: Distinct words or grams a task holds before it passes them on.
-HELD = 1_000_000
+HELD = 300_000
 END = 10
 
 
@@ -207,23 +207,27 @@ def _grown(chosen, depth: int) -> Tree:
     flat[classes[root["code"].to_numpy()]] += root["n"].to_numpy()
     flat = flat / (flat[:-1].sum() + unseen)
 
-    keys = {0: np.zeros(1, np.int64)}
-    probs = {0: flat[None, :]}
+    # Distributions of retained contexts only, one row each; a context that isn't retained
+    # speaks with its suffix's row.
+    dense = flat[None, :]
+    keys, row_of = {0: np.zeros(1, np.int64)}, {0: np.zeros(1, np.int64)}
     kept = {0: np.ones(1, bool)}
     for d in range(1, depth + 1):
         part = chosen[chosen["len"] == d]
-        context = part["code"].to_numpy() >> 8
-        keys[d], row = np.unique(context, return_inverse=True)
-        counts = np.zeros((len(keys[d]), width))
-        counts[row, classes[part["code"].to_numpy() & 255]] = part["n"].to_numpy()
-        below = probs[d - 1][np.searchsorted(keys[d - 1], keys[d] & ((1 << (8 * (d - 1))) - 1))]
-        size = counts.sum(1, keepdims=True)
-        own = counts / np.maximum(size, 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where(counts > 0, counts * np.log(own / below), 0.0).sum(1)
+        code, n = part["code"].to_numpy(), part["n"].to_numpy().astype(np.float64)
+        keys[d], row = np.unique(code >> 8, return_inverse=True)
+        column = classes[code & 255]
+        suffix = row_of[d - 1][np.searchsorted(keys[d - 1], keys[d] & ((1 << (8 * (d - 1))) - 1))]
+        size = np.bincount(row, n, len(keys[d]))
+        gain = np.bincount(row, n * np.log(n / size[row] / dense[suffix[row], column]), len(keys[d]))
         kept[d] = gain >= DIVERGENCE
-        # A context that isn't retained speaks with its suffix's distribution.
-        probs[d] = np.where(kept[d][:, None], (counts + PULL * below) / (size + PULL), below)
+        place = np.cumsum(kept[d]) - 1
+        mine = kept[d][row]
+        counts = np.zeros((int(kept[d].sum()), width))
+        counts[place[row[mine]], column[mine]] = n[mine]
+        own = (counts + PULL * dense[suffix[kept[d]]]) / (size[kept[d]][:, None] + PULL)
+        row_of[d] = np.where(kept[d], place + len(dense), suffix)
+        dense = np.concatenate([dense, own])
 
     # States: retained contexts, their suffixes, and their beginnings, through which the
     # automaton has to pass to reach them.
@@ -235,19 +239,17 @@ def _grown(chosen, depth: int) -> Tree:
     order = {d: np.array(sorted(states[d]), np.int64) for d in range(depth + 1)}
     first = np.cumsum([0, *[len(order[d]) for d in range(depth)]])
     count = sum(map(len, order.values()))
-    logp, step = np.empty((count, width), np.float32), np.zeros((count, width), np.int32)
+    row_at, step = np.zeros(count, np.int64), np.zeros((count, width), np.int32)
     symbols = np.nonzero(used)[0].astype(np.int64)
     for d in range(depth + 1):
-        at = np.searchsorted(keys[d], order[d])
-        known = (at < len(keys[d])) & (keys[d][np.minimum(at, len(keys[d]) - 1)] == order[d]) if len(keys[d]) else np.zeros(len(order[d]), bool)
-        rows = np.empty((len(order[d]), width))
-        if known.any():
-            rows[known] = probs[d][at[known]]
-        if (~known).any():
-            suffix = order[d][~known] & ((1 << (8 * (d - 1))) - 1)
-            below = np.searchsorted(order[d - 1], suffix)
-            rows[~known] = 10.0 ** logp[first[d - 1] + below]
-        logp[first[d] : first[d] + len(order[d])] = np.log10(rows)
+        mine = slice(first[d], first[d] + len(order[d]))
+        if d:
+            # A state without counts of its own is its suffix, which is a state too.
+            suffix = order[d] & ((1 << (8 * (d - 1))) - 1)
+            row_at[mine] = row_at[first[d - 1] + np.searchsorted(order[d - 1], suffix)]
+            if len(keys[d]):
+                at = np.minimum(np.searchsorted(keys[d], order[d]), len(keys[d]) - 1)
+                row_at[mine] = np.where(keys[d][at] == order[d], row_of[d][at], row_at[mine])
         longer = (order[d][:, None] << 8) | symbols[None, :]
         target = np.zeros(longer.shape, np.int32)
         for e in range(1, min(d + 1, depth) + 1):  # longer suffixes overwrite shorter ones
@@ -255,11 +257,11 @@ def _grown(chosen, depth: int) -> Tree:
                 tail = longer & ((1 << (8 * e)) - 1)
                 spot = np.minimum(np.searchsorted(order[e], tail), len(order[e]) - 1)
                 target = np.where(order[e][spot] == tail, first[e] + spot, target)
-        step[first[d] : first[d] + len(order[d]), :-1] = target
+        step[mine, :-1] = target
     start = 0
     for _ in range(depth):
         start = int(step[start, classes[END]])
-    return Tree(classes, step, logp, start, depth)
+    return Tree(classes, step, np.log10(dense[row_at]).astype(np.float32), start, depth)
 
 
 def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
