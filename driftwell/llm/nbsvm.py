@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from driftwell.llm.text import stored
 
@@ -25,7 +26,7 @@ BITS = 18
 ORDERS = (2, 3, 5)
 #: The fit's sample: at most about so many labelled rows, in shards of about so many.
 FIT_ROWS = 40_000
-SHARD_ROWS = 5_000
+SHARD_ROWS = 4_000
 #: One row in so many of the sample calibrates instead of being fitted.
 CALIBRATE = 5
 EPOCHS, COST = 12, 1.0
@@ -84,20 +85,11 @@ class Model:
         return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
 
 
-def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    features = Features()
-    for b in batches:
-        idx = [features(t).astype("<i4").tobytes() for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("label"), b.column("shard"), pa.array(idx, pa.binary())], ["label", "shard", "idx"]
-        )
-
-
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, (1 << BITS) + 64), np.int64)
+    features, counts = Features(), np.zeros((2, (1 << BITS) + 64), np.int64)
     for b in batches:
-        for y, raw in zip(b.column("label").to_pylist(), b.column("idx").to_pylist(), strict=True):
-            counts[y][np.frombuffer(raw, "<i4")] += 1
+        for y, t in zip(b.column("label").to_pylist(), b.column("text").to_pylist(), strict=True):
+            counts[y][features(t)] += 1
     at = np.nonzero(counts.any(0))[0]
     yield pa.RecordBatch.from_arrays(
         [pa.array(at, pa.int64()), pa.array(counts[0][at]), pa.array(counts[1][at])], ["bucket", "bad", "good"]
@@ -113,7 +105,7 @@ def descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: np.n
     values = []
     for idx in rows:
         x = ratio[idx]
-        values.append(x / (math.sqrt(float(x @ x)) or 1.0))
+        values.append((x / (math.sqrt(float(x @ x)) or 1.0)).astype(np.float32))
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(rows)):
@@ -147,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         "label",
         F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(CALIBRATE * shards)).cast("int").alias("shard"),
     )
-    rows = stored(rows.mapInArrow(_featurize, "label int, shard int, idx binary"), "nbsvm-rows")
+    rows = stored(rows, "nbsvm-rows")
     counts = (
         rows.mapInArrow(_class_counts, "bucket long, bad long, good long")
         .groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
@@ -168,8 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def solve(key, pdf):
         import pandas as pd
 
-        y = np.where(pdf["label"].to_numpy() == 1, 1.0, -1.0)
-        idx = [np.frombuffer(r, "<i4") for r in pdf["idx"]]
+        features, y = Features(), np.where(pdf["label"].to_numpy() == 1, 1.0, -1.0)
+        idx = [features(t) for t in pdf["text"]]
         cost = np.array([even[v] for v in pdf["label"]])
         w = descend(idx, y, ratio, cost, int(key[0]))
         return pd.DataFrame({"n": [len(y)], "w": [w.astype("<f4").tobytes()]})
@@ -184,8 +176,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     model = Model((w * ratio).astype(np.float32), (ratio**2).astype(np.float32), 1.0, 0.0)
 
     def margins(batches):
+        features = Features()
         for b in batches:
-            m = [model.margin(np.frombuffer(r, "<i4")) for r in b.column("idx").to_pylist()]
+            m = [model.margin(features(t)) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(m, pa.float64())], ["label", "m"])
 
     spare = rows.where(F.pmod("shard", F.lit(CALIBRATE)) == 0).mapInArrow(margins, "label int, m double")
@@ -214,24 +207,18 @@ def calibrate(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows doc_id, score (0 to 1), margin, one per document, from whole texts.
+def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
+    """Adds the score (0 to 1) of every whole text; all columns of ``docs`` stay.
 
     Null texts score as empty ones do. Each row is scored by itself, so repeated rows and
-    ids, an empty table and other columns of ``docs`` make no difference.
+    ids, an empty table and other columns make no difference. ``out`` must be a new name.
     """
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        features = Features()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, model = Features(), held.value
         for b in batches:
-            m = [model.margin(features(t)) for t in b.column("text").to_pylist()]
-            p = [model.probability(x) for x in m]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(p, pa.float64()), pa.array(m, pa.float64())],
-                ["doc_id", "score", "margin"],
-            )
-
-    kind = docs.select(F.col(doc_id).alias("doc_id")).schema["doc_id"].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, score double, margin double"
-    )
+            p = [model.probability(model.margin(features(t))) for t in b.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], [*b.schema.names, out])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))

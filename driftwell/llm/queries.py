@@ -37,15 +37,15 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 ACCEPT = 0.7
 
 
-def quality_model(spark: SparkSession, folder: str) -> nbsvm.Model:
+def quality_model(docs: DataFrame, folder: str) -> nbsvm.Model:
     """Learns from labelled rows outside the held-out part."""
-    labels = table(spark, folder, "labels").where(text.remainder(F.col("doc_id"), 4) != 2)
-    docs = table(spark, folder, "documents")
+    labels = table(docs.sparkSession, folder, "labels").where(text.remainder(F.col("doc_id"), 4) != 2)
     return nbsvm.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
 
 
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    scored = nbsvm.score(table(spark, folder, "documents"), quality_model(spark, folder))
+    docs = table(spark, folder, "documents")
+    scored = nbsvm.with_score(docs.select("doc_id", "text"), quality_model(docs, folder))
     return scored.select(
         "doc_id",
         (text.remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
