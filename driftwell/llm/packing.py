@@ -197,7 +197,7 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
 
 
 def tokenized_pieces(
-    docs: DataFrame, tokenizer: str, blank_joins: bool, end: int, capacity: int = CAPACITY,
+    docs: DataFrame, tokenizer: str, blank_joins: bool, lower: bool, end: int, capacity: int = CAPACITY,
     doc_id: str = "doc_id", text: str = "text", with_ids: bool = False,
 ) -> DataFrame:
     """Rows doc_id, piece, start, length, ids_crc32 (and ids), part, nth; written down.
@@ -209,7 +209,7 @@ def tokenized_pieces(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, mark = encoder(tokenizer, blank_joins), np.array([end], "<u4").tobytes()
+        encode, mark = encoder(tokenizer, blank_joins, lower), np.array([end], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), Counter()
         for b in batches:
             done = 0

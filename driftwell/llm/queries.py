@@ -28,7 +28,7 @@ def tokenizer_path(name: str) -> str:
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return packing.pack(packing.tokenized_pieces(docs, tokenizer_path("word_bpe_49k.json"), False, 1))
+    return packing.pack(packing.tokenized_pieces(docs, tokenizer_path("word_bpe_49k.json"), False, True, 1))
 
 
 # --- 2: quality classifier --------------------------------------------------
@@ -87,7 +87,7 @@ def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    rans.write_tokens(table(spark, folder, "documents"), path, tokenizer_path("byte_bpe_50k.json"), True, 0)
+    rans.write_tokens(table(spark, folder, "documents"), path, tokenizer_path("byte_bpe_50k.json"), True, False, 0)
     return rans.read_tokens(spark, path, with_ids=False)
 
 

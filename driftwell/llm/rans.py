@@ -186,7 +186,7 @@ def _decode(chosen, states, places, words, symbols, freq, n) -> list[np.ndarray]
 
 
 def write_tokens(
-    docs: DataFrame, path: str, tokenizer: str, blank_joins: bool, end: int,
+    docs: DataFrame, path: str, tokenizer: str, blank_joins: bool, lower: bool, end: int,
     doc_id: str = "doc_id", text: str = "text",
 ) -> None:
     """Encode every whole text, append id ``end``, write files in ascending doc_id order.
@@ -200,7 +200,7 @@ def write_tokens(
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, mark = encoder(tokenizer, blank_joins), np.array([end], "<u4").tobytes()
+        encode, mark = encoder(tokenizer, blank_joins, lower), np.array([end], "<u4").tobytes()
         file_no = TaskContext.get().partitionId()
         head = b"FILE" + struct.pack("<Q", file_no)
         ids, held, lengths, size = [], [], [], 0
@@ -278,10 +278,21 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                     first += int(lengths.sum())
                     yield pa.RecordBatch.from_arrays(columns, names)
 
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From the sections' headers alone."""
+        for b in batches:
+            held = [
+                (file_no, struct.unpack_from("<Q", body)[0])
+                for content in b.column("content")
+                for file_no, body in sections(content.as_buffer().to_pybytes())
+            ]
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held, strict=True)], ["file_no", "n"])
+
     kinds = "doc_id long, file_no long, inside long, n_tokens long, ids_crc32 long"
     got = read_files(spark, path).mapInArrow(run, kinds + (", ids array<long>" if with_ids else ""))
-    got = got.withColumn("n_tokens", F.col("n_tokens").cast("long"))
-    sizes = got.groupBy("file_no").agg(F.sum("n_tokens").alias("n"))
+    sizes = read_files(spark, path).mapInArrow(totals, "file_no long, n long")
+    sizes = sizes.groupBy("file_no").agg(F.sum("n").alias("n"))
     before = Window.partitionBy().orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("file_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     return got.join(offsets, "file_no").select(
