@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwell.llm.text import running_total, stored
+from driftwell.llm.text import count_words, running_total, stored
 
 #: Words per block and slots per output shard.
 BLOCK = 64
@@ -200,3 +200,30 @@ def mix_sources(
     return taken.select(*columns, "taken").unionByName(
         rows.where(F.col("size") == 0).select(*columns, F.lit(0).cast("long").alias("taken"))
     )
+
+
+def mixed_documents(
+    docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 17, **options
+) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it does, columns as they are.
+
+    A row comes taken / size times; a fraction comes with that probability, by the hash of
+    id and text. Rows without words are not taken. Rows that repeat both id and text share
+    what the mix takes of them.
+    """
+    row = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("hash")).alias("key"),
+        F.col(source).alias("source"),
+        count_words(F.col(text)).alias("size"),
+    )
+    taken = mix_sources(row.drop("row"), "key", "source", "size", seed=seed, **options)
+    share = taken.where(F.col("taken") > 0).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
+    share = share.select("share", F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash"))
+    same = F.col("key.id").eqNullSafe(F.col("_id")) & (F.col("key.hash") == F.col("_hash"))
+    times = F.floor(F.col("share") + _uniform(F.lit(seed), F.col("key"))).cast("int")
+    return (
+        row.join(share, same)
+        .select("row", F.explode(F.array_repeat(F.lit(0), times)).alias("copy"))
+        .select("row.*")
+    )

@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwell.llm.text import stored
@@ -384,7 +384,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Rows doc_id, n_shingles, component_id, kept, node, one per document.
+    """Rows doc_id, text_hash, n_shingles, component_id, kept, node, comp, one per document.
 
     Words are lower-cased (A to Z). A document of fewer than five words has its whole
     sequence as its one shingle; one without words or text has no set, is linked with
@@ -392,8 +392,9 @@ def near_duplicates(
     links of at least ``threshold`` (in hundredths), kept says that it is the document's
     own. Rows with equal ids are documents of their own; a null id is larger than any
     other, and kept where all of its component are null. ``node`` numbers the document's
-    set. An empty table gives an empty table; other columns are not read.
+    set, ``comp`` its component; both are null without a set. An empty table gives an empty table; other columns are not read.
     """
+    columns = ["doc_id", "text_hash", "n_shingles", "component_id", "node", "comp"]
     limit = distance_limit(threshold)
     described = stored(_described(docs, doc_id, text), "near-signatures")
     known = described.where(F.col("node").isNotNull())
@@ -417,9 +418,32 @@ def near_duplicates(
     labels = classes.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = labels.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = labels.join(ids, "comp").select("node", "comp", "component_id")
-    rows = known.join(named, "node").select("doc_id", "n_shingles", "component_id", "node", "comp")
-    alone = described.where(F.col("node").isNull()).select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node",
-        F.lit(None).cast("long").alias("comp"),
-    )
+    rows = known.join(named, "node").select(*columns)
+    alone = described.where(F.col("node").isNull()).withColumns(
+        {"component_id": F.col("doc_id"), "comp": F.lit(None).cast("long")}
+    ).select(*columns)
     return rows.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of each component, with its columns as they are: the smallest doc_id's, of
+    several with that id the least text hash. Rows without words stay, each by itself,
+    but rows that repeat both id and text count once."""
+    found = near_duplicates(docs, threshold, doc_id, text).where("kept")
+    # One (id, text) of each component; its rows' own keys where there is no component.
+    alone = F.when(F.col("comp").isNull(), F.struct("doc_id", "text_hash"))
+    keys = (
+        found.groupBy("comp", alone.alias("alone"))
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
+        .select(F.col("key.doc_id").alias("_key_id"), F.col("key.text_hash").alias("_key_hash"))
+    )
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_hash"))
+    same = F.col("_id").eqNullSafe(F.col("_key_id")) & (F.col("_hash") == F.col("_key_hash"))
+    again = Window.partitionBy("_hash", "_id").orderBy("_hash")
+    return (
+        marked.join(keys, same).withColumn("_again", F.row_number().over(again))
+        .where(F.col("_again") == 1).select("row.*")
+    )

@@ -84,14 +84,17 @@ def repeated_words(tokens: Column, width: int = 5) -> Column:
     return F.when(n >= 2, counted).otherwise(F.lit(0)).cast("long")
 
 
-def measures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Counts of each whole text, from which rules vote."""
+def measures(docs: DataFrame, doc_id: str, text: str, carry: bool = False) -> DataFrame:
+    """Counts of each whole text, from which rules vote; ``carry``: and the row itself."""
     t = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.col(doc_id).alias("doc_id"), t.alias("text")).withColumn("w", words(F.col("text")))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    base = docs.select(F.col(doc_id).alias("doc_id"), t.alias("text"), *row)
+    base = base.withColumn("w", words(F.col("text")))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
     lower = F.lower("text")
     return base.select(
         "doc_id",
+        *(["row"] if carry else []),
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -181,7 +184,7 @@ def fit_votes(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> di
 
 
 def apply_rules(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: float = 0.5
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: float = 0.5, carry: bool = False
 ) -> DataFrame:
     """Rows doc_id, the measures, the votes, base_failed, quality and kept, one per document.
 
@@ -189,10 +192,10 @@ def apply_rules(
     windows; such documents are never kept. Of the others those with a posterior of
     ``keep`` or more are. A null text counts as empty and fails. Repeated rows and ids are
     judged each by itself; an empty table gives an empty table. Other columns of ``docs``
-    are not read, and none of the result's names clash with them.
+    are not read, unless ``carry`` asks for the whole row, as the column row.
     """
     named = votes()
-    counted = measures(docs, doc_id, text).withColumns(named)
+    counted = measures(docs, doc_id, text, carry).withColumns(named)
     counted = stored(counted, "rule-votes")
     names = list(named)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
