@@ -104,7 +104,7 @@ def applications(spark, folder):
     )
 
 
-_APPLICATIONS = f"""(SELECT o_orderkey, o_totalprice,
+_APPLICATIONS = f"""(SELECT o_orderkey, o_totalprice, day(o_orderdate) AS day,
     CAST(o_totalprice / 500000.0 + {uniform_sql(['o_orderkey'], 'noise')} * 0.6 < 0.8 AS INTEGER) AS good
     FROM orders)"""
 _TEST_KEYS = (
@@ -211,17 +211,46 @@ def score_forms(spark, folder):
     return models.score_forms(forms, model, {"month": 6.0, "day": 15.0}, NUMERIC)
 
 
-@query("permutation_importance")
+_WEIGHTS = {"o_totalprice": -0.000005, "day": 0.01}
+
+
+def _auc_sql(source):
+    """Share of pairs that the margin ranks right, ties half, by mean ranks."""
+    margin = " + ".join(f"{w!r} * {c}" for c, w in _WEIGHTS.items())
+    return f"""(SELECT (sum(r) FILTER (good = 1) - count(*) FILTER (good = 1) * (count(*) FILTER (good = 1) + 1) / 2.0)
+        / (count(*) FILTER (good = 1) * CAST(count(*) FILTER (good = 0) AS DOUBLE))
+      FROM (SELECT good, rank() OVER (ORDER BY m) + (count(*) OVER (PARTITION BY m) - 1) / 2.0 AS r
+            FROM (SELECT good, 1.0 / (1.0 + exp(-(2.0 + {margin}))) AS m FROM {source})))"""
+
+
+def _permuted_sql(column):
+    """Each row with the column of the row that has its number in the column's own order."""
+    number = "row_number() OVER (ORDER BY {u}, o_orderkey)"
+    rows, values = (
+        number.format(u=uniform_sql(["o_orderkey"], f"importance-{salt}")) for salt in ("rows", column)
+    )
+    return f"""(SELECT a.* REPLACE (b.v AS {column}) FROM
+      (SELECT *, {rows} AS n FROM {_APPLICATIONS}) a
+      JOIN (SELECT {column} AS v, {values} AS n FROM {_APPLICATIONS}) b USING (n))"""
+
+
+@query(
+    "permutation_importance",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round({_auc_sql(_APPLICATIONS)} - {_auc_sql(_permuted_sql(c))}, 6) AS importance"
+        for c in _WEIGHTS
+    ),
+)
 def permuted(spark, folder):
-    rows = applications(spark, folder)
-    weights = {"o_totalprice": -0.000005, "day": 0.01}
-    return permutation_importance(
-        rows,
-        list(weights),
-        lambda df: models.scorecard(df, 2.0, weights),
-        LABEL,
-        "score",
-        ["o_orderkey"],
+    return rounded(
+        permutation_importance(
+            applications(spark, folder),
+            list(_WEIGHTS),
+            lambda df: models.scorecard(df, 2.0, _WEIGHTS),
+            LABEL,
+            "score",
+            ["o_orderkey"],
+        )
     )
 
 
