@@ -200,7 +200,11 @@ def score_batch(spark, folder):
     return checked_scores(flags.withColumn("reload_agrees", agrees), "reload_agrees")
 
 
-@query("score_forms")
+@query(
+    "score_forms",
+    """SELECT o_orderkey, 6.0 AS month, 15.0 AS day, TRUE AS sums_to_one, TRUE AS verdict_agrees,
+    TRUE AS follows_amount FROM orders""",
+)
 def score_forms(spark, folder):
     """Forms that name the amount only; the rest comes from defaults."""
     rows = applications(spark, folder)
@@ -208,7 +212,21 @@ def score_forms(spark, folder):
     estimator = models.baseline_models(LABEL)["LogisticRegression"]
     model = models.fit_model(rows, prepared, estimator, LABEL)
     forms = rows.select("o_orderkey", "o_totalprice")
-    return models.score_forms(forms, model, {"month": 6.0, "day": 15.0}, NUMERIC)
+    scored = models.score_forms(forms, model, {"month": 6.0, "day": 15.0}, NUMERIC)
+    good, bad = F.col(models.PROBABILITY_GOOD), F.col(models.PROBABILITY_BAD)
+    slope = float(model.stages[-1].coefficients[0])
+    # With the rest fixed, the log-odds are a line in the amount.
+    line = F.lit(float(model.stages[-1].intercept)) + F.lit(slope) * F.col("o_totalprice")
+    for i, default in ((1, 6.0), (2, 15.0)):
+        line = line + F.lit(float(model.stages[-1].coefficients[i]) * default)
+    return scored.select(
+        "o_orderkey",
+        "month",
+        "day",
+        (F.abs(good + bad - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("verdict") == F.when(good > bad, "approve").otherwise("reject")).alias("verdict_agrees"),
+        (F.abs(F.ln(good / bad) - line) < 1e-6).alias("follows_amount"),
+    )
 
 
 _WEIGHTS = {"o_totalprice": -0.000005, "day": 0.01}
