@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from driftwell.llm.text import let
 
 #: A line over this many characters is cut after each sentence.
-LINE = 200
+LINE = 400
 #: A group is for about so many digests of one text; cells of each of its three parts.
 GROUP = 6
-PART = 10
+PART = 7
 #: Times that a group is made again with twice the cells.
 RETRIES = 4
 PEELS = 10
@@ -54,17 +54,21 @@ def level_of(found: Column) -> Column:
 
 
 def _field(d: Column, skip: Column, bits: Column) -> Column:
-    """``bits`` bits of a digest after its first ``skip``."""
-    return F.when(bits == 0, F.lit(0).cast("long")).otherwise(
-        F.call_function("shiftrightunsigned", F.call_function("shiftleft", d, skip), F.lit(64) - bits)
-    )
+    """``bits`` bits of a digest after its first ``skip``; the last shift is in two parts,
+    as one by 64 would be none."""
+    left = F.call_function("shiftleft", d, skip)
+    return F.call_function("shiftrightunsigned", F.shiftrightunsigned(left, 1), F.lit(63) - bits)
 
 
 def groups(found: Column, level: Column) -> Column:
     """Array of arrays: the digests of each group. In two steps, so that a text of n
     digests takes n * sqrt(groups) looks."""
-    coarse = F.floor(level / 2).cast("int")
-    fine = level - coarse
+    # The numbers of bits are looked up once, not for every digest.
+    bits = F.struct(F.floor(level / 2).cast("int").alias("coarse"), F.ceil(level / 2).cast("int").alias("fine"))
+    return let(bits, lambda b: _grouped(found, b["coarse"], b["fine"]))
+
+
+def _grouped(found: Column, coarse: Column, fine: Column) -> Column:
     count = lambda bits: F.sequence(F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
     return F.flatten(
         F.transform(
@@ -80,35 +84,35 @@ def groups(found: Column, level: Column) -> Column:
 
 
 def _placed(key: Column, count: Column, part: int, attempt: int) -> Column:
-    """A digest with its check and its three cells."""
+    """A digest with its check and its cell in each of the three parts."""
     h = F.xxhash64(key, F.lit(attempt))
-    spot = lambda j: (F.pmod(F.shiftrightunsigned(h, 21 * j), F.lit(part)) + j * part).cast("int")
+    spot = lambda j: F.pmod(F.shiftrightunsigned(h, 21 * j), F.lit(part)).cast("int")
     return F.struct(
         count.alias("n"), key.alias("k"), F.xxhash64(key, F.lit(99)).alias("h"),
         spot(0).alias("a"), spot(1).alias("b"), spot(2).alias("c"),
     )
 
 
-def _in(x: Column, i: Column) -> Column:
-    return (x["a"] == i) | (x["b"] == i) | (x["c"] == i)
-
-
 def _cell(n: Column, k: Column, h: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), k.cast("long").alias("k"), h.cast("long").alias("h"))
 
 
 def cells(group: Column, part: int = PART, attempt: int = 0) -> Column:
     """Sketch of one group: 3 * part cells of (n, k, h)."""
-    zero = _cell(F.lit(0), F.lit(0), F.lit(0))
     return let(
         F.transform(group, lambda d: _placed(d, F.lit(1), part, attempt)),
-        lambda items: F.transform(
-            F.sequence(F.lit(0), F.lit(3 * part - 1)),
-            lambda i: F.aggregate(
-                F.filter(items, lambda x: _in(x, i)),
-                zero,
-                lambda acc, x: _cell(acc["n"] + 1, acc["k"].bitwiseXOR(x["k"]), acc["h"].bitwiseXOR(x["h"])),
-            ),
+        lambda items: F.concat(*[_part(items, part, j) for j in "abc"]),
+    )
+
+
+def _part(items: Column, part: int, j: str) -> Column:
+    zero = _cell(F.lit(0), F.lit(0), F.lit(0))
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(part - 1)),
+        lambda i: F.aggregate(
+            F.filter(items, lambda x: x[j] == i),
+            zero,
+            lambda acc, x: _cell(acc["n"] + 1, acc["k"].bitwiseXOR(x["k"]), acc["h"].bitwiseXOR(x["h"])),
         ),
     )
 
@@ -120,37 +124,46 @@ def subtract(one: Column, other: Column) -> Column:
     )
 
 
+def _without(cells: Column, items: Column, j: str) -> Column:
+    """One part's cells without the items."""
+
+    def rest(c: Column, i: Column) -> Column:
+        mine = F.filter(items, lambda x: x[j] == i)
+        return F.aggregate(
+            mine,
+            c,
+            lambda acc, x: _cell(acc["n"] - x["n"], acc["k"].bitwiseXOR(x["k"]), acc["h"].bitwiseXOR(x["h"])),
+        )
+
+    return F.transform(cells, rest)
+
+
 def peel(sketch: Column, part: int, attempt: int) -> Column:
     """Digests that differ, as structs (k, n): n is 1 for the first text's, -1 for the
     second's. Null if the sketch doesn't peel to nothing."""
     pure = lambda c: (F.abs(c["n"]) == 1) & (F.xxhash64(c["k"], F.lit(99)) == c["h"])
     none = F.expr("cast(array() as array<struct<k: bigint, n: int>>)")
-    state = lambda rest, found: F.struct(rest.alias("rest"), found.alias("found"))
+    state = lambda rest, found, done: F.struct(rest.alias("rest"), found.alias("found"), done.alias("done"))
 
     def once(st: Column, _: Column) -> Column:
         new = F.array_distinct(
             F.transform(F.filter(st["rest"], pure), lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n")))
         )
-        return let(new, lambda got: F.when(F.size(got) == 0, st).otherwise(
+        # Once a round finds nothing, the rounds after it have nothing to look at.
+        return F.when(st["done"], st).otherwise(let(new, lambda got: F.when(
+            F.size(got) == 0, state(st["rest"], st["found"], F.lit(True))
+        ).otherwise(
             let(
                 F.transform(got, lambda g: _placed(g["k"], g["n"], part, attempt)),
                 lambda items: state(
-                    F.transform(
-                        st["rest"],
-                        lambda c, i: F.aggregate(
-                            F.filter(items, lambda x: _in(x, i)),
-                            c,
-                            lambda acc, x: _cell(
-                                acc["n"] - x["n"], acc["k"].bitwiseXOR(x["k"]), acc["h"].bitwiseXOR(x["h"])
-                            ),
-                        ),
-                    ),
+                    F.concat(*[_without(F.slice(st["rest"], 1 + at * part, part), items, j) for at, j in enumerate("abc")]),
                     F.concat(st["found"], got),
+                    F.lit(False),
                 ),
             )
-        ))
+        )))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(PEELS)), state(sketch, none), once)
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(PEELS)), state(sketch, none, F.lit(False)), once)
     left = lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0)
     return let(end, lambda st: F.when(~F.exists(st["rest"], left), st["found"]))
 
