@@ -33,7 +33,7 @@ DIVERGENCE = 10.0
 #: Weight of the suffix's distribution, in counts.
 PULL = 20.0
 #: Words whose counts go to every task; the rest are joined.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 17
 #: Bytes scored at once and the number of texts scored side by side.
 BLOCK_BYTES, LANES = 2 << 20, 4096
 #: Distinct words or grams a task holds before it passes them on.
@@ -294,11 +294,15 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
             break
         least = r["level"]
     top = counts.where(level >= F.lit(least)).toArrow()  # at most ``frequent`` rows
-    known = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True))
     scale = math.log10(tokens + kinds + 1)
-    logs = {w: math.log10(n + 1) - scale for w, n in known.items()}
+    logs = {
+        w.as_py(): math.log10(n.as_py() + 1) - scale
+        for w, n in zip(top.column("word"), top.column("n"), strict=True)
+    }
+    del top
     end = math.log10(trained + 1) - scale
-    tree = grow(texts.mapInArrow(_count_grams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
+    grams = texts.mapInArrow(_count_grams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    tree = grow(stored(grams, "lm-grams"))
     share = docs.sparkSession.sparkContext.broadcast((logs, tree))
 
     def run(batches):

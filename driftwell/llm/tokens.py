@@ -15,7 +15,7 @@ import os
 import numpy as np
 
 #: Pieces a task remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Punctuation that makes one token run after a word; an apostrophe may start a suffix.
 AFTER = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Letters below this one have their case and composition the same everywhere.
