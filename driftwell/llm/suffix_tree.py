@@ -2,11 +2,13 @@
 
 A text is its words in lower case (A to Z), joined by single blanks, and an end mark. The
 next byte depends on the longest retained suffix of what came before. A context of up to
-DEPTH bytes is a candidate if it has at least LEAST_SHARE of all bytes, so that there are
-at most 1 / LEAST_SHARE of each length whatever the corpus's size; it is retained if its
-next-byte distribution diverges from that of its own suffix. Distributions are smoothed
-towards the suffix's. The tree becomes an automaton whose state is the longest suffix, so
-scoring is one table look-up for each byte.
+DEPTH bytes is a candidate if it occurs LEAST_COUNT times, whatever the corpus's size; it
+is retained if its next-byte distribution diverges from that of its own suffix.
+Distributions are smoothed towards the suffix's. The tree of the most frequent candidates
+becomes an automaton whose state is the longest suffix, so scoring is one table look-up
+for each byte. All other candidates stay a table: they are tested length by length, a bit
+table tells tasks where one may be met, and what those places add is joined by gram. No
+suffix of a context is rarer than the context, so the table only ever extends the automaton.
 
 Word counts for the base score cover every word: a bounded table of the most frequent
 goes to the tasks, all others are joined by word.
@@ -18,16 +20,22 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwell.llm.text import stored
 
 DEPTH = 5
-LEAST_SHARE = 5e-6
+#: Times that a context has to occur to be tested.
+LEAST_COUNT = 10
+#: Contexts that go to every task as an automaton; the rest are joined.
+HELD_CONTEXTS = 50_000
+#: Bits of a slot of the table by which tasks know contexts that are joined.
+SLOT_BITS = 26
 #: Nats by which a context's data must prefer its own distribution to its suffix's.
 DIVERGENCE = 10.0
 #: Weight of the suffix's distribution, in counts.
@@ -146,6 +154,13 @@ class Tree:
             out[block] = self._scores([texts[i] for i in block])
         return out
 
+    def after(self, code: np.ndarray, length: int) -> np.ndarray:
+        """log10 probability of each code's last byte after the ``length`` bytes before it."""
+        state = np.zeros(len(code), np.int32)
+        for k in range(length, 0, -1):
+            state = self.step[state, self.classes[(code >> (8 * k)) & 255]]
+        return self.logp[state, self.classes[code & 255]].astype(np.float64)
+
     def _scores(self, texts: list[bytes]) -> np.ndarray:
         laid, ends = _laid_out(texts, self.depth)
         width, warm = self.step.shape[1], self.depth
@@ -172,24 +187,164 @@ class Tree:
         return total[ends + 1 - warm] - total[ends - lengths - warm]
 
 
-def grow(grams: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> Tree:
+def _mask(length: Column, depth: int, more: int = 0) -> Column:
+    """Bits of ``length`` + ``more`` bytes."""
+    return F.element_at(F.array(*[F.lit((1 << (8 * (d + more))) - 1) for d in range(depth + 1)]), length + 1)
+
+
+def _slots(context: np.ndarray, length: int) -> np.ndarray:
+    key = context.astype(np.uint64) | np.uint64(length << 56)
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Rest:
+    """Retained contexts beyond the automaton: ``table`` (len, context, all, next: counts
+    by next byte), the lengths there are, and a packed bit for each slot of their hashes."""
+
+    table: DataFrame
+    lengths: tuple[int, ...]
+    bits: np.ndarray
+
+
+def _met(texts: list[bytes], depth: int, lengths: tuple[int, ...], bits: np.ndarray) -> pa.Array:
+    """For each text the grams (codes of depth + 1 bytes) that may have such a context."""
+    out, sizes = [], []
+    for block in _blocks(texts):
+        laid, ends = _laid_out([texts[i] for i in block], depth)
+        code = np.zeros(len(laid) - depth, np.uint64)
+        for k in range(depth + 1):
+            code <<= np.uint64(8)
+            code |= laid[k : len(laid) - depth + k]
+        real = laid[depth:] != END
+        real[ends - depth] = True
+        hit = np.zeros(len(code), bool)
+        for d in lengths:
+            slot = _slots((code >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1), d)
+            hit |= (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+        at = np.nonzero(hit & real)[0]
+        out.append(code[at].astype(np.int64))
+        sizes.append(np.bincount(np.searchsorted(ends - depth, at), minlength=len(block)))
+    offsets = np.concatenate([[0], *[np.asarray(x) for x in sizes]]).cumsum()
+    values = np.concatenate([np.empty(0, np.int64), *out])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+
+
+def grow(grams: DataFrame, depth: int = DEPTH, least: int = LEAST_COUNT, most: int | None = None) -> tuple[Tree, Rest | None]:
     """Build the tree from (code, n): counts of contexts of ``depth`` bytes with the next.
 
-    The driver gets the candidates' next-byte counts: at most 1 / least_share contexts of
-    each length. Without any text the tree is its root, where all bytes are alike.
+    The driver gets the next-byte counts of at most ``most`` contexts, the most frequent;
+    the others come as a table. Without any text the tree is its root, where all bytes are
+    alike.
     """
+    most = HELD_CONTEXTS if most is None else most
     code, n = F.col("code"), F.col("n")
-    total = grams.agg(F.sum("n")).first()[0] or 0
     cut = grams.withColumn("len", F.explode(F.array(*[F.lit(d) for d in range(depth + 1)])))
-    mask = F.element_at(F.array(*[F.lit((1 << (8 * (d + 1))) - 1) for d in range(depth + 1)]), F.col("len") + 1)
-    counts = cut.groupBy("len", code.bitwiseAND(mask).alias("code")).agg(F.sum(n).alias("n"))
+    counts = cut.groupBy("len", code.bitwiseAND(_mask(F.col("len"), depth, 1)).alias("code")).agg(F.sum(n).alias("n"))
     context = F.shiftright("code", 8)
     counts = stored(counts.withColumn("context", context), "tree-counts")
-    enough = counts.groupBy("len", "context").agg(F.sum("n").alias("all")).where(
-        F.col("all") >= max(2.0, least_share * total)
+    admitted = counts.groupBy("len", "context").agg(F.sum("n").alias("all")).where(
+        (F.col("all") >= least) | (F.col("len") == 0)
+    )
+    level = F.floor(F.log2("all") * 8)
+    admitted = stored(admitted.withColumn("level", level), "tree-contexts")
+    start, seen, left = math.inf, 0, 0
+    for r in admitted.groupBy("level").agg(F.count("*").alias("v")).orderBy(F.desc("level")).collect():
+        if seen + r["v"] <= most and not left:
+            seen, start = seen + r["v"], r["level"]
+        else:
+            left += r["v"]
+    held = (F.col("len") == 0) | (F.col("level") >= F.lit(start))
+    chosen = counts.join(admitted.where(held), ["len", "context"]).select("len", "code", "n").toPandas()
+    tree = _grown(chosen, depth)
+    rest = counts.join(admitted.where(~held), ["len", "context"]).select("len", "context", "code", "n", "all")
+    return tree, _extended(rest, tree, depth) if left else None
+
+
+def _by_tree(grams: DataFrame, tree: Tree) -> DataFrame:
+    """Adds ``log``: log10 of the automaton's probability of a gram's last byte, after the
+    ``len`` bytes before it."""
+    share = grams.sparkSession.sparkContext.broadcast(tree)
+
+    def run(batches):
+        tree = share.value
+        for b in batches:
+            code, length = (b.column(c).to_numpy(zero_copy_only=False) for c in ("code", "len"))
+            log = np.zeros(len(code))
+            for d in np.unique(length):
+                log[length == d] = tree.after(code[length == d], int(d))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(log)], [*b.schema.names, "log"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in grams.schema)
+    return grams.mapInArrow(run, f"{kinds}, log double")
+
+
+def _extended(rest: DataFrame, tree: Tree, depth: int) -> Rest | None:
+    """Tests the contexts of a table, shorter ones first: a context's suffix is in the
+    automaton or among those of the length before."""
+    rest = stored(_by_tree(rest, tree), "tree-rest")
+    kept, below = [], None
+    have = {r["len"] for r in rest.select("len").distinct().collect()}
+    of = Window.partitionBy("context")
+    for d in range(1, depth + 1):
+        if d not in have:
+            below = None
+            continue
+        part = rest.where(F.col("len") == d).withColumn("p", F.pow(F.lit(10.0), "log"))
+        if below is not None:
+            part = part.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << (8 * d)) - 1)))
+            part = part.join(below, "suffix", "left").withColumn("p", F.coalesce("below", "p"))
+        gain = F.sum(F.col("n") * F.ln(F.col("n") / F.col("all") / F.col("p"))).over(of)
+        own = (F.col("n") + F.lit(PULL) * F.col("p")) / (F.col("all") + F.lit(PULL))
+        part = part.withColumn("keep", gain >= DIVERGENCE).select(
+            "len", "context", "code", "n", "all", "keep", F.when(F.col("keep"), own).otherwise(F.col("p")).alias("p")
+        )
+        part = stored(part, "tree-tested")
+        below = part.select(F.col("code").alias("suffix"), F.col("p").alias("below"))
+        kept.append(part.where("keep"))
+    table = reduce(DataFrame.unionByName, kept)
+    entry = F.struct(F.col("code").bitwiseAND(F.lit(255)).alias("b"), "n")
+    table = table.groupBy("len", "context").agg(
+        F.first("all").alias("all"), F.map_from_entries(F.collect_list(entry)).alias("next")
+    )
+    table = stored(table, "tree-retained")
+
+    def marks(batches):
+        for b in batches:
+            context, length = (b.column(c).to_numpy() for c in ("context", "len"))
+            slot = np.concatenate([np.empty(0, np.int64), *[_slots(context[length == d], int(d)) for d in np.unique(length)]])
+            word, at = np.unique(slot >> 5, return_inverse=True)
+            bit = np.zeros(len(word), np.int64)
+            np.bitwise_or.at(bit, at, np.int64(1) << (slot & 31))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], ["word", "bit"])
+
+    # At most 2 ** (SLOT_BITS - 5) rows.
+    found = table.select("len", "context").mapInArrow(marks, "word long, bit long")
+    found = found.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    if not found.num_rows:
+        return None
+    bits = np.zeros(1 << (SLOT_BITS - 5), "<u4")
+    bits[found.column("word").to_numpy()] = found.column("bit").to_numpy()
+    return Rest(table, tuple(sorted(have - {0})), bits.view(np.uint8))
+
+
+def _more(met: DataFrame, rest: Rest, tree: Tree, depth: int) -> DataFrame:
+    """What the table's contexts add to the automaton's log10, by code; only grams with
+    such a context."""
+    grams = met.select("code").distinct().withColumn("len", F.lit(depth))
+    grams = stored(_by_tree(grams, tree), "tree-met").withColumnRenamed("len", "full")
+    tails = grams.withColumn("len", F.explode(F.array(*map(F.lit, rest.lengths))))
+    tails = tails.withColumn("context", F.shiftright("code", 8).bitwiseAND(_mask(F.col("len"), depth)))
+    seen = F.coalesce(F.element_at("next", F.col("code").bitwiseAND(F.lit(255))), F.lit(0))
+    steps = tails.join(rest.table, ["len", "context"]).select("code", "log", F.struct("len", seen.alias("n"), "all").alias("s"))
+    p = F.aggregate(
+        F.sort_array("steps"),
+        F.pow(F.lit(10.0), "log"),
+        lambda p, s: (s["n"] + F.lit(PULL) * p) / (s["all"] + F.lit(PULL)),
+    )
+    return steps.groupBy("code", "log").agg(F.collect_list("s").alias("steps")).select(
+        "code", (F.log10(p) - F.col("log")).alias("gain")
     )
-    chosen = counts.join(enough, ["len", "context"]).select("len", "code", "n").toPandas()
-    return _grown(chosen, depth)
 
 
 def _grown(chosen, depth: int) -> Tree:
@@ -265,12 +420,13 @@ def _grown(chosen, depth: int) -> Tree:
 
 
 def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-                frequent: int = FREQUENT) -> DataFrame:
+                frequent: int = FREQUENT, most: int | None = None) -> DataFrame:
     """Rows doc_id, n_tokens, n_known, train_tokens, base_score, score, one per document.
 
     ``train`` says which rows the model learns from. Tokens are words and one end for
     each document. base_score: sum over tokens of log10((c + 1) / (N + V + 1)). score:
-    log10 of the tree's probability of the text. Null and empty texts are their end mark
+    log10 of the tree's probability of the text; ``frequent`` words and ``most`` contexts
+    go to every task, which changes no result. Null and empty texts are their end mark
     alone. Repeated rows and ids are scored each by itself; an empty table, or one without
     rows to learn from, gives a model that knows nothing. Other columns are not read.
     """
@@ -302,11 +458,11 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     del top
     end = math.log10(trained + 1) - scale
     grams = texts.mapInArrow(_count_grams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    tree = grow(stored(grams, "lm-grams"))
-    share = docs.sparkSession.sparkContext.broadcast((logs, tree))
+    tree, more = grow(stored(grams, "lm-grams"), most=most)
+    share = docs.sparkSession.sparkContext.broadcast((logs, tree, (more.lengths, more.bits) if more else None))
 
     def run(batches):
-        logs, tree = share.value
+        logs, tree, marks = share.value
         for b in batches:
             plain = [normal(t) for t in b.column("text").to_pylist()]
             n, hit, base, rare = [], [], [], []
@@ -330,14 +486,15 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
                     pa.array(base, pa.float64()),
                     pa.array(tree.scores(plain), pa.float64()),
                     pa.array(rare, pa.list_(pa.binary())),
+                    _met(plain, tree.depth, *marks) if marks else pa.array([[]] * len(plain), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_tokens", "hit", "base", "score", "rare"],
+                ["doc_id", "n_tokens", "hit", "base", "score", "rare", "met"],
             )
 
     all_docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = all_docs.schema["doc_id"].dataType.simpleString()
     scored = all_docs.mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, hit long, base double, score double, rare array<binary>"
+        run, f"doc_id {kind}, n_tokens long, hit long, base double, score double, rare array<binary>, met array<long>"
     ).withColumn("row", F.monotonically_increasing_id())
     scored = stored(scored, "lm-scores")  # from here on a row's number is fixed
     rest = scored.select("row", F.explode("rare").alias("word")).join(
@@ -346,6 +503,10 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     rest = rest.groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(scale)).alias("more"), F.count("n").alias("found")
     )
+    if more:
+        met = scored.select("row", F.explode("met").alias("code"))
+        gains = met.join(_more(met, more, tree, tree.depth), "code").groupBy("row").agg(F.sum("gain").alias("gain"))
+        scored = scored.join(gains, "row", "left").withColumn("score", F.col("score") + F.coalesce("gain", F.lit(0.0)))
     return scored.join(rest, "row", "left").select(
         "doc_id",
         "n_tokens",

@@ -110,3 +110,26 @@ def test_held_out_text_is_likely(spark):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     got = S.score_texts(docs, ~held).where(held).agg(F.sum("score").alias("s"), F.sum("n_tokens").alias("n")).first()
     assert got["s"] / got["n"] > -4.4  # log10 for each word; six bytes all alike are -14
+
+
+def test_contexts_beyond_the_automaton_are_joined(awkward):
+    """The whole tree's scores, whichever part of it goes to the tasks."""
+    score = lambda most: sorted(
+        (r["n_tokens"], round(r["score"], 2)) for r in S.score_texts(awkward, F.lit(True), most=most).collect()
+    )
+    whole = score(10**6)
+    for most in (300, 10):
+        assert all(abs(a[1] - b[1]) <= 0.02 + 1e-5 * abs(a[1]) for a, b in zip(score(most), whole, strict=True))
+
+
+def test_a_larger_corpus_loses_no_context(spark):
+    """A pattern that occurs 40 times stays in the tree when 9 MB of other text are added."""
+    few = [(0, "qzxvkj " * 40)]
+    many = [(i, "the old man and the sea went on and on " * 2000) for i in range(1, 120)]
+    probe = [(10**6, "qzxvkj qzxvkj")]
+    kind = "doc_id long, text string"
+    small = S.score_texts(spark.createDataFrame(few + many[:1] + probe, kind), F.col("doc_id") < 10**6)
+    large = S.score_texts(spark.createDataFrame(few + many + probe, kind), F.col("doc_id") < 10**6)
+    got = [t.where("doc_id = 1000000").first()["score"] for t in (small, large)]
+    # Only the first bytes, from the root, know how large the corpus is.
+    assert got[1] > got[0] - 4
