@@ -21,7 +21,14 @@ from pyspark.sql import functions as F
 from driftwell.llm.text import let
 
 #: A line over this many characters is cut after each sentence.
-LINE = 400
+LINE = 200
+#: A piece still over this many characters is cut after words whose hash meets a condition
+#: (one in WORDS), a word as long after characters whose neighbourhood does (one in CHARS).
+PIECE = 400
+WORDS, CHARS = 16, 96
+#: What no hash cuts in so many characters is a few words over and over: it is cut after
+#: each word, and a word of a few characters over and over at every PIECE.
+MOST = 1600
 #: A group is for about so many digests of one text; cells of each of its three parts.
 GROUP = 6
 PART = 7
@@ -34,9 +41,45 @@ MOST_RANGES = 4096
 RANGE_ROWS = 2000
 
 
+def _after_chars(word: Column) -> Column:
+    """A long word with a line feed after each character whose hash with the three before
+    it meets the condition."""
+    marked = lambda chars: F.transform(
+        chars,
+        lambda x, i: F.when(
+            F.pmod(F.xxhash64(F.get(chars, i - 3), F.get(chars, i - 2), F.get(chars, i - 1), x), F.lit(CHARS)) == 0,
+            F.concat(x, F.lit("\n")),
+        ).otherwise(x),
+    )
+    return let(F.regexp_extract_all(word, F.lit("(?s)."), F.lit(0)), lambda chars: F.array_join(marked(chars), ""))
+
+
+def _by_content(piece: Column) -> Column:
+    """Pieces of a long piece: where it is cut depends on the words around alone, so an
+    insertion moves no cut but its own."""
+    words = lambda x: F.split(x, r"(?<=[ \t])(?=[^ \t])", -1)
+    marked = F.transform(
+        words(piece),
+        lambda w: F.when(F.length(w) > PIECE, _after_chars(w))
+        .when(F.pmod(F.xxhash64(w), F.lit(WORDS)) == 0, F.concat(w, F.lit("\n")))
+        .otherwise(w),
+    )
+    return F.flatten(
+        F.transform(
+            F.split(F.array_join(marked, ""), "\n", -1),
+            lambda x: F.when(F.length(x) <= MOST, F.array(x)).otherwise(
+                F.flatten(
+                    F.transform(words(x), lambda w: F.regexp_extract_all(w, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+                )
+            ),
+        )
+    )
+
+
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of a text's paragraphs: its lines, long ones cut after
-    sentences; empty ones don't count."""
+    sentences, and after words by their hash where there are no sentences; empty ones
+    don't count."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     cut = F.flatten(
         F.transform(
@@ -44,6 +87,11 @@ def digests(text: Column) -> Column:
             lambda x: F.when(F.length(x) <= LINE, F.array(x)).otherwise(F.split(x, r"(?<=[.!?])[ \t]+", -1)),
         )
     )
+    # Few texts have a piece without sentence ends; the others are left as they are.
+    long = lambda x: F.length(x) > PIECE
+    cut = let(cut, lambda c: F.when(
+        F.exists(c, long), F.flatten(F.transform(c, lambda x: F.when(long(x), _by_content(x)).otherwise(F.array(x))))
+    ).otherwise(c))
     return F.array_distinct(F.transform(F.filter(cut, lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 

@@ -80,3 +80,33 @@ def test_small_tables_are_made_again_larger(spark, monkeypatch):
     assert {x["k"] for x in d["d"] if x["n"] == -1} == set(d["b"]) - set(d["a"])
     short = df.select(sketches.peel(sketches.subtract(sketches.cells(mixed("a"), 2), sketches.cells(mixed("b"), 2)), 2, 0).alias("d")).first()
     assert short["d"] is None
+
+
+def test_lines_without_sentence_ends_are_cut_by_content(spark):
+    """One line of words, one of characters without blanks, and one that repeats a word:
+    many units each, and a beginning that is put before moves few of them."""
+    import random
+
+    rng = random.Random(3)
+    line = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(4000))
+    solid = "".join(rng.choice("漢字仮名交文章例示abcd") for _ in range(20000))
+    same = "same " * 2000
+    before = "some words put before "
+    rows = [(i, t, before + t) for i, t in enumerate((line, solid, same))]
+    df = spark.createDataFrame(rows, "i int, a string, b string").select(
+        "i", sketches.digests(F.col("a")).alias("a"), sketches.digests(F.col("b")).alias("b")
+    )
+    got = {r["i"]: (set(r["a"]), set(r["b"])) for r in df.collect()}
+    for i in (0, 1):
+        a, b = got[i]
+        assert len(a) > 50
+        assert near(a, b) > 0.9
+    assert got[2][0] & got[2][1]
+
+
+def test_sentences_over_two_hundred_characters_are_units(spark):
+    """A line of 300 characters is one unit for each of its sentences."""
+    text = " ".join(f"Sentence number {i} is here." for i in range(11))
+    assert 200 < len(text) < 400
+    row = spark.createDataFrame([(text,)], "t string").select(sketches.digests(F.col("t")).alias("d")).first()
+    assert len(row["d"]) == 11
