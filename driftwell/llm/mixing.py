@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwell.llm.text import count_words, running_total, stored
+from driftwell.llm.text import count_words, let, running_total, stored, words
 
 #: Words per block and slots per output shard.
 BLOCK = 64
@@ -112,7 +112,7 @@ def permuted(source_no: Column, turn: Column, index: Column, n: Column, seed: in
 
 
 def draws(targets: DataFrame, cap: int, seed: int, shard: int = SHARD) -> DataFrame:
-    """The blocks that the slots take: source_no, block, uses (1 to ``cap``).
+    """The block that each slot takes: shard, slot, source_no, block.
 
     ``targets``: source_no, source_size, target, n_blocks. A source's expected number of
     slots is its target over its mean block length.
@@ -134,16 +134,20 @@ def draws(targets: DataFrame, cap: int, seed: int, shard: int = SHARD) -> DataFr
     )
     run = max(1, math.isqrt(round(total) // shard))  # shards per bucket of the running totals
     counts = shard_counts(parts, round(total), seed, shard).withColumn("bucket", F.floor(F.col("shard") / run))
+    # A shard's slots go to its sources in their order; one row a source.
+    in_shard = Window.partitionBy("shard").orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("at", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
     slots = running_total(counts, ["source_no"], "bucket", ["shard"], "n", "first").select(
-        "source_no", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("k")
+        "shard", "at", "first", "source_no", "n_blocks",
+        F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("k"),
     )
     turn = F.floor(F.col("k") / F.col("n_blocks"))
     index = F.pmod("k", F.col("n_blocks"))
-    return (
-        slots.where(turn < cap)
-        .select("source_no", permuted(F.col("source_no"), turn, index, F.col("n_blocks"), seed).alias("block"))
-        .groupBy("source_no", "block")
-        .agg(F.count("*").alias("uses"))
+    return slots.where(turn < cap).select(
+        "shard",
+        (F.col("at") + F.col("k") - F.col("first")).alias("slot"),
+        "source_no",
+        permuted(F.col("source_no"), turn, index, F.col("n_blocks"), seed).alias("block"),
     )
 
 
@@ -166,6 +170,19 @@ def mix_sources(
     id like any other, and repeated rows are packed one after the other. An empty table
     gives an empty table. Other columns of ``docs`` are not read.
     """
+    rows, slots = _slotted(docs, doc_id, source, size, cycle, cap, block, seed)
+    taken = slots.groupBy("source_no", "start", "doc_id", "size", "source_size", "target").agg(
+        F.sum(F.when(F.col("slot").isNotNull(), F.col("n")).otherwise(0)).alias("taken")
+    )
+    columns = ["doc_id", "size", "source_size", "target"]
+    return taken.select(*columns, "taken").unionByName(
+        rows.where(F.col("size") == 0).select(*columns, F.lit(0).cast("long").alias("taken"))
+    )
+
+
+def _slotted(docs, doc_id, source, size, cycle, cap, block, seed) -> tuple[DataFrame, DataFrame]:
+    """All rows with their sources' targets, and a row for each document's part of a block
+    and each slot that takes the block; shard and slot are null where none does."""
     sized = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
@@ -187,18 +204,44 @@ def mix_sources(
         "doc_id", "size", "source_size", "target", "source_no", "start",
         F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))).alias("block"),
     )
-    inside = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(
-        F.col("start"), F.col("block") * block
-    )
-    taken = (
-        spread.withColumn("inside", inside)
-        .join(draws(targets, cap, seed), ["source_no", "block"], "left")
-        .groupBy("source_no", "start", "doc_id", "size", "source_size", "target")
-        .agg(F.sum(F.coalesce("uses", F.lit(0)) * F.col("inside")).alias("taken"))
+    first = F.greatest(F.col("start"), F.col("block") * block)
+    inside = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - first
+    spread = spread.withColumns({
+        "n": inside, "in_doc": first - F.col("start"), "in_block": first - F.col("block") * block
+    })
+    return rows, spread.join(draws(targets, cap, seed), ["source_no", "block"], "left")
+
+
+def mixed_blocks(
+    docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", cycle: int = 3,
+    cap: int = 3, block: int = BLOCK, seed: int = 17,
+) -> DataFrame:
+    """The mix itself: shard, slot, source_no, block, words, one row for each filled slot.
+
+    The words of a block are those of the documents it runs through, in their order; the
+    last block of a source can be shorter. Counted by document they are what mix_sources
+    says of the same keys.
+    """
+    row = docs.select(
+        F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("hash")).alias("key"),
+        F.col(source).alias("source"),
+        F.col(text).alias("text"),
+        count_words(F.col(text)).alias("size"),
     )
-    columns = ["doc_id", "size", "source_size", "target"]
-    return taken.select(*columns, "taken").unionByName(
-        rows.where(F.col("size") == 0).select(*columns, F.lit(0).cast("long").alias("taken"))
+    _, slots = _slotted(row.drop("text"), "key", "source", "size", cycle, cap, block, seed)
+    # A block lies in one source, and rows that repeat id and text have the same words.
+    place = F.struct("shard", "slot", "source_no", "block", "in_block", "in_doc", "n")
+    parts = slots.where(F.col("slot").isNotNull()).groupBy("doc_id").agg(F.collect_list(place).alias("parts"))
+    parts = parts.select("parts", F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash"))
+    texts = row.select("key", "text").dropDuplicates(["key"])
+    same = F.col("key.id").eqNullSafe(F.col("_id")) & (F.col("key.hash") == F.col("_hash"))
+    cut = let(words(F.col("text")), lambda ws: F.transform("parts", lambda p: p.withField(
+        "words", F.slice(ws, (p["in_doc"] + 1).cast("int"), p["n"].cast("int"))
+    )))
+    pieces = texts.join(parts, same).select(F.inline(cut))
+    piece = F.struct("in_block", "words")
+    return pieces.groupBy("shard", "slot", "source_no", "block").agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["words"])).alias("words")
     )
 
 

@@ -100,3 +100,16 @@ def test_running_total_over_buckets(spark):
     for r in sorted(rows, key=lambda r: (r[1], r[2])):
         assert got[r[2]] == total
         total += r[3]
+
+
+def test_blocks_hold_the_words_that_are_counted(awkward, rows):
+    got = mixing.mixed_blocks(awkward).collect()
+    places = [(r["shard"], r["slot"]) for r in got]
+    assert got and len(set(places)) == len(places)
+    assert all(0 <= s < mixing.SHARD and 0 < len(r["words"]) <= mixing.BLOCK for (_, s), r in zip(places, got, strict=True))
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    keyed = awkward.select(key.alias("doc_id"), "source", text.count_words(F.col("text")).alias("size"))
+    taken = mixing.mix_sources(keyed).agg(F.sum("taken")).first()[0]
+    assert sum(len(r["words"]) for r in got) == taken
+    had = {w for r in rows for w in (r[1] or "").split()}
+    assert all(w in had for r in got for w in r["words"])
