@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm import mixing, nbsvm, near_dups, packing, rans, sketches, suffix_tree, text, url_rules, warc, weak_rules
+from driftwell.llm import (
+    merkle,
+    mixing,
+    nbsvm,
+    near_dups,
+    packing,
+    rans,
+    sketches,
+    suffix_tree,
+    text,
+    url_rules,
+    warc,
+    weak_rules,
+)
 from driftwell.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +194,87 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f"""
 
 
+# --- 13: manifest -----------------------------------------------------------
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0) & F.col("doc_id").isNotNull()
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.document_leaves(docs, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.document_leaves(docs, text.ascii_lower(F.col("text")))).alias("claim"),
+    )
+    proofs = merkle.prove(rows, "source", "doc_id", "leaf", "claim")
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+#: crc32 of a decimal text, bit by bit.
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _merkle_sql() -> str:
+    def field(c: str) -> str:
+        return f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    head = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
+    lower = f"translate(text, '{text.UPPER}', '{text.LOWER}')"
+
+    def levels(name: str, start: str) -> str:
+        """Nodes of all levels, their number in the level, and how many there are."""
+        return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, i // 16, n)"""
+
+    def siblings(name: str) -> str:
+        return f"""
+  SELECT b.tree, b.i, coalesce(string_agg(s.digest, '' ORDER BY s.level, s.i), '') AS path
+  FROM {name} b LEFT JOIN {name} s ON s.tree IS NOT DISTINCT FROM b.tree AND s.n > 1
+    AND s.i // 16 = (b.i // (16 ** s.level)::BIGINT) // 16 AND s.i <> b.i // (16 ** s.level)::BIGINT
+  WHERE b.level = 0 GROUP BY b.tree, b.i"""
+
+    return f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, {_CRC_SQL} % 5 = 0 AS tampered, sha256({head} || {field("text")}) AS leaf,
+         sha256({head} || {field(lower)}) AS changed,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM documents),
+{levels("nodes", "SELECT source AS tree, 0 AS level, i, n, leaf AS digest FROM rows")},
+sub AS (SELECT tree, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+        FROM nodes WHERE n = 1),
+{levels("tops", "SELECT 'top' AS tree, 0 AS level, i, n, digest FROM sub")},
+paths AS ({siblings("nodes")}),
+top_paths AS ({siblings("tops")}),
+proofs AS (
+  SELECT r.*, s.digest AS subroot, s.i AS place, s.n AS trees, p.path || t.path AS path,
+         (SELECT digest FROM tops WHERE n = 1) AS root
+  FROM rows r JOIN sub s ON s.tree IS NOT DISTINCT FROM r.source
+  JOIN paths p ON p.tree IS NOT DISTINCT FROM r.source AND p.i = r.i
+  JOIN top_paths t ON t.i = s.i),
+walk AS (
+  SELECT doc_id, i, n, place, trees, path, CASE WHEN tampered THEN changed ELSE leaf END AS digest FROM proofs
+  UNION ALL
+  SELECT doc_id,
+         CASE WHEN n > 1 THEN i // 16 ELSE i END,
+         CASE WHEN n > 1 THEN (n + 15) // 16 ELSE n END,
+         CASE WHEN n > 1 THEN place ELSE place // 16 END,
+         CASE WHEN n > 1 THEN trees ELSE (trees + 15) // 16 END,
+         substr(path, 64 * (least(16, width - spot // 16 * 16) - 1) + 1),
+         sha256(substr(path, 1, 64 * (spot % 16)) || digest
+                || substr(path, 64 * (spot % 16) + 1, 64 * (least(16, width - spot // 16 * 16) - 1 - spot % 16)))
+  FROM (SELECT *, CASE WHEN n > 1 THEN i ELSE place END AS spot, CASE WHEN n > 1 THEN n ELSE trees END AS width FROM walk)
+  WHERE width > 1),
+ends AS (SELECT doc_id, digest AS folded_root FROM walk WHERE n = 1 AND trees = 1)
+SELECT doc_id, leaf, subroot, root, sha256(path) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM proofs JOIN ends USING (doc_id)"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -193,8 +287,9 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": op8_fingerprints,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_warc_archives": op10_warc_archives,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filters": _url_sql(), "op10_warc_archives": _ARCHIVES_SQL}
+    return {"op7_url_filters": _url_sql(), "op10_warc_archives": _ARCHIVES_SQL, "op13_merkle_manifest": _merkle_sql()}
