@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.llm import (
+    fm_index,
     merkle,
     mixing,
     nbsvm,
@@ -194,6 +195,46 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f"""
 
 
+# --- 12: decontamination ----------------------------------------------------
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = fm_index.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hit = fm_index.covered(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def _overlap_sql() -> str:
+    def words(of: str) -> str:
+        lower = f"translate(coalesce(text, ''), '{text.UPPER}', '{text.LOWER}')"
+        return f"SELECT {of} AS id, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words"
+
+    def windows(of: str, length: str) -> str:
+        return f"""SELECT DISTINCT id, i, l, array_to_string(words[i + 1 : i + l], ' ') AS phrase FROM (
+  SELECT id, words, {length} AS l, unnest(range(0, len(words) - {length} + 1)) AS i FROM {of})"""
+
+    return f"""
+WITH items AS ({words("item_id::VARCHAR")} FROM benchmark),
+docs AS ({words("doc_id")} FROM documents),
+phrases AS (SELECT DISTINCT id, l, phrase FROM ({windows("items", f"least({fm_index.WINDOW}, len(words))")}) WHERE l > 0),
+lengths AS (SELECT DISTINCT l AS length FROM phrases),
+places AS ({windows("(SELECT * FROM docs, lengths)", "length")}),
+hits AS (SELECT p.id AS doc_id, p.i, p.l, q.id AS item FROM places p JOIN phrases q USING (l, phrase)),
+covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS w FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT id AS doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered ON covered.doc_id = id LEFT JOIN found ON found.doc_id = id"""
+
+
 # --- 13: manifest -----------------------------------------------------------
 
 
@@ -287,9 +328,15 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": op8_fingerprints,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_warc_archives": op10_warc_archives,
+        "op12_decontamination": op12_decontamination,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filters": _url_sql(), "op10_warc_archives": _ARCHIVES_SQL, "op13_merkle_manifest": _merkle_sql()}
+    return {
+        "op7_url_filters": _url_sql(),
+        "op10_warc_archives": _ARCHIVES_SQL,
+        "op12_decontamination": _overlap_sql(),
+        "op13_merkle_manifest": _merkle_sql(),
+    }
