@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.llm import (
@@ -14,6 +14,7 @@ from driftwell.llm import (
     nbsvm,
     near_dups,
     packing,
+    periodic,
     rans,
     sketches,
     suffix_tree,
@@ -195,6 +196,73 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f"""
 
 
+#: crc32 of a decimal text, bit by bit.
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+# --- 11: periodic runs ------------------------------------------------------
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Rows doc_id, text: in one text of ten all words from some word on repeat a few."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(ws: Column) -> Column:
+        n, g = F.size(ws), F.floor(h / 10)
+        a = g % F.greatest(n, F.lit(1))
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        spots = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(spots, lambda i: F.get(ws, i.cast("int"))), " ")).otherwise("")
+
+    planted = text.let(text.words(F.col("text")), repeated)
+    return rows.withColumn("text", F.when(h % 10 == 0, planted).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.repeated_runs(with_planted_runs(table(spark, folder, "documents")))
+    longer = "CASE WHEN x.length * y.period <> y.length * x.period THEN sign(y.length * x.period - x.length * y.period)"
+    by_exponent = f"{longer} WHEN x.start <> y.start THEN sign(x.start - y.start) ELSE sign(x.period - y.period) END"
+    best = F.expr(f"get(array_sort(runs, (x, y) -> int({by_exponent})), 0)")
+    line = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(line.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _runs_sql() -> str:
+    least, times = periodic.LEAST, periodic.TIMES
+    return f"""
+WITH texts AS (SELECT doc_id, {_CRC_SQL} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sized AS (SELECT *, len(ws) AS n, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) ELSE 0 END AS a FROM texts),
+spots AS (SELECT doc_id, n, ws, unnest(range(n)) AS i, a, 1 + (n - a) // (3 + (h // 10) % 8) AS p, h % 10 = 0 AS planted FROM sized),
+words AS (SELECT doc_id, n, i, ws[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS w FROM spots),
+equal AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y
+          ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND {times} * (y.i - x.i) <= x.n),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+              FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+              GROUP BY doc_id, q, island HAVING count(*) + q >= greatest({least}, {times} * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+best AS (SELECT * FROM (SELECT x.*, row_number() OVER (PARTITION BY doc_id ORDER BY better, start, period) AS place
+         FROM (SELECT x.*, (SELECT count(*) FROM runs y WHERE y.doc_id = x.doc_id AND y.length * x.period > x.length * y.period) AS better
+               FROM runs x) x) WHERE place = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+           FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS line FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, b.length * 1000 // b.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(line, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN best b USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 # --- 12: decontamination ----------------------------------------------------
 
 
@@ -253,11 +321,6 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-#: crc32 of a decimal text, bit by bit.
-_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
-  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
-
-
 def _merkle_sql() -> str:
     def field(c: str) -> str:
         return f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
@@ -328,6 +391,7 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": op8_fingerprints,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_warc_archives": op10_warc_archives,
+        "op11_periodic_runs": op11_periodic_runs,
         "op12_decontamination": op12_decontamination,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
@@ -337,6 +401,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_url_filters": _url_sql(),
         "op10_warc_archives": _ARCHIVES_SQL,
+        "op11_periodic_runs": _runs_sql(),
         "op12_decontamination": _overlap_sql(),
         "op13_merkle_manifest": _merkle_sql(),
     }
