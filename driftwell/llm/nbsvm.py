@@ -122,8 +122,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         label: str = "label", fit_rows: int = FIT_ROWS) -> Model:
     """Fit on at most about ``fit_rows`` rows of ``labels`` (doc_id, label 0 or 1).
 
-    Rows with a null id or label, or with an id that ``docs`` doesn't have, are not used.
-    Without labelled rows of both classes the model scores the one class's share, or 0.5.
+    Rows with a null id or label, or with an id that ``docs`` doesn't have, are not used;
+    repeated rows count as often as they are there. Without labelled rows of both classes,
+    as with empty tables, the model scores the one class's share, or 0.5. Other columns are
+    not read, whatever their names.
     """
     held = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1))
     n = held.count()
@@ -134,8 +136,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     )
     shards = max(1, round(min(n, fit_rows) / SHARD_ROWS))
     # The sample is bounded by fit_rows, whatever the size of the tables.
-    rows = docs.join(F.broadcast(picked), F.col(doc_id) == F.col("_id")).select(
-        F.col(text).alias("text"),
+    texts = docs.select(F.col(doc_id).alias("_doc_id"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(picked), F.col("_doc_id") == F.col("_id")).select(
+        "text",
         "label",
         F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(CALIBRATE * shards)).cast("int").alias("shard"),
     )

@@ -89,7 +89,7 @@ def judge_urls(
     pages = pages.drop(*[c for c in pages.columns if c.lower() in names])
     host, path = host_and_path(F.col(url))
     pages = pages.withColumns({"host": host, "path": path})
-    spot = unused(pages, "_spot")
+    spot, won = unused(pages, "_spot"), unused(pages, "_won")
     # Host and path decide everything; a page's query string or fragment adds no work.
     # A host never contains a slash, so the two are told apart in one text.
     pages = pages.withColumn(spot, F.concat("host", "path"))
@@ -120,11 +120,11 @@ def judge_urls(
         hits.join(small(index), "token")
         .where(F.expr(f"{spot} RLIKE regex"))
         .groupBy(spot)
-        .agg(F.max(F.struct("tier", F.length("name").alias("len"), "name", "action")).alias("best"))
+        .agg(F.max(F.struct("tier", F.length("name").alias("len"), "name", "action")).alias(won))
     )
     return pages.join(best, spot, "left").select(
         *[c for c in pages.columns if c != spot],
-        F.when(F.col("best.tier") > 0, F.col("best.name")).alias("rule"),
-        F.when(F.col("best.tier") == 0, F.col("best.name")).alias("pattern"),
-        F.coalesce("best.action", F.lit(default)).alias("verdict"),
+        F.when(F.col(f"{won}.tier") > 0, F.col(f"{won}.name")).alias("rule"),
+        F.when(F.col(f"{won}.tier") == 0, F.col(f"{won}.name")).alias("pattern"),
+        F.coalesce(f"{won}.action", F.lit(default)).alias("verdict"),
     )

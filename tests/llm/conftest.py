@@ -6,8 +6,11 @@ import pytest
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long,"
-    " score double, kept boolean, size string, row long, key string"
+    " score double, kept boolean, size string, row long, key string,"
+    " label int, _id long, best string, shard long, w string, hash long, range long"
 )
+#: Values of the columns whose names clash with those that operators use inside.
+CLASHING = (0.5, True, "big", 4, "k", 1, 3, "b", 5, "w", 6, 7)
 
 
 def prose(rng: random.Random, n: int) -> str:
@@ -38,9 +41,10 @@ def awkward_rows() -> list[tuple]:
     texts += [f"{w}*** {w}&&&" for w in ("x", "yy")]
     rows = []
     for i, t in enumerate(texts):
-        rows.append((i * 3, t, "en", f"s{i % 4}", len(t or ""), 0.5, True, "big", i, "k"))
-    rows.append((None, texts[8], None, None, None, None, None, None, None, None))
-    rows.append((None, "another text without an id", None, None, None, None, None, None, None, None))
+        rows.append((i * 3, t, "en", f"s{i % 4}", len(t or ""), *CLASHING))
+    none = (None,) * len(CLASHING)
+    rows.append((None, texts[8], None, None, None, *none))
+    rows.append((None, "another text without an id", None, None, None, *none))
     rows.append(rows[9])
     rows.append(rows[9])
     rows.append(rows[1])

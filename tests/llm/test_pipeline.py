@@ -59,4 +59,4 @@ def test_registered(spark):
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n in entry.queries() if n.startswith("op")] == list(queries.queries())
-    assert len(queries.queries()) == 10 and mixing and near_dups
+    assert len(queries.queries()) == 13 and mixing and near_dups

@@ -8,7 +8,8 @@ URLS = [
     "http://example.org/en/2", "http://notexample.org/es/", "http://x.com/fr/1", "http://x.com/de/1#/casino/",
     "ftp://x.net/casino/y", "http://x.net/a/casino/", "http://x.net/casinos/", "http://x.net/setup.exe", "http://x.net/setup.exe?x",
     "http://com/fr/", "http://x.net//a", "mailto:a://org/es/", "http://x.org/é\n/ü", "http://x.org", "http://x.COM/fr/?/de/",
-    "http://x.net/TAG/1/page/2/", "http://x.net/tag/1/page/2/",
+    "http://x.net/TAG/1/page/2/", "http://x.net/tag/1/page/2/", "http://x.org/es/" + "tag/" * 50_000 + "page/",
+    "http://" + "a." * 20_000 + "example.org/en/1",
 ]
 
 
@@ -33,8 +34,10 @@ def brute(url):
 
 
 def test_judges_like_brute_force(spark):
-    rows = [(i, u, "x", "y") for i, u in enumerate(URLS)] + [(None, URLS[5], None, None), (3, URLS[3], "x", "y")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, rule string, Host string").repartition(3)
+    rows = [(i, u, "x", "y", i, "b", "w", "t") for i, u in enumerate(URLS)]
+    rows += [(None, URLS[5], *[None] * 6), rows[3], rows[3]]
+    kinds = "page_id long, url string, rule string, Host string, best long, _spot string, _won string, token string"
+    pages = spark.createDataFrame(rows, kinds).repartition(3)
     got = judge_urls(pages, queries.url_rule_list()).collect()
     assert len(got) == len(rows)
     for r in got:
