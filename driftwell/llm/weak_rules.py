@@ -13,18 +13,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.llm.text import WORD, let, stored, words
 
 ROUNDS = 25
-#: Pseudo-counts that keep rates off 0 and 1, as a share of all documents and at least 1.
-SMOOTHING = 1e-3
-#: Least share of bad documents that each rule is taken to blame.
-BLAME = 0.1
-#: The share of good documents is estimated within these bounds.
-PRIOR = (0.5, 0.98)
+#: Weight of the rates at the start against those counted.
+PULL = 0.02
 
 #: Words that running text of the corpus's languages has many of.
 COMMON = (
@@ -138,47 +135,51 @@ def _posterior(names: list[str], model: dict) -> Column:
     """P(good | votes) of independent rules."""
     odds = F.lit(math.log(model["prior"] / (1 - model["prior"])))
     for v in names:
-        for value in (-1, 1):
-            g, b = model[v, value, "good"], model[v, value, "bad"]
-            odds = odds + F.when(F.col(v) == value, F.lit(math.log(g / b))).otherwise(F.lit(0.0))
+        against, none, for_it = (F.lit(_evidence(model, v, value)) for value in (-1, 0, 1))
+        odds = odds + F.when(F.col(v) == -1, against).when(F.col(v) == 1, for_it).otherwise(none)
     return 1 / (1 + F.exp(-odds))
 
 
+def _evidence(model: dict, rule: str, value: int) -> float:
+    """Log of how much likelier good documents get this vote, or none, than bad ones."""
+    rate = {c: model[rule, value, c] if value else 1 - model[rule, -1, c] - model[rule, 1, c] for c in ("good", "bad")}
+    return math.log(rate["good"] / rate["bad"])
+
+
 def fit_votes(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict:
     """EM over pattern counts (columns ``names`` and n): the prior and each rule's rates.
 
-    Starts from rules that seldom blame a good document. Bad documents are of many kinds,
-    and a rule sees its own kind only: a vote for bad keeps a rate of at least BLAME among
-    them, or the kind with most documents would claim the class. A rule's vote is never
-    taken against its word: its likelihood ratio stays on its own side. Each round is one
-    aggregate over the patterns; the driver holds the few numbers of the model.
+    There are at most 3 ** rules patterns, so the driver holds them. To abstain is an
+    outcome like a vote: most rules only ever blame, and a document that none blames is
+    the likelier to be good. Rates start from rules that seldom blame a good document, and
+    stay mixed with the start by PULL, so that none becomes 0 or 1. A rule's vote is never
+    taken against its word: its rates are then made equal. Without documents the model is
+    the start.
     """
-    model: dict = {"prior": 0.85}
+    start: dict = {"prior": 0.85}
     for v in names:
-        model |= {(v, 1, "good"): 0.8, (v, -1, "good"): 0.01, (v, 1, "bad"): 0.5, (v, -1, "bad"): 0.4}
-    p, n = F.col("p"), F.col("n")
-    sums = [F.sum(n).alias("n"), F.sum(n * p).alias("good")]
-    for v in names:
-        for value in (-1, 1):
-            hit = F.col(v) == value
-            sums += [
-                F.sum(F.when(hit, n * p).otherwise(0.0)).alias(f"{v}_{value}_good"),
-                F.sum(F.when(hit, n * (1 - p)).otherwise(0.0)).alias(f"{v}_{value}_bad"),
-            ]
-    for _ in range(rounds):
-        s = patterns.withColumn("p", _posterior(names, model)).agg(*sums).first()
-        if not s["n"]:
-            break
-        extra = max(1.0, SMOOTHING * s["n"])
-        good, bad = s["good"], s["n"] - s["good"]
-        model["prior"] = min(PRIOR[1], max(PRIOR[0], (good + extra) / (s["n"] + 2 * extra)))
-        for v in names:
+        start |= {(v, 1, "good"): 0.6, (v, -1, "good"): 0.01, (v, 1, "bad"): 0.3, (v, -1, "bad"): 0.4}
+    rows = patterns.select(*names, "n").collect()
+    votes = np.array([[r[v] for v in names] for r in rows]).reshape(len(rows), len(names))
+    n = np.array([float(r["n"]) for r in rows])
+    model = dict(start)
+    for _ in range(rounds if len(rows) else 0):
+        odds = np.full(len(rows), math.log(model["prior"] / (1 - model["prior"])))
+        for k, v in enumerate(names):
+            for value in (-1, 0, 1):
+                odds[votes[:, k] == value] += _evidence(model, v, value)
+        p = 1 / (1 + np.exp(-odds))
+        weight = {"good": n * p, "bad": n * (1 - p)}
+        model["prior"] = (weight["good"].sum() + start["prior"]) / (n.sum() + 1)
+        for k, v in enumerate(names):
             for value in (-1, 1):
-                g = (s[f"{v}_{value}_good"] + extra) / (good + 3 * extra)
-                b = (s[f"{v}_{value}_bad"] + extra) / (bad + 3 * extra)
-                b = max(b, BLAME) if value == -1 else b
+                hit = votes[:, k] == value
+                g, b = (
+                    (1 - PULL) * (weight[c][hit].sum() + start[v, value, c]) / (weight[c].sum() + 1) + PULL * start[v, value, c]
+                    for c in ("good", "bad")
+                )
                 if (g < b) == (value == 1):  # against its word: no evidence
-                    g = b = max(g, b)
+                    g = b = (g + b) / 2
                 model[v, value, "good"], model[v, value, "bad"] = g, b
     return model
 
@@ -190,7 +191,7 @@ def apply_rules(
 
     base_failed: fewer than 10 words, or over a fifth of the words in repeated 5-word
     windows; such documents are never kept. Of the others those with a posterior of
-    ``keep`` or more are. A null text counts as empty and fails. Repeated rows and ids are
+    ``keep`` or more are; the model is fitted on all documents. A null text counts as empty and fails. Repeated rows and ids are
     judged each by itself; an empty table gives an empty table. Other columns of ``docs``
     are not read, unless ``carry`` asks for the whole row, as the column row.
     """
@@ -199,9 +200,7 @@ def apply_rules(
     counted = stored(counted, "rule-votes")
     names = list(named)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    # What fails the base is decided; the rules are for the rest.
-    patterns = counted.where(~failed).groupBy(*names).agg(F.count("*").alias("n")).coalesce(1)
-    model = fit_votes(stored(patterns, "rule-patterns"), names)
+    model = fit_votes(counted.groupBy(*names).agg(F.count("*").alias("n")), names)
     quality = _posterior(names, model)
     return counted.withColumns(
         {"base_failed": failed, "quality": quality, "kept": ~failed & (quality >= F.lit(keep))}

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from driftwell.llm import nbsvm, weak_rules
@@ -59,17 +60,30 @@ def test_votes_are_fitted_like_by_hand(spark):
     patterns = [(1, -1, 10), (0, -1, 5), (1, 0, 85)]
     df = spark.createDataFrame(patterns, "x int, y int, n long")
     model = weak_rules.fit_votes(df, ["x", "y"], rounds=1)
+    good_at, bad_at = {1: 0.6, -1: 0.01, 0: 0.39}, {1: 0.3, -1: 0.4, 0: 0.3}
 
     def p(x, y):
-        odds = np.log(0.85 / 0.15)
-        odds += np.log(0.8 / 0.5) if x == 1 else 0
-        odds += np.log(0.01 / 0.4) if y == -1 else 0
-        return 1 / (1 + np.exp(-odds))
+        good, bad = 0.85 * good_at[x] * good_at[y], 0.15 * bad_at[x] * bad_at[y]
+        return good / (good + bad)
 
     good = sum(n * p(x, y) for x, y, n in patterns)
-    assert np.isclose(model["prior"], min(0.98, max(0.5, (good + 1) / 102)))
+    assert np.isclose(model["prior"], (good + 0.85) / 101)
     x_good = sum(n * p(x, y) for x, y, n in patterns if x == 1)
-    assert np.isclose(model["x", 1, "good"], (x_good + 1) / (good + 3))
+    assert np.isclose(model["x", 1, "good"], 0.98 * (x_good + 0.6) / (good + 1) + 0.02 * 0.6)
+    empty = weak_rules.fit_votes(df.limit(0), ["x", "y"])
+    assert empty["prior"] == 0.85 and empty["y", -1, "bad"] == 0.4
+
+
+@pytest.mark.parametrize("corpus,least", [("all", 0.99), ("junk", 0.9)])
+def test_rules_on_clean_and_on_bad_corpora(spark, corpus, least):
+    """The share of junk is estimated, also where half of the corpus is junk."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    if corpus == "junk":
+        docs = docs.join(labels.where("quality = 0 or doc_id % 10 = 0"), "doc_id", "left_semi")
+    judged = weak_rules.apply_rules(docs).drop("quality").join(labels, "doc_id").where(~F.col("base_failed"))
+    right = judged.agg(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("int"))).first()[0]
+    assert right > least
 
 
 def test_classifier_on_held_out_labels(spark):
