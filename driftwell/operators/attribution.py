@@ -2,31 +2,28 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwell.operators.forests import node_table
 from driftwell.operators.perturb import permute_columns
 from driftwell.operators.prep import FEATURES
 from driftwell.operators.quality import attribution_importance, auc
-from driftwell.session import scratch_path
 
 # MLlib's boosted margin is half the log-odds of the positive class.
 LOG_ODDS_PER_MARGIN = 2.0
-# A path over m features has 2^m on/off patterns; deeper trees are refused.
-MAX_PATH_FEATURES = 10
-# What goes to every task: an ensemble of at most this many nodes, and at most this
-# many table cells (160 MB).
-MAX_NODES = 1_000_000
-MAX_CELLS = 20_000_000
+# What goes to every task: an ensemble of at most this many nodes.
+MAX_NODES = 5_000_000
 
 
 def permutation_importance(
@@ -59,43 +56,29 @@ def permutation_importance(
 
 @dataclass(frozen=True)
 class Leaf:
-    """One path: per feature the values that stay on it, and what each pattern adds.
+    """One path: per feature the values that stay on it, and its share of the cover.
 
     A numeric feature stays while low < x <= high, a coded one (``codes`` by path
-    position) while x is listed. ``table[pattern]`` holds the attribution of every
-    path feature, where bit j of the pattern says whether feature j stays.
+    position) while x is listed.
     """
 
     features: np.ndarray
     low: np.ndarray
     high: np.ndarray
     codes: dict[int, np.ndarray]
-    table: np.ndarray
-    expected: float
+    shares: np.ndarray
+    value: float
 
+    @property
+    def expected(self) -> float:
+        return self.value * math.prod(self.shares)
 
-def node_table(spark: SparkSession, model) -> DataFrame:
-    """(tree, id, left, right, feature, left_values, categories, value, cover) of an ensemble.
-
-    Reads the table that a saved MLlib tree ensemble consists of.
-    """
-    path = scratch_path(spark, "trees")
-    model.write().save(path)
-    return spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"),
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold").alias("left_values"),
-        F.col("nodeData.split.numCategories").alias("categories"),
-        F.col("nodeData.prediction").alias("value"),
-        F.col("nodeData.rawCount").cast("double").alias("cover"),
-    )
 
+def leaves_of(nodes: DataFrame, weights: Sequence[float], scale: float = LOG_ODDS_PER_MARGIN, of_class: bool = False) -> list[Leaf]:
+    """Walk the node table, whose size the model's settings bound, into leaf paths.
 
-def leaves_of(nodes: DataFrame, weights: Sequence[float]) -> list[Leaf]:
-    """Walk the node table, whose size the model's settings bound, into leaf paths."""
+    ``of_class``: a leaf's value is its share of class 1 instead of its prediction.
+    """
     rows = nodes.limit(MAX_NODES + 1).collect()
     if len(rows) > MAX_NODES:
         raise ValueError(f"the ensemble has more than {MAX_NODES} nodes")
@@ -103,17 +86,14 @@ def leaves_of(nodes: DataFrame, weights: Sequence[float]) -> list[Leaf]:
     for r in rows:
         trees.setdefault(r["tree"], {})[r["id"]] = r
     out: list[Leaf] = []
-    cells = 0
     for number, tree in trees.items():
-        scale = LOG_ODDS_PER_MARGIN * weights[number]
+        factor = scale * weights[number]
         stack = [(tree[0], {}, {})]
         while stack:
             node, span, kept = stack.pop()
             if node["left"] < 0:
-                out.append(_leaf(scale * node["value"], span, kept))
-                cells += out[-1].table.size
-                if cells > MAX_CELLS:
-                    raise ValueError("the trees are too deep to attribute row by row")
+                value = node["stats"][1] / sum(node["stats"]) if of_class else node["value"]
+                out.append(_leaf(factor * value, span, kept))
                 continue
             f = node["feature"]
             for side in ("left", "right"):
@@ -136,24 +116,7 @@ def _narrowed(stay, node, left: bool):
 
 
 def _leaf(value: float, span: dict, kept: dict) -> Leaf:
-    """Shapley values of one leaf: v(S) = value * prod(in S: hit) * prod(not in S: cover share)."""
     names = list(span)
-    m = len(names)
-    if m > MAX_PATH_FEATURES:
-        raise ValueError(f"a path uses {m} features, more than {MAX_PATH_FEATURES}")
-    shares = [kept[f] for f in names]
-    table = np.zeros((2**m, m))
-    for i in range(m):
-        others = [j for j in range(m) if j != i]
-        for size in range(m):
-            weight = math.factorial(size) * math.factorial(m - size - 1) / math.factorial(m)
-            for chosen in itertools.combinations(others, size):
-                rest = math.prod(shares[j] for j in others if j not in chosen)
-                need = sum(1 << j for j in chosen)
-                for pattern in range(2**m):
-                    if pattern & need == need:
-                        hit = (pattern >> i) & 1
-                        table[pattern, i] += weight * rest * (hit - shares[i]) * value
     return Leaf(
         np.array(names, dtype=np.int64),
         np.array([s[0] if isinstance(s, tuple) else math.nan for s in span.values()]),
@@ -163,37 +126,77 @@ def _leaf(value: float, span: dict, kept: dict) -> Leaf:
             for j, s in enumerate(span.values())
             if isinstance(s, frozenset)
         },
-        table,
-        value * math.prod(shares),
+        np.array([kept[f] for f in names], dtype=float),
+        value,
     )
 
 
+@lru_cache(maxsize=None)
+def _nodes(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gauss-Legendre places and weights on [0, 1], exact for polynomials below degree m."""
+    t, w = np.polynomial.legendre.leggauss(max(1, -(-m // 2)))
+    return (t + 1) / 2, w / 2
+
+
+def path_values(hits: np.ndarray, shares: np.ndarray, value: float) -> np.ndarray:
+    """Shapley values of one leaf for rows of on/off patterns (rows x features).
+
+    The leaf is worth value * prod(in S: hit) * prod(not in S: share). The weight of a set
+    of s others among m features, s! (m - s - 1)! / m!, is the integral of
+    t^s (1 - t)^(m - s - 1) over [0, 1], so the sum over all sets is that of the polynomial
+    prod(hit * t + share * (1 - t)) over the others: m products at m / 2 places, exactly,
+    where there are 2^m sets. Products without one factor come from those before and after
+    it, so nothing is divided by a small share.
+    """
+    rows, m = hits.shape
+    out = np.zeros((rows, m))
+    for t, w in zip(*_nodes(m), strict=True):
+        factor = np.where(hits, t, 0.0) + shares * (1 - t)
+        before = np.ones((rows, m + 1))
+        np.cumprod(factor, axis=1, out=before[:, 1:])
+        after = np.ones((rows, m + 1))
+        after[:, :-1] = np.cumprod(factor[:, ::-1], axis=1)[:, ::-1]
+        out += w * before[:, :-1] * after[:, 1:]
+    return value * (hits - shares) * out
+
+
 def attribute(matrix: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
-    """Attributions of a block of rows: one table lookup per leaf."""
+    """Attributions of a block of rows, leaf by leaf; patterns that rows share are worked
+    out once."""
     out = np.zeros_like(matrix)
     for leaf in leaves:
-        if not len(leaf.features):
+        m = len(leaf.features)
+        if not m:
             continue
         x = matrix[:, leaf.features]
         hits = (x > leaf.low) & (x <= leaf.high)
         for j, codes in leaf.codes.items():
             hits[:, j] = np.isin(x[:, j], codes)
-        pattern = hits @ (1 << np.arange(len(leaf.features)))
-        out[:, leaf.features] += leaf.table[pattern]
+        if m < 20 and 1 << m <= len(matrix):
+            every = (np.arange(1 << m)[:, None] >> np.arange(m)) & 1 > 0
+            values = path_values(every, leaf.shares, leaf.value)[hits @ (1 << np.arange(m))]
+        else:
+            values = path_values(hits, leaf.shares, leaf.value)
+        out[:, leaf.features] += values
     return out
 
 
 def tree_attributions(
     prepared: DataFrame, model, names: Sequence[str], keep: Sequence[str] = ()
 ) -> tuple[DataFrame, float]:
-    """Path-dependent Shapley values of a boosted model's log-odds, per row.
+    """Path-dependent Shapley values of a boosted model's log-odds, or of a forest's or a
+    tree's probability of class 1, per row; trees may have any depth.
 
     Returns the table (``keep`` columns and one column per feature) and the base
-    value; base plus the row's attributions is the row's log-odds. Rows are independent,
+    value; base plus the row's attributions is the row's value. Rows are independent,
     so this is one map over the partitions with the leaves sent along.
     """
     spark = prepared.sparkSession
-    leaves = leaves_of(node_table(spark, model), model.treeWeights)
+    if isinstance(model, GBTClassificationModel):
+        leaves = leaves_of(node_table(spark, model), model.treeWeights)
+    else:
+        trees = getattr(model, "getNumTrees", 1)
+        leaves = leaves_of(node_table(spark, model), [1.0] * trees, 1.0 / trees, of_class=True)
     base = float(sum(leaf.expected for leaf in leaves))
     shared = spark.sparkContext.broadcast(leaves)
     fields = [prepared.schema[c] for c in keep]

@@ -18,14 +18,8 @@ from driftwell.functions import (
     ks_exact_p,
     no_nan,
 )
-from driftwell.operators.ordered import (
-    ColumnFacts,
-    column_facts,
-    pair_counts,
-    pair_facts,
-    pair_walk,
-    quantiles,
-)
+from driftwell.operators.counts import SideCounts, count_sides, reference_quantiles
+from driftwell.operators.ordered import ColumnFacts, pair_walk, quantiles
 
 # Thresholds and the share that stands in for an empty class.
 EMPTY_SHARE = 1e-4
@@ -113,16 +107,18 @@ def ks_two_sample(
     """
     side = F.col(IS_REFERENCE) if is_reference is None else is_reference
     numeric, _ = split_columns(df.select(*columns))
-    facts = pair_facts(df, numeric, side)
-    walked = numeric if facts.rows_a + facts.rows_b else []
-    blanks = df.sparkSession.createDataFrame(
+    return _ks_from(count_sides(df, numeric, [], side), columns, p_method)
+
+
+def _ks_from(counts: SideCounts, columns: Sequence[str], p_method: str) -> DataFrame:
+    walked = [c for c in columns if c in counts.numeric] if counts.rows_a + counts.rows_b else []
+    blanks = counts.table.sparkSession.createDataFrame(
         [(c, 0, 0, 0.0) for c in columns if c not in walked],
         "column string, n_a long, n_b long, d double",
     )
     tested = blanks
     if walked:
-        counts = pair_counts(df, numeric, side, facts)
-        tested = pair_walk(counts, facts).select("column", "n_a", "n_b", "d")
+        tested = pair_walk(counts.slotted(walked), counts.pair_facts(walked)).select("column", "n_a", "n_b", "d")
         if len(walked) < len(columns):
             tested = tested.unionByName(blanks)
     return ks_p_value(tested, p_method).select(
@@ -156,29 +152,6 @@ def decile_edges(
     return {name: sorted({v for v in got[name] if v is not None}) for name in columns}
 
 
-def continuous_columns(
-    df: DataFrame,
-    numeric: Sequence[str],
-    rows: Column,
-    facts: Mapping[str, ColumnFacts],
-    above: int = CONTINUOUS_ABOVE,
-) -> set[str]:
-    """Numeric columns with more than ``above`` distinct values, missing as one.
-
-    The sketch settles clear cases; close calls are counted exactly, and those
-    sets are small.
-    """
-    close = [c for c in numeric if facts[c].distinct <= 2 * above + 20]
-    out = {c for c in numeric if c not in close}
-    if close:
-        row = df.agg(
-            *[F.collect_set(F.when(rows, no_nan(F.col(c)))).alias(c) for c in close],
-            *[F.max(rows & no_nan(F.col(c)).isNull()).alias(f"{c}__null") for c in close],
-        ).first()
-        out |= {c for c in close if len(row[c]) + int(bool(row[f"{c}__null"])) > above}
-    return out
-
-
 def psi(
     df: DataFrame,
     columns: Sequence[str],
@@ -197,35 +170,32 @@ def psi(
     """
     side = F.col(IS_REFERENCE) if is_reference is None else is_reference
     numeric, other = split_columns(df.select(*columns))
-    # One pass of facts serves both the choice of columns and their edges.
-    facts = column_facts(df, {c: F.when(side, F.col(c)) for c in numeric}) if numeric else {}
-    cut = (
-        set(numeric)
-        if binned == "numeric"
-        else continuous_columns(df, numeric, side, facts)
-    )
-    edges = (
-        decile_edges(df, {c: F.col(c) for c in numeric if c in cut}, bins, side, facts)
-        if cut
-        else {}
-    )
-    cut = {c for c in cut if len(edges[c]) >= 2}
-    numbers, texts = [], []
-    for i, c in enumerate(columns):
-        if c in cut:
-            numbers += [F.lit(i), bin_right_closed(no_nan(F.col(c)), edges[c], widen_edges).cast("double")]
-        elif c in numeric:
-            numbers += [F.lit(i), no_nan(F.col(c))]
-        else:
-            texts += [F.lit(i), F.col(c).cast("string")]
-    parts = [
-        side_counts(df, side, cells).select("column", "n_a", "n_b")
-        for cells in (numbers, texts)
-        if cells
+    return _psi_from(count_sides(df, numeric, other, side), columns, bins, widen_edges, binned)
+
+
+def _psi_from(
+    counts: SideCounts, columns: Sequence[str], bins: int, widen_edges: bool = True, binned: str = "continuous"
+) -> DataFrame:
+    """The index from counts by value: edges are quantiles of the reference's counts, and
+    only the counts are dealt to bins."""
+    cut = [
+        c for c in counts.numeric
+        if c in columns and (binned == "numeric" or counts.facts[c].distinct_a > CONTINUOUS_ABOVE)
     ]
-    counts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    names = F.create_map(*[F.lit(x) for pair_ in enumerate(columns) for x in pair_])
-    return psi_from_counts(counts).withColumn("column", names[F.col("column")])
+    got = reference_quantiles(counts, cut, [i / bins for i in range(bins + 1)])
+    edges = {c: sorted({v for v in got[c] if v is not None}) for c in cut}
+    value = F.when(F.lit(False), F.lit(0.0))
+    for c in cut:
+        if len(edges[c]) >= 2:
+            here = F.col("id") == counts.names.index(c)
+            value = value.when(here, bin_right_closed(F.col("value"), edges[c], widen_edges).cast("double"))
+    table = counts.table.where(F.col("id").isin(counts.ids(columns)))
+    binned_counts = (
+        table.groupBy(F.col("id").alias("column"), value.otherwise(F.col("value")).alias("value"), "text")
+        .agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
+    )
+    names = F.create_map(*[F.lit(x) for pair_ in enumerate(counts.names) for x in pair_])
+    return psi_from_counts(binned_counts).withColumn("column", names[F.col("column")])
 
 
 def side_counts(df: DataFrame, side: Column, cells: Sequence[Column]) -> DataFrame:
@@ -296,7 +266,6 @@ def drift_report(
     is_reference: Column | None = None,
     rule: str = "distinct",
     p_method: str = "asymptotic",
-    buckets: int | None = None,
 ) -> DataFrame:
     """(column, kind, metric, value, drift, p_method): one row per column, all in one job.
 
@@ -309,36 +278,34 @@ def drift_report(
     names = list(columns) if columns else [c for c in df.columns if c != IS_REFERENCE]
     names = [c for c in names if c not in skip]
     numeric, text = split_columns(df.select(*names))
-    facts = pair_facts(df, numeric, side, buckets)
+    counts = count_sides(df, numeric, text, side)
+    sizes = F.lit(float(counts.rows_a)), F.lit(float(counts.rows_b))
     stability = psi_term(
-        F.coalesce(F.try_divide("n_a", "rows_a"), F.lit(0.0)),
-        F.coalesce(F.try_divide("n_b", "rows_b"), F.lit(0.0)),
+        F.coalesce(F.try_divide("n_a", sizes[0]), F.lit(0.0)),
+        F.coalesce(F.try_divide("n_b", sizes[1]), F.lit(0.0)),
     )
+    # KS where it decides, else the index over values; both from the written counts.
+    tested = [c for c in numeric if rule == "dtype" or counts.facts[c].distinct_a > CONTINUOUS_ABOVE]
+    tested = tested if counts.rows_a + counts.rows_b else []
+    rest = [c for c in names if c not in tested]
+    name = F.create_map(*[F.lit(x) for pair_ in enumerate(counts.names) for x in pair_])
+    distinct = F.create_map(*[F.lit(x) for c in names for x in (c, counts.facts[c].distinct_a)])
     parts = []
-    if numeric:
-        counts = pair_counts(df, numeric, side, facts)
-        walked = pair_walk(counts, facts, stability)
-        parts.append(
-            walked.select("column", "n_a", "n_b", "d", F.col("term").alias("psi"), "distinct_a")
-        )
-    if text:
-        cells = [x for c in text for x in (F.lit(c), F.col(c).cast("string"))]
-        rows = F.lit(float(facts.rows_a)), F.lit(float(facts.rows_b))
+    if tested:
+        walked = pair_walk(counts.slotted(tested), counts.pair_facts(tested))
+        parts.append(walked.select("column", "n_a", "n_b", "d", F.lit(None).cast("double").alias("psi")))
+    if rest:
+        nothing = F.lit(0).cast("long")
+        known = counts.table.where(F.col("id").isin(counts.ids(rest)))
         parts.append(
-            side_counts(df, side, cells)
-            .withColumns({"rows_a": rows[0], "rows_b": rows[1]})
-            .groupBy("column")
-            .agg(F.sum(stability).alias("psi"), F.count_if(F.col("n_a") > 0).alias("distinct_a"))
+            known.groupBy("id")
+            .agg(F.sum(stability).alias("psi"))
             .select(
-                "column",
-                F.lit(0).cast("long").alias("n_a"),
-                F.lit(0).cast("long").alias("n_b"),
-                F.lit(None).cast("double").alias("d"),
-                "psi",
-                "distinct_a",
+                name[F.col("id")].alias("column"), nothing.alias("n_a"), nothing.alias("n_b"), F.lit(None).cast("double").alias("d"), "psi"
             )
         )
     walked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    walked = walked.withColumn("distinct_a", distinct[F.col("column")])
     is_numeric = F.col("column").isin(numeric) if numeric else F.lit(False)
     by_ks = is_numeric if rule == "dtype" else is_numeric & (F.col("distinct_a") > CONTINUOUS_ABOVE)
     return (
@@ -382,8 +349,10 @@ def prediction_drift(
     p_method: str = "asymptotic",
 ) -> DataFrame:
     """One row for the score column: PSI over bins, KS, and a flag for each and either."""
-    index = psi(df, [score], is_reference, bins)
-    test = ks_two_sample(df, [score], is_reference, p_method)
+    side = F.col(IS_REFERENCE) if is_reference is None else is_reference
+    counts = count_sides(df, *split_columns(df.select(score)), side)
+    index = _psi_from(counts, [score], bins)
+    test = _ks_from(counts, [score], p_method)
     return index.join(test, "column").select(
         "column",
         "psi",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -11,18 +13,17 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwell.functions import risk_band, verdict
+from driftwell.functions import keyed_uniform, risk_band, verdict
 from driftwell.operators.clean import align_columns, fill_defaults
+from driftwell.operators.forests import forest_arrays, nested_fits, nested_points, nested_scores, node_table
 from driftwell.operators.prep import FEATURES, drop_helpers
 from driftwell.operators.split import class_sizes, stratified_folds
-from driftwell.session import use_shared_checkpoints
+from driftwell.session import scratch_path, use_shared_checkpoints
 
 # Settings of the boosted model and of the baselines.
 BOOSTED = {"maxIter": 150, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
@@ -36,7 +37,7 @@ FOREST_GRID = {
 }
 
 PROBABILITY_GOOD, PROBABILITY_BAD = "probability_good", "probability_bad"
-WEIGHT = "weight__"
+WEIGHT, DRAW = "weight__", "draw__"
 
 
 def boosted_trees(label: str, **settings) -> GBTClassifier:
@@ -80,32 +81,71 @@ def baseline_models(label: str, forest_trees: int = FOREST_TREES) -> dict[str, o
     }
 
 
-#: Parts that training rows are dealt to; MLlib draws its samples part by part.
-TRAIN_PARTS = 16
+#: Rows of one part of the training data.
+PART_ROWS = 50_000
+PART_HASH = "part_hash__"
 
 
-def spread(df: DataFrame, parts: int = TRAIN_PARTS) -> DataFrame:
-    """Deal rows to a stated number of parts by their content, in a fixed order.
+def _content(df: DataFrame) -> Column:
+    """Hash of a row's columns, missing ones told apart."""
+    names = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*names, *[c.isNull() for c in names])
+
+
+def spread(ready: DataFrame, rows: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """Deal ``rows`` rows to parts of about ``part_rows`` by the column PART_HASH, in a
+    fixed order.
 
-    MLlib's samples are seeded per part, so the fitted model depends on the rows only,
-    not on how many files or cores there are. Give more parts for larger tables.
+    MLlib's samples are seeded per part. Parts follow from the rows' content and number
+    only, so the fitted model doesn't depend on how many files or cores there are, and no
+    part grows with the table.
     """
-    names = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return df.repartition(parts, *names).sortWithinPartitions(*names)
+    parts = max(1, -(-rows // part_rows))
+    return ready.repartition(parts, PART_HASH).sortWithinPartitions(PART_HASH).drop(PART_HASH)
+
 
+def fit_model(
+    train: DataFrame, prep: PipelineModel, estimator, label: str, part_rows: int = PART_ROWS
+) -> PipelineModel:
+    """Preparation and classifier as one fitted pipeline; ``part_rows``: see `spread`.
 
-def fit_model(train: DataFrame, prep: PipelineModel, estimator, label: str) -> PipelineModel:
-    """Preparation and classifier as one fitted pipeline."""
+    Rows without a label don't take part. What the classifier reads is written once.
+    """
     use_shared_checkpoints(train.sparkSession)
-    ready = prep.transform(spread(train.where(F.col(label).isNotNull())))
-    if estimator.hasParam("weightCol") and estimator.isDefined("weightCol"):
-        ready = balanced_weights(ready, label)
-    model = estimator.fit(ready.select(*_training_columns(ready, label)))
+    train = train.where(F.col(label).isNotNull())
+    weighted = estimator.hasParam("weightCol") and estimator.isDefined("weightCol")
+    ready = _ready(balanced_weights(train, label) if weighted else train, prep, label)
+    model = estimator.fit(spread(ready, ready.count(), part_rows))
     return PipelineModel([*prep.stages, model])
 
 
-def _training_columns(ready: DataFrame, label: str) -> list[str]:
-    return [c for c in (label, FEATURES, WEIGHT) if c in ready.columns]
+def _ready(train: DataFrame, prep: PipelineModel, label: str, *more: str) -> DataFrame:
+    """Label, features, weight if there is one, content hash and ``more``, written once."""
+    hashed = prep.transform(train.withColumn(PART_HASH, _content(train)))
+    wanted = (label, FEATURES, WEIGHT, PART_HASH, *more)
+    return written(hashed.select(*[c for c in wanted if c in hashed.columns]), "ready")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder and read again: passes over it don't repeat the work."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@dataclass(frozen=True)
+class GridSearch:
+    """``results``: params, f1, one row per point in grid order. ``predictions``: key,
+    label, fold, params, prediction, one row per point and labelled row, each predicted by
+    a forest that hasn't seen its fold. ``model``: the best point, fitted on all folds."""
+
+    model: PipelineModel
+    results: DataFrame
+    predictions: DataFrame
+
+
+def point_name(point: Mapping[str, object]) -> str:
+    return ", ".join(f"{k}={point[k]}" for k in sorted(point))
 
 
 def grid_search(
@@ -115,48 +155,67 @@ def grid_search(
     key: Sequence[str],
     grid: Mapping[str, Sequence] = FOREST_GRID,
     folds: int = 5,
-    parallelism: int = 4,
-) -> tuple[PipelineModel, CrossValidatorModel]:
-    """Forest grid by F1 of class 1 over stratified folds.
-
-    Folds are a column, so MLlib filters instead of sampling. Unlabelled rows don't take
-    part.
+    parallelism: int = 3,
+    fit_rows: int | None = None,
+    part_rows: int = PART_ROWS,
+) -> GridSearch:
+    """Forest grid by F1 of class 1, averaged over stratified folds.
+
+    Points that differ in the number of trees or the depth only share a forest (see
+    `forests`): the default grid of 27 points takes 3 fits a fold. ``fit_rows`` bounds the
+    labelled rows that a forest is fitted on, by a keyed draw; all rows are predicted.
+    Unlabelled rows don't take part.
     """
     train = train.where(F.col(label).isNotNull())
-    use_shared_checkpoints(train.sparkSession)
-    forest = RandomForestClassifier(
-        labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=SEED
-    )
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(forest.getParam(name), list(values))
+    spark = train.sparkSession
+    use_shared_checkpoints(spark)
     folded = stratified_folds(balanced_weights(train, label), label, key, folds)
-    search = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=builder.build(),
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0
-        ),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    ready = prep.transform(spread(folded)).select(label, FEATURES, WEIGHT, "fold")
-    found = search.fit(ready)
-    return PipelineModel([*prep.stages, found.bestModel]), found
-
-
-def grid_results(spark, found: CrossValidatorModel) -> DataFrame:
-    """(params, f1) per grid point."""
-    rows = [
-        (
-            ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name)),
-            float(f1),
+    drawn = folded.withColumn(DRAW, keyed_uniform(key, "fit-rows"))
+    ready = _ready(drawn, prep, label, "fold", DRAW, *key)
+    rows = ready.count()
+    share = 1.0 if fit_rows is None else min(1.0, fit_rows / max(1, rows))
+    sample = ready.where(F.col(DRAW) < F.lit(share)).drop(DRAW)
+    points, (top, fits) = nested_points(grid), nested_fits(grid)
+    forest = RandomForestClassifier(labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=SEED)
+
+    def fitted(estimator, fold: int | None = None):
+        part = sample if fold is None else sample.where(F.col("fold") != fold)
+        return estimator.fit(spread(part.select(label, FEATURES, WEIGHT, PART_HASH), round(rows * share), part_rows))
+
+    def predict(job: tuple[int, dict]) -> str:
+        fold, others = job
+        model = fitted(forest.copy({forest.getParam(k): v for k, v in {**top, **others}.items()}), fold)
+        mine = [p for p in points if all(p[k] == v for k, v in others.items())]
+        shape = {"numTrees": model.getNumTrees, "maxDepth": model.getOrDefault("maxDepth")}
+        shares = nested_scores(
+            ready.where(F.col("fold") == fold),
+            FEATURES,
+            forest_arrays(node_table(spark, model)),
+            [{**shape, **{k: p[k] for k in shape if k in p}} for p in mine],
+            [*key, label, "fold"],
         )
-        for m, f1 in zip(found.getEstimatorParamMaps(), found.avgMetrics)
-    ]
-    return spark.createDataFrame(rows, "params string, f1 double")
+        names = F.array(*[F.lit(point_name(p)) for p in mine])
+        each = F.explode(F.arrays_zip(names.alias("params"), F.col("shares").alias("share")))
+        path = scratch_path(spark, "out-of-fold")
+        predicted = shares.select(*key, label, "fold", each.alias("p"))
+        predicted.select(
+            *key, label, "fold", "p.params", (F.col("p.share") > 0.5).cast("int").alias("prediction")
+        ).write.parquet(path)
+        return path
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        paths = pool.map(predict, [(fold, others) for fold in range(folds) for others in fits], chunksize=1)
+    predictions = spark.read.parquet(*paths)
+    hit, said = (F.col(label) == 1), (F.col("prediction") == 1)
+    count = lambda c: F.sum(c.cast("long"))
+    by_fold = predictions.groupBy("params", "fold").agg(
+        (2 * count(hit & said) / F.greatest(count(hit) + count(said), F.lit(1))).alias("f1")
+    )
+    scores = {r["params"]: r["f1"] for r in by_fold.groupBy("params").agg(F.avg("f1").alias("f1")).collect()}
+    rows_ = [(point_name(p), float(scores.get(point_name(p), 0.0))) for p in points]
+    best = points[max(range(len(points)), key=lambda k: rows_[k][1])]
+    model = fitted(forest.copy({forest.getParam(k): v for k, v in best.items()}))
+    return GridSearch(PipelineModel([*prep.stages, model]), spark.createDataFrame(rows_, "params string, f1 double"), predictions)
 
 
 # --------------------------------------------------------------------------

@@ -17,6 +17,7 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -284,11 +285,7 @@ def quantiles(
         facts = column_facts(df, columns)
     requests = {}
     for name, (c, fractions) in wanted.items():
-        ranks = []
-        for q in fractions:
-            at = (facts[name].n - 1) * q
-            ranks += [math.floor(at) + 1, math.ceil(at) + 1]
-        requests[name] = (c, ranks)
+        requests[name] = (c, [k for q in fractions for k in interpolated(facts[name].n, q)[:2]])
     values = rank_values(df, requests, facts, walk_limit)
     out: dict[str, list[float | None]] = {}
     for name, (_, fractions) in wanted.items():
@@ -298,20 +295,27 @@ def quantiles(
             if n == 0:
                 out[name].append(None)
                 continue
-            at = (n - 1) * q
-            low, high = got[math.floor(at) + 1], got[math.ceil(at) + 1]
-            out[name].append(low + (high - low) * (at - math.floor(at)))
+            low, high, part = interpolated(n, q)
+            out[name].append(got[low] + (got[high] - got[low]) * part)
     return out
 
 
+def interpolated(n: int, q: float) -> tuple[int, int, float]:
+    """Ranks below and above the quantile of n values, and the part of the way between."""
+    at = (n - 1) * q
+    return math.floor(at) + 1, math.ceil(at) + 1, at - math.floor(at)
+
+
 # --------------------------------------------------------------------------
 # two samples walked in value order
 # --------------------------------------------------------------------------
 
 
-# Sampled rows per value range that the range cuts are drawn from. Cuts only say
-# where the work is divided; every row is counted whatever they are.
-CUT_ROWS = 200
+# Sampled rows per value range that the range cuts are drawn from, on the driver. Cuts
+# only say where the work is divided; every row is counted whatever they are.
+CUT_ROWS = 40
+# Rows of one range at most, about: tables with more rows have more ranges.
+RANGE_ROWS = 2_000_000
 # Up to this many rows one range does.
 ONE_RANGE_ROWS = 20_000
 
@@ -341,10 +345,9 @@ def pair_facts(
 ) -> PairFacts:
     """Sample sizes by one counting pass, then cuts that balance rows over ranges.
 
-    The cuts come from a sample of a size fixed by the number of ranges, so the task
-    that merges the sketches gets the same little whatever the size of the table.
+    There are as many ranges as shuffle tasks, and more where a range would have more than
+    RANGE_ROWS rows.
     """
-    buckets = buckets or range_buckets(df.sparkSession)
     view = df.select(
         is_a.alias("is_a__"), *[no_nan(F.col(_q(c))).alias(c) for c in columns]
     )
@@ -355,20 +358,10 @@ def pair_facts(
         aggs.append(F.count(F.when(~F.col("is_a__"), value)).alias(f"{c}__b"))
     row = view.agg(*aggs).first()
     rows = row["rows_a"] + row["rows_b"]
+    buckets = buckets or max(range_buckets(df.sparkSession), -(-rows // RANGE_ROWS))
     cuts: dict[str, list[float]] = {c: [] for c in columns}
     if columns and buckets > 1 and rows > ONE_RANGE_ROWS:
-        share = min(1.0, CUT_ROWS * buckets / rows)
-        points = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-        sampled = view.where(F.rand(7) < share).agg(
-            *[
-                F.percentile_approx(
-                    F.col(_q(c)), F.expr(f"array({points})"), F.lit(SKETCH_ACCURACY)
-                ).alias(c)
-                for c in columns
-            ]
-        ).first()
-        for c in columns:
-            cuts[c] = sorted({v for v in sampled[c] or [] if math.isfinite(v)})
+        cuts = sample_cuts(view.select(*map(_q, columns)), {c: (rows, buckets) for c in columns})
     return PairFacts(
         list(columns),
         cuts,
@@ -379,6 +372,22 @@ def pair_facts(
     )
 
 
+def sample_cuts(view: DataFrame, sizes: Mapping[str, tuple[int, int]]) -> dict[str, list[float]]:
+    """Cuts of each column into ranges, from a sample that the driver sorts; ``sizes``: rows
+    that the column has a value in, and ranges wanted. Rows may leave columns empty."""
+    draw, cuts = F.rand(7), {}
+    shares = {c: min(1.0, CUT_ROWS * ranges / max(1, rows)) for c, (rows, ranges) in sizes.items()}
+    named = view.withColumn("draw__", draw).where(F.col("draw__") < max(shares.values()))
+    kept = named.select(*[F.when(F.col("draw__") < shares[c], F.col(_q(c))).alias(c) for c in sizes])
+    sample = kept.where(F.coalesce(*[F.col(_q(c)) for c in sizes]).isNotNull()).toPandas()
+    for c, (_, ranges) in sizes.items():
+        values = np.sort(sample[c].dropna().to_numpy(dtype=float))
+        values = values[np.isfinite(values)]
+        places = np.arange(1, ranges) * len(values) // ranges
+        cuts[c] = sorted(set(values[places].tolist())) if len(values) else []
+    return cuts
+
+
 def value_ranges(df: DataFrame, cuts: Mapping[str, list[float]], suffix: str = "__range") -> DataFrame:
     """Add the range number of every cut column (missing values get none)."""
     cut = [c for c in cuts if cuts[c]]

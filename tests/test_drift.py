@@ -4,12 +4,14 @@ import math
 import random
 from math import comb
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from driftwell.functions.pvalues import chi_square_tail, path_exit_probability
 from driftwell.operators import drift
-from driftwell.operators.ordered import column_facts
+from driftwell.operators import counts
+from driftwell.operators.counts import count_sides
 
 SF = "/root/testdata/sf0.01"
 
@@ -88,10 +90,8 @@ def test_rule_is_more_than_twenty_values_with_missing_as_one(spark, distinct, ki
     values = [float(i) for i in range(distinct - 1)] + [None]
     df = frame(spark, values * 3, values)
     assert drift.drift_report(df).first()["kind"] == kind
-    side = F.col("is_reference")
-    facts = column_facts(df, {"x": F.when(side, F.col("x"))})
-    cut = drift.continuous_columns(df, ["x"], side, facts)
-    assert (cut == {"x"}) == (kind == "continuous")
+    counted = count_sides(df, ["x"], [], F.col("is_reference"))
+    assert counted.facts["x"].distinct_a == distinct
 
 
 def test_rule_by_type_and_typed_comparison(spark):
@@ -181,3 +181,50 @@ def test_series_agrees_with_exact_for_large_samples(spark):
     exact = drift.ks_two_sample(df, ["x"], p_method="exact").first()["p_value"]
     series = drift.ks_two_sample(df, ["x"], p_method="asymptotic").first()["p_value"]
     assert abs(exact - series) < 0.03
+
+
+@pytest.mark.parametrize("range_values", [3, 40, 10**6])
+def test_one_count_in_ranges_of_any_size(spark, monkeypatch, range_values):
+    """Quantiles, PSI and KS from the counts don't depend on how values are cut."""
+    monkeypatch.setattr(counts, "RANGE_VALUES", range_values)
+    rng = np.random.default_rng(5)
+    ref, cur = np.round(rng.normal(0, 1, 400), 2), np.round(rng.normal(0.3, 1.2, 300), 2)
+    rows = [(float(x), float(x) * 2 if i % 3 else None, "t", True) for i, x in enumerate(ref)]
+    rows += [(float(x), None, "u", False) for x in cur]
+    df = spark.createDataFrame(rows, "x double, y double, z string, is_reference boolean").repartition(4)
+    side = F.col("is_reference")
+    counted = count_sides(df, ["x", "y"], ["z"], side)
+    if range_values < 100:
+        assert len(counted.cuts["x"]) > 3
+    got = counts.reference_quantiles(counted, ["x", "y"], [0.0, 0.1, 0.5, 0.77, 1.0])
+    y = [float(x) * 2 for i, x in enumerate(ref) if i % 3]
+    assert np.allclose(got["x"], np.quantile(ref, [0.0, 0.1, 0.5, 0.77, 1.0]))
+    assert np.allclose(got["y"], np.quantile(y, [0.0, 0.1, 0.5, 0.77, 1.0]))
+    tested = {r["column"]: r for r in drift.ks_two_sample(df, ["x", "y", "z"]).collect()}
+    grid = np.unique(np.concatenate([ref, cur]))
+    d = max(abs((ref <= g).mean() - (cur <= g).mean()) for g in grid)
+    assert abs(tested["x"]["d"] - d) < 1e-12 and tested["y"]["d"] == 0.0 and tested["z"]["p_value"] == 1.0
+    index = {r["column"]: r for r in drift.psi(df, ["x", "z"]).collect()}
+    edges = np.quantile(ref, np.arange(11) / 10)
+    bins = [np.bincount(np.searchsorted(edges[1:-1], v), minlength=10) / len(v) for v in (ref, cur)]
+    b, c = (np.where(x > 0, x, 1e-4) for x in bins)
+    assert abs(index["x"]["psi"] - ((c - b) * np.log(c / b)).sum()) < 1e-9
+    assert index["z"]["classes"] == 2
+
+
+def test_widest_range_follows_the_rows(spark, monkeypatch):
+    """With few shuffle tasks, ranges are as many as the rows ask for."""
+    from driftwell.operators import ordered
+
+    monkeypatch.setattr(ordered, "RANGE_ROWS", 2_000)
+    monkeypatch.setattr(ordered, "ONE_RANGE_ROWS", 1_000)
+    df = spark.range(60_000).select(F.rand(3).alias("x"), (F.col("id") % 2 == 0).alias("is_reference"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        facts = ordered.pair_facts(df, ["x"], F.col("is_reference"))
+        sizes = ordered.pair_counts(df, ["x"], F.col("is_reference"), facts).groupBy("slot").agg(F.sum(F.col("n_a") + F.col("n_b")).alias("n"))
+        widest = sizes.agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(facts.cuts["x"]) == 29 and widest < 4_500

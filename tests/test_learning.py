@@ -156,11 +156,34 @@ def test_attributions_add_up_to_the_log_odds(spark, trained):
         assert math.isclose(base + sum(r[n] for n in names), r["odds"], abs_tol=1e-6)
 
 
-def test_attribution_against_all_subsets(spark, trained):
-    """Shapley values of single rows from their definition, subset by subset."""
+def _by_subsets(leaves, row, features):
+    """Shapley values of one row from their definition, subset by subset."""
     from itertools import combinations
     from math import factorial
 
+    def value(subset):
+        total = 0.0
+        for leaf in leaves:
+            part = leaf.value
+            for j, f in enumerate(map(int, leaf.features)):
+                inside = row[f] in leaf.codes[j] if j in leaf.codes else leaf.low[j] < row[f] <= leaf.high[j]
+                part *= inside if f in subset else leaf.shares[j]
+            total += part
+        return total
+
+    out = {}
+    for f in features:
+        others = [g for g in features if g != f]
+        out[f] = sum(
+            factorial(size) * factorial(len(others) - size) / factorial(len(features))
+            * (value({*chosen, f}) - value(set(chosen)))
+            for size in range(len(others) + 1)
+            for chosen in combinations(others, size)
+        )
+    return out
+
+
+def test_attribution_against_all_subsets(spark, trained):
     df, _, _, result = trained
     stages = result.model.stages
     leaves = attribution.leaves_of(attribution.node_table(spark, stages[-1]), stages[-1].treeWeights)
@@ -168,78 +191,77 @@ def test_attribution_against_all_subsets(spark, trained):
     keep = [leaf for leaf in leaves if set(map(int, leaf.features)) <= set(used)]
     matrix = np.array(vectors(stages[1].transform(stages[0].transform(df.limit(3)))))
     got = attribution.attribute(matrix, keep)
+    for row, values in zip(matrix, got, strict=True):
+        for f, want in _by_subsets(keep, row, used).items():
+            assert math.isclose(values[f], want, abs_tol=1e-9)
 
-    def value(row, subset):
-        total = 0.0
-        for leaf in keep:
-            # The leaf's own value and shares, recovered from its table.
-            m = len(leaf.features)
-            part = leaf.expected
-            for j, f in enumerate(map(int, leaf.features)):
-                if f in subset:
-                    share = shares[id(leaf)][j]
-                    hit = leaf.low[j] < row[f] <= leaf.high[j]
-                    part = part / share * hit
-            total += part if m else leaf.expected
-        return total
 
-    shares = {}
-    for leaf in keep:
-        m = len(leaf.features)
-        full = 2**m - 1
-        # With every feature on, the attributions of a leaf sum to value - expected.
-        leaf_value = leaf.expected + leaf.table[full].sum()
-        shares[id(leaf)] = []
-        for j in range(m):
-            off = full & ~(1 << j)
-            # One feature off: the leaf is missed, so the sum is -expected.
-            assert math.isclose(leaf.table[off].sum(), -leaf.expected, abs_tol=1e-9)
-            shares[id(leaf)].append(None)
-        assert leaf_value != 0.0
-        shares[id(leaf)] = _shares(leaf, leaf_value)
-    for row, values in zip(matrix, got):
-        for f in used:
-            others = [g for g in used if g != f]
-            want = 0.0
-            for size in range(len(others) + 1):
-                w = factorial(size) * factorial(len(others) - size) / factorial(len(used))
-                for chosen in combinations(others, size):
-                    want += w * (value(row, {*chosen, f}) - value(row, set(chosen)))
-            assert math.isclose(values[f], want, abs_tol=1e-9)
+@pytest.mark.parametrize("m", [1, 2, 5, 9, 12])
+def test_path_values_of_long_paths(m):
+    rng = np.random.default_rng(m)
+    shares = rng.uniform(1e-6, 1, m)
+    inf = np.full(m, np.inf)
+    leaf = attribution.Leaf(np.arange(m), np.zeros(m), inf, {}, shares, 1.7)
+    hits = rng.random((3, m)) < 0.6
+    got = attribution.path_values(hits, shares, 1.7)
+    for row, values in zip(hits, got, strict=True):
+        want = _by_subsets([leaf], np.where(row, 1.0, -1.0), list(range(m)))
+        assert np.allclose(values, [want[f] for f in range(m)], atol=1e-12)
+    # A path of 40 features: together the values are the leaf's, less what is expected.
+    shares, hits = rng.uniform(0.2, 1, 40), np.ones((1, 40), bool)
+    total = attribution.path_values(hits, shares, 2.0).sum()
+    assert math.isclose(total, 2.0 - 2.0 * math.prod(shares), abs_tol=1e-9)
+
+
+def test_deep_forest_attributions_add_up(spark, deep):
+    ready, model = deep
+    names = [f"f{k}" for k in range(12)]
+    assert max(t.depth for t in model.trees) > 12
+    values, base = attribution.tree_attributions(ready, model, names, ["id"])
+    share = model.transform(ready).select("id", vector_to_array("probability")[1].alias("p"))
+    for r in values.join(share, "id").collect():
+        assert math.isclose(base + sum(r[n] for n in names), r["p"], abs_tol=1e-9)
 
 
-def _shares(leaf, leaf_value):
-    """Cover shares of a leaf's features: the attribution table fixes them."""
-    m = len(leaf.features)
-    if m == 1:
-        return [leaf.expected / leaf_value]
-    # With only feature i on and feature j off, and so on, shares follow from a small
-    # system; a numeric solve keeps the test independent of the code under test.
-    full = 2**m - 1
-
-    def table_of(z):
-        from itertools import combinations
-        from math import factorial, prod
-
-        out = np.zeros(m)
-        for i in range(m):
-            others = [j for j in range(m) if j != i]
-            for size in range(m):
-                w = factorial(size) * factorial(m - size - 1) / factorial(m)
-                for chosen in combinations(others, size):
-                    out[i] += w * prod(z[j] for j in others if j not in chosen) * (1 - z[i])
-        return out * leaf_value
-
-    z = np.full(m, 0.5)
-    for _ in range(200):
-        base = table_of(z) - leaf.table[full]
-        jac = np.zeros((m, m))
-        for j in range(m):
-            step = z.copy()
-            step[j] += 1e-7
-            jac[:, j] = (table_of(step) - leaf.table[full] - base) / 1e-7
-        z = np.clip(z - np.linalg.lstsq(jac, base, rcond=None)[0], 1e-6, 1.0)
-    return list(z)
+@pytest.fixture(scope="module")
+def deep(spark):
+    """A forest of depth 30 on rows that need deep trees, with a coded feature."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+
+    cells = [F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(3 if k == 0 else 1000)).cast("double").alias(f"f{k}") for k in range(12)]
+    df = spark.range(600).select("id", *cells)
+    noisy = F.pmod(F.xxhash64(F.lit("y"), "id"), F.lit(4)) == 0
+    df = df.withColumn("y", (((F.col("f1") > 500) != noisy) != (F.col("f0") == 1)).cast("int"))
+    df = VectorAssembler(inputCols=[f"f{k}" for k in range(12)], outputCol="raw").transform(df)
+    ready = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=4).fit(df).transform(df).cache()
+    model = RandomForestClassifier(labelCol="y", numTrees=20, maxDepth=30, seed=1).fit(ready)
+    return ready, model
+
+
+def test_nested_forests(spark, deep):
+    from driftwell.operators import forests
+
+    ready, model = deep
+    whole = forests.forest_arrays(forests.node_table(spark, model))
+    points = [{"numTrees": t, "maxDepth": d} for t in (1, 7, 20) for d in (0, 3, 30)]
+    scored = forests.nested_scores(ready, "features", whole, points, ["id"]).collect()
+    share = {r["id"]: r["p"] for r in model.transform(ready).select("id", vector_to_array("probability")[1].alias("p")).collect()}
+    x = dict(ready.select("id", vector_to_array("features")).collect())
+    for r in scored:
+        # All trees uncut are the forest itself.
+        assert math.isclose(r["shares"][8], share[r["id"]], abs_tol=1e-12)
+    for r in scored[:20]:  # cut trees, walked one by one
+        for p, got in zip(points, r["shares"], strict=True):
+            total = 0.0
+            for root in whole.roots[: p["numTrees"]]:
+                at = root
+                for _ in range(p["maxDepth"]):
+                    v = x[r["id"]][whole.feature[at]]
+                    left = whole.answers[whole.coded[at] + int(v)] if whole.coded[at] >= 0 else v <= whole.threshold[at]
+                    at = whole.left[at] if left else whole.right[at]
+                total += whole.share[at]
+            assert math.isclose(got, total / p["numTrees"], abs_tol=1e-12)
 
 
 def test_permutation_importance_finds_the_used_feature(spark):
@@ -257,11 +279,31 @@ def test_permutation_importance_finds_the_used_feature(spark):
 def test_grid_search(spark, credit):
     df = credit.withColumn("credit_risk", (F.col("status") > 2).cast("int"))
     prepared = prep.fit_preprocessor(df, FEATURES)
-    grid = {"numTrees": (3,), "maxDepth": (2, 4)}
-    model, found = models.grid_search(df, prepared, "credit_risk", ["row_key"], grid, folds=3)
-    rows = models.grid_results(spark, found).collect()
-    assert len(rows) == 2 and all(0 <= r["f1"] <= 1 for r in rows)
-    assert models.add_predictions(df, model).count() == 100
+    grid = {"numTrees": (3, 6), "maxDepth": (2, 4), "minInstancesPerNode": (1, 5)}
+    found = models.grid_search(df, prepared, "credit_risk", ["row_key"], grid, folds=3)
+    rows = {r["params"]: r["f1"] for r in found.results.collect()}
+    assert len(rows) == 8 and max(rows.values()) > 0.8
+    assert models.add_predictions(df, found.model).count() == 100
+    # Each row is predicted once at each point, and the scores follow from that.
+    predicted = found.predictions.toPandas()
+    assert len(predicted) == 800 and not predicted.duplicated(["row_key", "params"]).any()
+    for name, part in predicted.groupby("params"):
+        scores = []
+        for _, p in part.groupby("fold"):
+            hit = ((p["credit_risk"] == 1) & (p["prediction"] == 1)).sum()
+            scores.append(2 * hit / ((p["credit_risk"] == 1).sum() + (p["prediction"] == 1).sum()))
+        assert math.isclose(rows[name], np.mean(scores))
+    best = max(rows.values())
+    forest = found.model.stages[-1]
+    chosen = f"maxDepth={forest.getOrDefault('maxDepth')}, minInstancesPerNode={forest.getOrDefault('minInstancesPerNode')}, numTrees={forest.getNumTrees}"
+    assert rows[chosen] == best
+
+
+def test_grid_search_on_a_bounded_sample(spark, credit):
+    df = credit.withColumn("credit_risk", (F.col("status") > 2).cast("int"))
+    prepared = prep.fit_preprocessor(df, FEATURES)
+    found = models.grid_search(df, prepared, "credit_risk", ["row_key"], {"numTrees": (3,)}, folds=2, fit_rows=60)
+    assert found.predictions.count() == 100
 
 
 def test_monitor_job(spark, credit, trained):

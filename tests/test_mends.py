@@ -84,8 +84,12 @@ def test_missing_labels_are_no_class(spark):
 
 def test_training_parts_follow_the_rows(spark):
     df = spark.range(1000).withColumn("x", F.col("id") % 7)
-    deal = lambda d: models.spread(d, 8).select("id", F.spark_partition_id().alias("p")).collect()
-    assert deal(df.repartition(3)) == deal(df.repartition(5))
+    def deal(d, part_rows):
+        hashed = d.withColumn(models.PART_HASH, models._content(d))
+        return models.spread(hashed, 1000, part_rows).select("id", F.spark_partition_id().alias("p")).collect()
+
+    assert deal(df.repartition(3), 125) == deal(df.repartition(5), 125)
+    assert {r["p"] for r in deal(df, 125)} == set(range(8)) and {r["p"] for r in deal(df, 1000)} == {0}
 
 
 def test_names_in_run_logs_are_decoded(spark, tmp_path):
