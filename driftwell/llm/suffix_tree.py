@@ -4,11 +4,15 @@ A text is its words in lower case (A to Z), joined by single blanks, and an end
 next byte depends on the longest retained suffix of what came before. A context of up to
 DEPTH bytes is a candidate if it occurs LEAST_COUNT times, whatever the corpus's size; it
 is retained if its next-byte distribution diverges from that of its own suffix.
-Distributions are smoothed towards the suffix's. The tree of the most frequent candidates
-becomes an automaton whose state is the longest suffix, so scoring is one table look-up
-for each byte. All other candidates stay a table: they are tested length by length, a bit
-table tells tasks where one may be met, and what those places add is joined by gram. No
-suffix of a context is rarer than the context, so the table only ever extends the automaton.
+Distributions are smoothed towards the suffix's, the more the more kinds of bytes follow.
+
+Retained contexts are sorted arrays of their observed next bytes, so a task holds millions
+of them. A gram is DEPTH bytes and the next one, the most recent byte first, so that a
+context's suffixes are prefixes of its number. A block of texts is scored by its distinct
+grams, each looked up once. Contexts beyond HELD_GRAMS, the rarer ones, stay a table: they
+are tested length by length, a bit table tells tasks where one may be met, and what those
+places add is joined by gram. No suffix of a context is rarer than the context, so the
+table only ever extends what the tasks hold.
 
 Word counts for the base score cover every word: a bounded table of the most frequent
 goes to the tasks, all others are joined by word.
@@ -32,21 +36,25 @@ from driftwell.llm.text import stored
 DEPTH = 5
 #: Times that a context has to occur to be tested.
 LEAST_COUNT = 10
-#: Contexts that go to every task as an automaton; the rest are joined.
-HELD_CONTEXTS = 50_000
+#: Grams (contexts with a next byte) that go to every task, 16 bytes each; the rest are
+#: joined.
+HELD_GRAMS = 3_000_000
+#: Scored grams that a task remembers from block to block.
+REMEMBERED = 1 << 20
 #: Bits of a slot of the table by which tasks know contexts that are joined.
 SLOT_BITS = 26
 #: Nats by which a context's data must prefer its own distribution to its suffix's.
 DIVERGENCE = 10.0
-#: Weight of the suffix's distribution, in counts.
-PULL = 20.0
 #: Words whose counts go to every task; the rest are joined.
 FREQUENT = 1 << 17
-#: Bytes scored at once and the number of texts scored side by side.
-BLOCK_BYTES, LANES = 2 << 20, 4096
+#: Weight of the suffix's distribution, in counts for each kind of byte that follows.
+SMOOTH = 3.0
+#: Bytes scored at once.
+BLOCK_BYTES = 2 << 20
 #: Distinct words or grams a task holds before it passes them on.
 HELD = 300_000
 END = 10
+MET = pa.list_(pa.struct([("code", pa.int64()), ("times", pa.int64())]))
 
 
 def normal(text: str | None) -> bytes:
@@ -84,16 +92,28 @@ def _laid_out(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return laid, ends
 
 
-def _grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, next byte) codes of depth + 1 bytes, with counts."""
+def _codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every byte and end of the texts, in their order, and where each text's
+    grams start: the bytes before, the most recent one highest, and the byte itself."""
     laid, ends = _laid_out(texts, depth)
     code = np.zeros(len(laid) - depth, np.uint64)
-    for k in range(depth + 1):
-        code <<= np.uint64(8)
-        code |= laid[k : len(laid) - depth + k]
+    for k in range(depth - 1, -1, -1):
+        code |= laid[k : len(laid) - depth + k].astype(np.uint64) << np.uint64(8 * (k + 1))
+    code |= laid[depth:]
     real = laid[depth:] != END
     real[ends - depth] = True
-    return np.unique(code[real], return_counts=True)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    return code[real], np.cumsum(lengths) - lengths
+
+
+def _part(code, length, depth: int):
+    """Of a gram of ``depth`` bytes before, the one of ``length`` bytes before."""
+    return (code >> (8 * (depth - length + 1)) << 8) | (code & 255)
+
+
+def _grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams with counts."""
+    return np.unique(_codes(texts, depth)[0], return_counts=True)
 
 
 def _merge(a, b):
@@ -137,59 +157,80 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch(held)
 
 
-@dataclass(frozen=True)
 class Tree:
-    """Automaton: ``classes`` maps a byte to its column of ``step`` and ``logp`` (log10)."""
+    """Retained contexts by length: sorted ``contexts`` with their counts and the weight of
+    their suffix, sorted ``grams`` with their counts; ``root``: each byte's probability."""
 
-    classes: np.ndarray
-    step: np.ndarray
-    logp: np.ndarray
-    start: int
-    depth: int
+    def __init__(self, depth: int, root: np.ndarray):
+        self.depth, self.root = depth, root
+        self.contexts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text with its end."""
+    def after(self, code: np.ndarray, length: int) -> np.ndarray:
+        """Probability of the last byte of grams of ``length`` bytes before it."""
+        p = self.root[code & 255]
+        for d in range(1, length + 1):
+            if d not in self.contexts:
+                continue
+            known, total, pull = self.contexts[d]
+            own = _part(code, d, length)
+            at = np.minimum(np.searchsorted(known, own >> 8), len(known) - 1)
+            hit = np.nonzero(known[at] == own >> 8)[0]
+            at, own = at[hit], own[hit]
+            gram, count = self.grams[d]
+            spot = np.minimum(np.searchsorted(gram, own), len(gram) - 1)
+            n = np.where(gram[spot] == own, count[spot], 0)
+            p[hit] = (n + pull[at] * p[hit]) / (total[at] + pull[at])
+        return p
+
+    def add(self, length: int, grams: np.ndarray, counts: np.ndarray) -> None:
+        """Retain those contexts of the sorted grams that diverge from their suffixes."""
+        known, row, kinds = np.unique(grams >> 8, return_inverse=True, return_counts=True)
+        n = counts.astype(np.float64)
+        total = np.bincount(row, n, len(known))
+        # The same bytes after the context's suffix.
+        below = self.after((grams >> 16 << 8) | (grams & 255), length - 1)
+        kept = np.bincount(row, n * np.log(n / total[row] / below), len(known)) >= DIVERGENCE
+        if kept.any():
+            mine = kept[row]
+            self.contexts[length] = known[kept], total[kept], SMOOTH * kinds[kept]
+            self.grams[length] = grams[mine], counts[mine]
+
+
+class Scorer:
+    """log10 probabilities of texts; remembers grams it has met."""
+
+    def __init__(self, tree: Tree):
+        self.tree, self.met, self.logs = tree, np.empty(0, np.uint64), np.empty(0)
+
+    def __call__(self, texts: list[bytes]) -> np.ndarray:
         out = np.zeros(len(texts))
         for block in _blocks(texts):
-            out[block] = self._scores([texts[i] for i in block])
+            code, starts = _codes([texts[i] for i in block], self.tree.depth)
+            grams, at = np.unique(code, return_inverse=True)
+            out[block] = np.add.reduceat(self._logs(grams)[at], starts)
+        return out
+
+    def _logs(self, grams: np.ndarray) -> np.ndarray:
+        spot = np.searchsorted(self.met, grams)
+        known = np.zeros(len(grams), bool)
+        inside = spot < len(self.met)
+        known[inside] = self.met[spot[inside]] == grams[inside]
+        out = np.empty(len(grams))
+        out[known] = self.logs[spot[known]]
+        new = grams[~known]
+        out[~known] = fresh = np.log10(self.tree.after(new.astype(np.int64), self.tree.depth))
+        if len(self.met) + len(new) <= REMEMBERED:
+            order = np.argsort(np.concatenate([self.met, new]), kind="stable")
+            self.met = np.concatenate([self.met, new])[order]
+            self.logs = np.concatenate([self.logs, fresh])[order]
         return out
 
-    def after(self, code: np.ndarray, length: int) -> np.ndarray:
-        """log10 probability of each code's last byte after the ``length`` bytes before it."""
-        state = np.zeros(len(code), np.int32)
-        for k in range(length, 0, -1):
-            state = self.step[state, self.classes[(code >> (8 * k)) & 255]]
-        return self.logp[state, self.classes[code & 255]].astype(np.float64)
-
-    def _scores(self, texts: list[bytes]) -> np.ndarray:
-        laid, ends = _laid_out(texts, self.depth)
-        width, warm = self.step.shape[1], self.depth
-        # Lanes overlap by ``depth`` bytes: after those a state no longer depends on
-        # where its lane began.
-        lanes = max(1, min(LANES, len(laid) // (8 * warm)))
-        each = -(-(len(laid) - warm) // lanes)
-        padded = np.full(lanes * each + warm, END, np.uint8)
-        padded[: len(laid)] = laid
-        # One row per step, so that a step reads its bytes in one run.
-        lane = np.lib.stride_tricks.sliding_window_view(padded, each + warm)[::each]
-        sym = np.ascontiguousarray(self.classes[lane].T)
-        state = np.full(lanes, self.start, np.int32)
-        flat, prob = self.step.ravel(), self.logp.ravel()
-        got = np.empty((each, lanes), np.float32)
-        for t in range(warm + each):
-            cell = state * width + sym[t]
-            if t >= warm:
-                prob.take(cell, out=got[t - warm])
-            state = flat.take(cell)
-        logp = got.T.ravel().astype(np.float64)  # of the byte at place warm + i
-        total = np.concatenate([[0.0], np.cumsum(logp)])
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        return total[ends + 1 - warm] - total[ends - lengths - warm]
-
-
-def _mask(length: Column, depth: int, more: int = 0) -> Column:
-    """Bits of ``length`` + ``more`` bytes."""
-    return F.element_at(F.array(*[F.lit((1 << (8 * (d + more))) - 1) for d in range(depth + 1)]), length + 1)
+
+def _part_of(code: Column, length: int, depth: int) -> Column:
+    """`_part` as an expression."""
+    context = F.shiftright(code, 8 * (depth - length + 1))
+    return F.shiftleft(context, 8).bitwiseOR(code.bitwiseAND(F.lit(255)))
 
 
 def _slots(context: np.ndarray, length: int) -> np.ndarray:
@@ -199,8 +240,8 @@ def _slots(context: np.ndarray, length: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Rest:
-    """Retained contexts beyond the automaton: ``table`` (len, context, all, next: counts
-    by next byte), the lengths there are, and a packed bit for each slot of their hashes."""
+    """Retained contexts beyond the tree: ``table`` (len, context, all, next: counts by
+    next byte), the lengths there are, and a packed bit for each slot of their hashes."""
 
     table: DataFrame
     lengths: tuple[int, ...]
@@ -208,80 +249,88 @@ class Rest:
 
 
 def _met(texts: list[bytes], depth: int, lengths: tuple[int, ...], bits: np.ndarray) -> pa.Array:
-    """For each text the grams (codes of depth + 1 bytes) that may have such a context."""
-    out, sizes = [], []
+    """For each text the grams that may have such a context, with how often they occur."""
+    out, times, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
     for block in _blocks(texts):
-        laid, ends = _laid_out([texts[i] for i in block], depth)
-        code = np.zeros(len(laid) - depth, np.uint64)
-        for k in range(depth + 1):
-            code <<= np.uint64(8)
-            code |= laid[k : len(laid) - depth + k]
-        real = laid[depth:] != END
-        real[ends - depth] = True
+        code, starts = _codes([texts[i] for i in block], depth)
         hit = np.zeros(len(code), bool)
         for d in lengths:
-            slot = _slots((code >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1), d)
+            slot = _slots(code >> np.uint64(8 * (depth - d + 1)), d)
             hit |= (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
-        at = np.nonzero(hit & real)[0]
-        out.append(code[at].astype(np.int64))
-        sizes.append(np.bincount(np.searchsorted(ends - depth, at), minlength=len(block)))
-    offsets = np.concatenate([[0], *[np.asarray(x) for x in sizes]]).cumsum()
-    values = np.concatenate([np.empty(0, np.int64), *out])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+        at = np.nonzero(hit)[0]
+        doc = np.searchsorted(starts, at, side="right") - 1
+        order = np.lexsort((code[at], doc))
+        doc, mine = doc[order], code[at][order]
+        new = np.append(True, (doc[1:] != doc[:-1]) | (mine[1:] != mine[:-1]))[: len(mine)]
+        first = np.nonzero(new)[0]
+        out.append(mine[first].astype(np.int64))
+        times.append(np.diff(np.append(first, len(mine))))
+        sizes.append(np.bincount(doc[first], minlength=len(block)))
+    offsets = np.concatenate([[0], *sizes]).cumsum()
+    grams = pa.StructArray.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out, times)], ["code", "times"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), grams)
 
 
 def grow(grams: DataFrame, depth: int = DEPTH, least: int = LEAST_COUNT, most: int | None = None) -> tuple[Tree, Rest | None]:
-    """Build the tree from (code, n): counts of contexts of ``depth`` bytes with the next.
+    """Build the tree from (code, n): counts of grams of ``depth`` bytes before the next.
 
-    The driver gets the next-byte counts of at most ``most`` contexts, the most frequent;
-    the others come as a table. Without any text the tree is its root, where all bytes are
-    alike.
+    The driver gets at most ``most`` grams, those of the most frequent contexts; the others
+    come as a table. Without any text the tree is its root, where all bytes are alike.
     """
-    most = HELD_CONTEXTS if most is None else most
+    most = HELD_GRAMS if most is None else most
     code, n = F.col("code"), F.col("n")
-    cut = grams.withColumn("len", F.explode(F.array(*[F.lit(d) for d in range(depth + 1)])))
-    counts = cut.groupBy("len", code.bitwiseAND(_mask(F.col("len"), depth, 1)).alias("code")).agg(F.sum(n).alias("n"))
-    context = F.shiftright("code", 8)
-    counts = stored(counts.withColumn("context", context), "tree-counts")
-    admitted = counts.groupBy("len", "context").agg(F.sum("n").alias("all")).where(
+    parts = [F.struct(F.lit(d).alias("len"), _part_of(code, d, depth).alias("code")) for d in range(depth + 1)]
+    cut = grams.select("n", F.inline(F.array(*parts)))
+    counts = cut.groupBy("len", "code").agg(F.sum(n).alias("n"))
+    counts = stored(counts.withColumn("context", F.shiftright("code", 8)), "tree-counts")
+    admitted = counts.groupBy("len", "context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), (F.count("*") * F.lit(SMOOTH)).alias("pull")).where(
         (F.col("all") >= least) | (F.col("len") == 0)
     )
     level = F.floor(F.log2("all") * 8)
     admitted = stored(admitted.withColumn("level", level), "tree-contexts")
     start, seen, left = math.inf, 0, 0
-    for r in admitted.groupBy("level").agg(F.count("*").alias("v")).orderBy(F.desc("level")).collect():
+    for r in admitted.groupBy("level").agg(F.sum("kinds").alias("v")).orderBy(F.desc("level")).collect():
         if seen + r["v"] <= most and not left:
             seen, start = seen + r["v"], r["level"]
         else:
             left += r["v"]
     held = (F.col("len") == 0) | (F.col("level") >= F.lit(start))
-    chosen = counts.join(admitted.where(held), ["len", "context"]).select("len", "code", "n").toPandas()
-    tree = _grown(chosen, depth)
-    rest = counts.join(admitted.where(~held), ["len", "context"]).select("len", "context", "code", "n", "all")
+    chosen = counts.join(admitted.where(held), ["len", "context"])
+    root = np.ones(256)
+    for r in chosen.where(F.col("len") == 0).select("code", "n").collect():
+        root[r["code"]] += r["n"]
+    tree = Tree(depth, root / root.sum())
+    for d in range(1, depth + 1):
+        part = chosen.where(F.col("len") == d).select("code", "n").toArrow()
+        if part.num_rows:
+            grams_, times = (part.column(c).to_numpy() for c in ("code", "n"))
+            order = np.argsort(grams_)
+            tree.add(d, grams_[order], times[order])
+    rest = counts.join(admitted.where(~held), ["len", "context"]).select("len", "context", "code", "n", "all", "pull")
     return tree, _extended(rest, tree, depth) if left else None
 
 
 def _by_tree(grams: DataFrame, tree: Tree) -> DataFrame:
-    """Adds ``log``: log10 of the automaton's probability of a gram's last byte, after the
-    ``len`` bytes before it."""
+    """Adds ``p``: the tree's probability of a gram's last byte, after the ``len`` bytes
+    before it."""
     share = grams.sparkSession.sparkContext.broadcast(tree)
 
     def run(batches):
         tree = share.value
         for b in batches:
             code, length = (b.column(c).to_numpy(zero_copy_only=False) for c in ("code", "len"))
-            log = np.zeros(len(code))
+            p = np.zeros(len(code))
             for d in np.unique(length):
-                log[length == d] = tree.after(code[length == d], int(d))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(log)], [*b.schema.names, "log"])
+                p[length == d] = tree.after(code[length == d], int(d))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], [*b.schema.names, "p"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in grams.schema)
-    return grams.mapInArrow(run, f"{kinds}, log double")
+    return grams.mapInArrow(run, f"{kinds}, p double")
 
 
 def _extended(rest: DataFrame, tree: Tree, depth: int) -> Rest | None:
-    """Tests the contexts of a table, shorter ones first: a context's suffix is in the
-    automaton or among those of the length before."""
+    """Tests the contexts of a table, shorter ones first: a context's suffix is in the tree
+    or among those of the length before."""
     rest = stored(_by_tree(rest, tree), "tree-rest")
     kept, below = [], None
     have = {r["len"] for r in rest.select("len").distinct().collect()}
@@ -290,12 +339,12 @@ def _extended(rest: DataFrame, tree: Tree, depth: int) -> Rest | None:
         if d not in have:
             below = None
             continue
-        part = rest.where(F.col("len") == d).withColumn("p", F.pow(F.lit(10.0), "log"))
+        part = rest.where(F.col("len") == d)
         if below is not None:
-            part = part.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << (8 * d)) - 1)))
+            part = part.withColumn("suffix", _part_of(F.col("code"), d - 1, d))
             part = part.join(below, "suffix", "left").withColumn("p", F.coalesce("below", "p"))
         gain = F.sum(F.col("n") * F.ln(F.col("n") / F.col("all") / F.col("p"))).over(of)
-        own = (F.col("n") + F.lit(PULL) * F.col("p")) / (F.col("all") + F.lit(PULL))
+        own = (F.col("n") + F.col("pull") * F.col("p")) / (F.col("all") + F.col("pull"))
         part = part.withColumn("keep", gain >= DIVERGENCE).select(
             "len", "context", "code", "n", "all", "keep", F.when(F.col("keep"), own).otherwise(F.col("p")).alias("p")
         )
@@ -329,103 +378,32 @@ def _extended(rest: DataFrame, tree: Tree, depth: int) -> Rest | None:
 
 
 def _more(met: DataFrame, rest: Rest, tree: Tree, depth: int) -> DataFrame:
-    """What the table's contexts add to the automaton's log10, by code; only grams with
-    such a context."""
+    """What the table's contexts add to the tree's log10, by code; only grams with such a
+    context."""
     grams = met.select("code").distinct().withColumn("len", F.lit(depth))
-    grams = stored(_by_tree(grams, tree), "tree-met").withColumnRenamed("len", "full")
-    tails = grams.withColumn("len", F.explode(F.array(*map(F.lit, rest.lengths))))
-    tails = tails.withColumn("context", F.shiftright("code", 8).bitwiseAND(_mask(F.col("len"), depth)))
+    grams = stored(_by_tree(grams, tree), "tree-met").drop("len")
+    tails = [
+        F.struct(F.lit(d).alias("len"), F.shiftright("code", 8 * (depth - d + 1)).alias("context")) for d in rest.lengths
+    ]
+    tails = grams.select("code", "p", F.inline(F.array(*tails)))
     seen = F.coalesce(F.element_at("next", F.col("code").bitwiseAND(F.lit(255))), F.lit(0))
-    steps = tails.join(rest.table, ["len", "context"]).select("code", "log", F.struct("len", seen.alias("n"), "all").alias("s"))
+    step = F.struct("len", seen.alias("n"), "all", (F.size("next") * F.lit(SMOOTH)).alias("pull"))
+    steps = tails.join(rest.table, ["len", "context"]).select("code", "p", step.alias("s"))
     p = F.aggregate(
-        F.sort_array("steps"),
-        F.pow(F.lit(10.0), "log"),
-        lambda p, s: (s["n"] + F.lit(PULL) * p) / (s["all"] + F.lit(PULL)),
+        F.sort_array("steps"), F.col("p"), lambda p, s: (s["n"] + s["pull"] * p) / (s["all"] + s["pull"])
     )
-    return steps.groupBy("code", "log").agg(F.collect_list("s").alias("steps")).select(
-        "code", (F.log10(p) - F.col("log")).alias("gain")
+    return steps.groupBy("code", "p").agg(F.collect_list("s").alias("steps")).select(
+        "code", (F.log10(p) - F.log10("p")).alias("gain")
     )
 
 
-def _grown(chosen, depth: int) -> Tree:
-    used = np.zeros(256, bool)
-    used[END] = True
-    root = chosen[chosen["len"] == 0]
-    used[root["code"].to_numpy()] = True
-    classes = np.full(256, int(used.sum()), np.int32)  # the last class: bytes never seen
-    classes[used] = np.arange(int(used.sum()))
-    width = int(used.sum()) + 1
-    unseen = max(1, 256 - int(used.sum()))
-
-    # Root: add-one over all 256 values; the last column is one unseen byte's share.
-    flat = np.ones(width)
-    flat[classes[root["code"].to_numpy()]] += root["n"].to_numpy()
-    flat = flat / (flat[:-1].sum() + unseen)
-
-    # Distributions of retained contexts only, one row each; a context that isn't retained
-    # speaks with its suffix's row.
-    dense = flat[None, :]
-    keys, row_of = {0: np.zeros(1, np.int64)}, {0: np.zeros(1, np.int64)}
-    kept = {0: np.ones(1, bool)}
-    for d in range(1, depth + 1):
-        part = chosen[chosen["len"] == d]
-        code, n = part["code"].to_numpy(), part["n"].to_numpy().astype(np.float64)
-        keys[d], row = np.unique(code >> 8, return_inverse=True)
-        column = classes[code & 255]
-        suffix = row_of[d - 1][np.searchsorted(keys[d - 1], keys[d] & ((1 << (8 * (d - 1))) - 1))]
-        size = np.bincount(row, n, len(keys[d]))
-        gain = np.bincount(row, n * np.log(n / size[row] / dense[suffix[row], column]), len(keys[d]))
-        kept[d] = gain >= DIVERGENCE
-        place = np.cumsum(kept[d]) - 1
-        mine = kept[d][row]
-        counts = np.zeros((int(kept[d].sum()), width))
-        counts[place[row[mine]], column[mine]] = n[mine]
-        own = (counts + PULL * dense[suffix[kept[d]]]) / (size[kept[d]][:, None] + PULL)
-        row_of[d] = np.where(kept[d], place + len(dense), suffix)
-        dense = np.concatenate([dense, own])
-
-    # States: retained contexts, their suffixes, and their beginnings, through which the
-    # automaton has to pass to reach them.
-    states = {d: set(keys[d][kept[d]].tolist()) for d in range(depth + 1)}
-    for d in range(depth, 1, -1):
-        for k in states[d]:
-            states[d - 1].add(k & ((1 << (8 * (d - 1))) - 1))
-            states[d - 1].add(k >> 8)
-    order = {d: np.array(sorted(states[d]), np.int64) for d in range(depth + 1)}
-    first = np.cumsum([0, *[len(order[d]) for d in range(depth)]])
-    count = sum(map(len, order.values()))
-    row_at, step = np.zeros(count, np.int64), np.zeros((count, width), np.int32)
-    symbols = np.nonzero(used)[0].astype(np.int64)
-    for d in range(depth + 1):
-        mine = slice(first[d], first[d] + len(order[d]))
-        if d:
-            # A state without counts of its own is its suffix, which is a state too.
-            suffix = order[d] & ((1 << (8 * (d - 1))) - 1)
-            row_at[mine] = row_at[first[d - 1] + np.searchsorted(order[d - 1], suffix)]
-            if len(keys[d]):
-                at = np.minimum(np.searchsorted(keys[d], order[d]), len(keys[d]) - 1)
-                row_at[mine] = np.where(keys[d][at] == order[d], row_of[d][at], row_at[mine])
-        longer = (order[d][:, None] << 8) | symbols[None, :]
-        target = np.zeros(longer.shape, np.int32)
-        for e in range(1, min(d + 1, depth) + 1):  # longer suffixes overwrite shorter ones
-            if len(order[e]):
-                tail = longer & ((1 << (8 * e)) - 1)
-                spot = np.minimum(np.searchsorted(order[e], tail), len(order[e]) - 1)
-                target = np.where(order[e][spot] == tail, first[e] + spot, target)
-        step[mine, :-1] = target
-    start = 0
-    for _ in range(depth):
-        start = int(step[start, classes[END]])
-    return Tree(classes, step, np.log10(dense[row_at]).astype(np.float32), start, depth)
-
-
 def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
                 frequent: int = FREQUENT, most: int | None = None) -> DataFrame:
     """Rows doc_id, n_tokens, n_known, train_tokens, base_score, score, one per document.
 
     ``train`` says which rows the model learns from. Tokens are words and one end for
     each document. base_score: sum over tokens of log10((c + 1) / (N + V + 1)). score:
-    log10 of the tree's probability of the text; ``frequent`` words and ``most`` contexts
+    log10 of the tree's probability of the text; ``frequent`` words and ``most`` grams
     go to every task, which changes no result. Null and empty texts are their end mark
     alone. Repeated rows and ids are scored each by itself; an empty table, or one without
     rows to learn from, gives a model that knows nothing. Other columns are not read.
@@ -463,6 +441,7 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
 
     def run(batches):
         logs, tree, marks = share.value
+        scores = Scorer(tree)
         for b in batches:
             plain = [normal(t) for t in b.column("text").to_pylist()]
             n, hit, base, rare = [], [], [], []
@@ -484,9 +463,9 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
                     pa.array(n, pa.int64()),
                     pa.array(hit, pa.int64()),
                     pa.array(base, pa.float64()),
-                    pa.array(tree.scores(plain), pa.float64()),
+                    pa.array(scores(plain), pa.float64()),
                     pa.array(rare, pa.list_(pa.binary())),
-                    _met(plain, tree.depth, *marks) if marks else pa.array([[]] * len(plain), pa.list_(pa.int64())),
+                    _met(plain, tree.depth, *marks) if marks else pa.array([[]] * len(plain), MET),
                 ],
                 ["doc_id", "n_tokens", "hit", "base", "score", "rare", "met"],
             )
@@ -494,7 +473,7 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     all_docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = all_docs.schema["doc_id"].dataType.simpleString()
     scored = all_docs.mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, hit long, base double, score double, rare array<binary>, met array<long>"
+        run, f"doc_id {kind}, n_tokens long, hit long, base double, score double, rare array<binary>, met array<struct<code: bigint, times: bigint>>"
     ).withColumn("row", F.monotonically_increasing_id())
     scored = stored(scored, "lm-scores")  # from here on a row's number is fixed
     rest = scored.select("row", F.explode("rare").alias("word")).join(
@@ -504,8 +483,10 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(scale)).alias("more"), F.count("n").alias("found")
     )
     if more:
-        met = scored.select("row", F.explode("met").alias("code"))
-        gains = met.join(_more(met, more, tree, tree.depth), "code").groupBy("row").agg(F.sum("gain").alias("gain"))
+        met = scored.select("row", F.inline("met"))
+        gains = met.join(_more(met, more, tree, tree.depth), "code").groupBy("row").agg(
+            F.sum(F.col("gain") * F.col("times")).alias("gain")
+        )
         scored = scored.join(gains, "row", "left").withColumn("score", F.col("score") + F.coalesce("gain", F.lit(0.0)))
     return scored.join(rest, "row", "left").select(
         "doc_id",

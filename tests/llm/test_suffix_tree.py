@@ -36,66 +36,82 @@ def test_base_score_equals_brute_force(awkward, rows, frequent):
     assert all(r["score"] < 0 for r in got)
 
 
-def by_hand(tree_rows, depth, texts):
-    """Longest retained suffix of the history, byte by byte, from the counts."""
+def counted(texts, depth):
+    """Next-byte counts of every context, by the bytes themselves."""
     held = {}
-    for r in tree_rows.itertuples():
-        held.setdefault((r.len, r.code >> 8), Counter())[r.code & 255] = r.n
-    root = held[0, 0]
+    for t in texts:
+        history = bytes([S.END]) * depth
+        for b in [*t, S.END]:
+            for d in range(depth + 1):
+                held.setdefault(history[len(history) - d :], Counter())[b] += 1
+            history += bytes([b])
+    return held
+
+
+def by_hand(held, least, depth, texts):
+    """Longest retained suffix of the history, byte by byte, from the counts."""
+    root = held.get(b"", Counter())
     size = sum(root.values())
-    dist = {(0, 0): {b: (root[b] + 1) / (size + 256) for b in range(256)}}
-    kept = {(0, 0)}
-    for d in range(1, depth + 1):
-        for (length, key), c in held.items():
-            if length != d:
-                continue
-            below = dist[d - 1, key & ((1 << (8 * (d - 1))) - 1)]
-            n = sum(c.values())
-            gain = sum(v * math.log(v / n / below[b]) for b, v in c.items())
-            if gain >= S.DIVERGENCE:
-                kept.add((d, key))
-                dist[d, key] = {b: (c[b] + S.PULL * below[b]) / (n + S.PULL) for b in range(256)}
-            else:
-                dist[d, key] = below
+    dist = {b"": {b: (root[b] + 1) / (size + 256) for b in range(256)}}
+    kept = {b""}
+    for key in sorted(held, key=len):
+        c, n = held[key], sum(held[key].values())
+        if not key or n < least:
+            continue
+        below = dist[key[1:]]
+        pull = S.SMOOTH * len(c)
+        if sum(v * math.log(v / n / below[b]) for b, v in c.items()) >= S.DIVERGENCE:
+            kept.add(key)
+            dist[key] = {b: (c[b] + pull * below[b]) / (n + pull) for b in range(256)}
+        else:
+            dist[key] = below
     out = []
     for t in texts:
         history, score = bytes([S.END]) * depth, 0.0
         for b in [*t, S.END]:
-            key, d = None, depth
-            while key is None:
-                k = int.from_bytes(history[len(history) - d :], "big") if d else 0
-                key = k if (d, k) in kept else None
-                d -= 0 if key is not None else 1
-            score += math.log10(dist[d, key][b])
+            key = next(k for d in range(depth, -1, -1) if (k := history[len(history) - d :]) in kept)
+            assert math.isclose(sum(dist[key].values()), 1.0)
+            score += math.log10(dist[key][b])
             history += bytes([b])
         out.append(score)
     return out
 
 
-def test_automaton_follows_the_longest_suffix(rows):
-    import pandas as pd
-
-    texts = [S.normal(r[1]) for r in rows]
+def grown_from(texts, least):
     code, n = S._grams(texts, S.DEPTH)
-    frames = []
-    for d in range(S.DEPTH + 1):
-        c, at = np.unique(code & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
-        k = np.zeros(len(c), np.int64)
-        np.add.at(k, at, n)
-        context, at = np.unique(c >> np.uint64(8), return_inverse=True)
-        total = np.zeros(len(context), np.int64)
-        np.add.at(total, at, k)
-        keep = total[at] >= 40
-        frames.append(pd.DataFrame({"len": d, "code": c[keep].astype(np.int64), "n": k[keep]}))
-    chosen = pd.concat(frames)
-    tree = S._grown(chosen, S.DEPTH)
-    assert len(tree.step) > 10
+    code, root = code.astype(np.int64), np.ones(256)
+    np.add.at(root, code & 255, n)
+    tree = S.Tree(S.DEPTH, root / root.sum())
+    for d in range(1, S.DEPTH + 1):
+        grams, at = np.unique(S._part(code, d, S.DEPTH), return_inverse=True)
+        times = np.bincount(at, n).astype(np.int64)
+        _, row = np.unique(grams >> 8, return_inverse=True)
+        keep = np.bincount(row, times)[row] >= least
+        tree.add(d, grams[keep], times[keep])
+    return tree
+
+
+def test_tree_follows_the_longest_suffix(rows, monkeypatch):
+    texts = [S.normal(r[1])[:4000] for r in rows]
+    tree = grown_from(texts, 40)
+    assert sum(len(x[0]) for x in tree.contexts.values()) > 10
     some = [*(t[:300] for t in texts), b"\x00\xff unseen", b""]
-    assert np.allclose(tree.scores(some), by_hand(chosen, S.DEPTH, some), atol=1e-3)
-    # A state's distribution is one: unseen bytes share their column's value.
-    unseen = 256 - (len(tree.logp[0]) - 1)
-    p = 10.0 ** tree.logp.astype(float)
-    assert np.allclose(p[:, :-1].sum(1) + unseen * p[:, -1], 1, atol=1e-3)
+    want = by_hand(counted(texts, S.DEPTH), 40, S.DEPTH, some)
+    assert np.allclose(S.Scorer(tree)(some), want, atol=1e-9)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 500)
+    for remembered in (0, 100, 10**6):
+        monkeypatch.setattr(S, "REMEMBERED", remembered)
+        assert np.allclose(S.Scorer(tree)(some), want, atol=1e-9)
+
+
+@pytest.mark.parametrize("most", [10**6, 300, 10])
+def test_scores_equal_brute_force(awkward, rows, most):
+    """Whichever part of the tree goes to the tasks and which is joined."""
+    short = F.length(F.coalesce(F.col("text"), F.lit(""))) < 3000
+    got = S.score_texts(awkward.where(short), F.lit(True), most=most).collect()
+    texts = [S.normal(r[1]) for r in rows if len(r[1] or "") < 3000]
+    want = by_hand(counted(texts, S.DEPTH), S.LEAST_COUNT, S.DEPTH, texts)
+    assert np.allclose(sorted(r["score"] for r in got), sorted(want), atol=1e-6)
 
 
 def test_tables_without_rows(awkward, nothing):
@@ -112,16 +128,6 @@ def test_held_out_text_is_likely(spark):
     assert got["s"] / got["n"] > -4.4  # log10 for each word; six bytes all alike are -14
 
 
-def test_contexts_beyond_the_automaton_are_joined(awkward):
-    """The whole tree's scores, whichever part of it goes to the tasks."""
-    score = lambda most: sorted(
-        (r["n_tokens"], round(r["score"], 2)) for r in S.score_texts(awkward, F.lit(True), most=most).collect()
-    )
-    whole = score(10**6)
-    for most in (300, 10):
-        assert all(abs(a[1] - b[1]) <= 0.02 + 1e-5 * abs(a[1]) for a, b in zip(score(most), whole, strict=True))
-
-
 def test_a_larger_corpus_loses_no_context(spark):
     """A pattern that occurs 40 times stays in the tree when 9 MB of other text are added."""
     few = [(0, "qzxvkj " * 40)]
