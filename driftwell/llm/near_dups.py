@@ -32,6 +32,8 @@ POSITIONS, CHUNKS = 64, 14
 MISS = 1e-4
 #: Members of a group that meet in one task, per side.
 BLOCK = 256
+#: Links that a task connects by itself before tasks agree on components.
+LOCAL_LINKS = 1 << 17
 MASK = (1 << 64) - 1
 
 _rng = np.random.default_rng(20)
@@ -348,17 +350,49 @@ def confirmed_links(members: DataFrame, limit: int, threshold: float) -> DataFra
 # --- components -------------------------------------------------------------
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) that say the same as all of a task's: each node with the least node
+    that it is connected to."""
+    number: dict[int, int] = {}
+    up: list[int] = []
+    for b in batches:
+        for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist(), strict=True):
+            ends = []
+            for node in (u, v):
+                if node not in number:
+                    number[node] = len(up)
+                    up.append(len(up))
+                i = number[node]
+                while up[i] != i:
+                    up[i] = up[up[i]]
+                    i = up[i]
+                ends.append(i)
+            up[max(ends)] = min(ends)
+    nodes = np.array(list(number), np.int64)
+    root = np.array(up, np.int64)
+    while len(root) and (root[root] != root).any():
+        root = root[root]
+    least = np.full(len(nodes), np.iinfo(np.int64).max)
+    np.minimum.at(least, root, nodes)
+    mine = least[root] if len(root) else nodes
+    away = nodes != mine
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[away]), pa.array(mine[away])], ["u", "v"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Rows node, comp: the least node that links lead to, for every node with a link.
 
-    Alternates two steps until nothing changes: every node's larger neighbours are linked
-    to the least of its neighbourhood, then its smaller ones. A node with very many links
-    is split between tasks as any skewed join is.
+    First each task turns about LOCAL_LINKS links into stars, as many buckets connect the
+    same nodes over and over. Then two steps alternate until nothing changes: every node's
+    larger neighbours are linked to the least of its neighbourhood, then its smaller ones.
+    A node with very many links is split between tasks as any skewed join is.
     """
     edges = links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).distinct()
     edges = stored(edges, "components")
+    tasks = max(1, -(-edges.count() // LOCAL_LINKS))
+    edges = stored(edges.coalesce(tasks).mapInArrow(_stars, "u long, v long").distinct(), "components")
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -101,7 +101,9 @@ def test_every_pair_within_the_distance_shares_a_bucket(threshold):
     assert far.mean() < 5e-4
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("local", [N.LOCAL_LINKS, 7])
+def test_components_of_chains_and_stars(spark, monkeypatch, local):
+    monkeypatch.setattr(N, "LOCAL_LINKS", local)
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5000, 5000)]
     edges = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges]
@@ -109,3 +111,19 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["comp"] for r in N.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(50)}
     assert N.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_links_of_a_task_become_stars():
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    links = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(250)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part)], ["u", "v"]) for part in (links[:100], links[100:])]
+    stars = [(r["u"], r["v"]) for b in N._stars(iter(batches)) for r in b.to_pylist()]
+    near = {x: {x} for pair in links for x in pair}
+    for a, b in links:
+        both = near[a] | near[b]
+        for x in both:
+            near[x] = both
+    assert dict(stars) == {x: min(group) for x, group in near.items() if x != min(group)} and len(dict(stars)) == len(stars)
+    assert [b.num_rows for b in N._stars(iter([]))] == [0]
