@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_frames(frames: DataFrame, path: str, separator: str) -> None:
-    """One row of the single binary column after the other."""
+def write_frames(frames: DataFrame, path: str, separator: str, rows_per_file: int = 0) -> None:
+    """One row of the single binary column after the other; ``rows_per_file``: the rows
+    after which a task starts a new file, 0 for one file a task."""
     (name,) = frames.columns
     frames.select(F.col(name).cast("string").alias("value")).write.option("lineSep", separator).option(
         "compression", "none"
-    ).text(path)
+    ).option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:

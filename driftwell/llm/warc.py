@@ -2,7 +2,9 @@
 
 Each archive starts with a skippable Zstandard frame that holds a dictionary built from
 the archive's own records; every record is a frame of its own, compressed with it. So a
-record can be read alone, and small records compress as well as large ones.
+record can be read alone, and small records compress as well as large ones. Before each
+record a small skippable frame tells its length, so a reader goes from one to the next
+without looking for their ends. An archive is a file of bounded size.
 
 Of records with equal payloads one keeps the payload, the others revisit it.
 """
@@ -20,13 +22,18 @@ from pyspark.sql import functions as F
 
 from driftwell.llm.files import read_files, write_frames
 
-#: Skippable frames: the dictionary's, and an empty one that follows every record.
+#: Skippable frames: the dictionary's, one before every record with its length, and an
+#: empty one that ends a file.
 DICTIONARY_MAGIC = 0x184D2A5D
+LENGTH_MAGIC = 0x184D2A5C
 SEPARATOR = "\x50\x2a\x4d\x18\x00\x00\x00\x00"
 FRAME_MAGIC = 0xFD2FB528
 #: Payloads below this many bytes are always stored.
 REVISIT_FROM = 100
-#: A dictionary is built from an archive's first records up to so many bytes.
+#: Bytes of records, before compression, after which a task starts the next archive.
+ARCHIVE_BYTES = 48 << 20
+#: A dictionary is built from about so many bytes of an archive's records, chosen over the
+#: whole archive by their digests.
 SAMPLE_BYTES = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
@@ -110,40 +117,43 @@ def build_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES):
         return zstd.ZstdCompressionDict(b"".join(samples)[-size:], dict_type=zstd.DICT_TYPE_RAWCONTENT)
 
 
-def _archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def archive(items: list[tuple[str, bytes]]) -> bytes:
+    """One archive of (payload digest, record)."""
     import zstandard as zstd
 
-    def frames(items):
-        return pa.RecordBatch.from_arrays([pa.array(items, pa.binary())], ["frame"])
+    share = SAMPLE_BYTES / max(1, sum(len(raw) for _, raw in items))
+    chosen = [raw for digest, raw in items if int(digest[-8:], 16) < share * (1 << 32)]
+    dictionary = build_dictionary(chosen or [raw for _, raw in items[:1]])
+    packer = zstd.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True, write_dict_id=False)
+    raw = dictionary.as_bytes() if dictionary else b""
+    out = [struct.pack("<II", DICTIONARY_MAGIC, len(raw)), raw]
+    for _, record_ in items:
+        frame = packer.compress(record_)
+        out += [struct.pack("<IIQ", LENGTH_MAGIC, 8, len(frame)), frame]
+    return b"".join(out)
 
-    def opened(samples):
-        dictionary = build_dictionary(samples)
-        packer = zstd.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True, write_dict_id=False)
-        raw = dictionary.as_bytes() if dictionary else b""
-        return packer, struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw
 
-    waiting, size, packer = [], 0, None
+def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per archive."""
+
+    def row(items):
+        return pa.RecordBatch.from_arrays([pa.array([archive(items)], pa.binary())], ["frame"])
+
+    waiting, size = [], 0
     names = ("page_id", "url", "payload", "payload_digest", "refers_to")
     for b in batches:
-        rows = (record(*r) for r in zip(*(b.column(n).to_pylist() for n in names), strict=True))
-        for raw in rows:
-            waiting.append(raw)
-            size += len(raw)
-            if packer is None and size >= SAMPLE_BYTES:
-                packer, head = opened(waiting)
-                yield frames([head])
-            if packer is not None and size >= 1 << 20:
-                yield frames([packer.compress(x) for x in waiting])
+        for values in zip(*(b.column(n).to_pylist() for n in names), strict=True):
+            waiting.append((values[3], record(*values)))
+            size += len(waiting[-1][1])
+            if size >= ARCHIVE_BYTES:
+                yield row(waiting)
                 waiting, size = [], 0
     if waiting:
-        if packer is None:
-            packer, head = opened(waiting)
-            yield frames([head])
-        yield frames([packer.compress(x) for x in waiting])
+        yield row(waiting)
 
 
 def write_archives(pages: DataFrame, path: str, page_id="page_id", url="url", html="html") -> None:
-    """One record per row, in one archive per task.
+    """One record per row, in archives of about ARCHIVE_BYTES before compression.
 
     A null html is an empty payload, a null id or url leaves its header out. Of equal
     payloads of 100 bytes or more the row with the smallest id is the response; rows that
@@ -151,35 +161,61 @@ def write_archives(pages: DataFrame, path: str, page_id="page_id", url="url", ht
     read; an empty table writes archives without records.
     """
     rows = with_revisits(pages, page_id, url, html)
-    write_frames(rows.mapInArrow(_archive, "frame binary"), path, SEPARATOR)
+    write_frames(rows.mapInArrow(_archives, "frame binary"), path, SEPARATOR, rows_per_file=1)
 
 
 def records(content: bytes) -> Iterator[bytes]:
-    """The records of one archive, decompressed with the dictionary it starts with."""
+    """The records of one archive, decompressed with the dictionary it starts with.
+
+    Frames without a length before them are found by their own ends, a chunk at a time.
+    """
     import zstandard as zstd
 
-    view, at, reader = memoryview(content), 0, zstd.ZstdDecompressor()
+    view, at, reader, size = memoryview(content), 0, zstd.ZstdDecompressor(), None
     while at < len(view):
-        magic = struct.unpack_from("<I", view, at)[0]
+        if len(view) - at < 8:
+            raise ValueError("an archive is cut off")
+        magic, length = struct.unpack_from("<II", view, at)
         if magic == FRAME_MAGIC:
-            d = reader.decompressobj()
-            out = d.decompress(view[at:])
-            if not d.eof:
+            if size is None:
+                out, size = _one_frame(reader, view[at:])
+            elif at + size > len(view):
                 raise ValueError("an archive is cut off")
-            at = len(view) - len(d.unused_data)
+            else:
+                out = reader.decompress(view[at : at + size])
+            at, size = at + size, None
             yield out
         elif magic & 0xFFFFFFF0 == 0x184D2A50:
-            size = struct.unpack_from("<I", view, at + 4)[0]
-            if magic == DICTIONARY_MAGIC and size:
-                reader = zstd.ZstdDecompressor(dict_data=zstd.ZstdCompressionDict(bytes(view[at + 8 : at + 8 + size])))
-            at += 8 + size
+            at += 8
+            if at + length > len(view):
+                raise ValueError("an archive is cut off")
+            if magic == DICTIONARY_MAGIC and length:
+                reader = zstd.ZstdDecompressor(dict_data=zstd.ZstdCompressionDict(bytes(view[at : at + length])))
+            elif magic == LENGTH_MAGIC:
+                (size,) = struct.unpack_from("<Q", view, at)
+            at += length
         else:
             raise ValueError("not a Zstandard frame")
 
 
+def _one_frame(reader, view: memoryview, chunk: int = 1 << 16) -> tuple[bytes, int]:
+    """The first frame's content and its length."""
+    d, out = reader.decompressobj(), []
+    for at in range(0, len(view), chunk):
+        part = view[at : at + chunk]
+        out.append(d.decompress(part))
+        if d.eof:
+            return b"".join(out), at + len(part) - len(d.unused_data)
+    raise ValueError("an archive is cut off")
+
+
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Rows page_id, url, payload_bytes, payload_digest, record_type, refers_to and, on
-    request, payload (empty for revisits)."""
+    request, payload (empty for revisits): one per record, repeated ones each.
+
+    Ids and URLs that were null are null; a folder without records gives an empty table.
+    The columns are those of the records, whatever the pages' table had.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(held):

@@ -1,11 +1,16 @@
 import glob
 import hashlib
+import random
 import struct
+import time
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from driftwell.llm import warc
+from driftwell.llm.files import write_frames
 from driftwell.session import scratch_path
 
 LONG = "<p>" + "text of a page " * 20 + "</p>"
@@ -46,6 +51,57 @@ def test_archives_round_trip(spark):
             assert magic == warc.DICTIONARY_MAGIC and size > 0
 
 
+def test_archives_are_bounded(spark, monkeypatch):
+    pages = [(i, f"http://x/{i}", f"<p>{i * 7919}</p>" * (5 + i % 7)) for i in range(400)]
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 8000)  # read by the driver's own calls only
+    items = [(f"{i:064x}", warc.record(i, u, h.encode(), f"{i:064x}", None)) for i, u, h in pages]
+    batch = pa.RecordBatch.from_pylist(
+        [{"page_id": i, "url": u, "payload": h.encode(), "payload_digest": f"{i:064x}", "refers_to": None} for i, u, h in pages],
+        schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]),
+    )
+    made = [bytes(x) for b in warc._archives(iter([batch])) for x in b.column("frame").to_pylist()]
+    assert len(made) > 10
+    read = [list(warc.records(a)) for a in made]
+    assert [r for a in read for r in a] == [raw for _, raw in items]
+    assert all(sum(map(len, a[:-1])) < 8000 for a in read)
+
+
+def test_a_file_for_each_archive(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * 1000 + str(i)) for i in range(50)], "page_id long, url string, html string")
+    path = scratch_path(spark, "archives")
+    frames = pages.select(F.encode(F.col("html"), "UTF-8").alias("frame")).coalesce(1)
+    write_frames(frames, path, warc.SEPARATOR, rows_per_file=20)
+    assert len(glob.glob(f"{path}/part-*")) == 3
+
+
+def test_frames_without_lengths_are_read(monkeypatch):
+    import zstandard as zstd
+
+    raw = [b"abc" * k for k in (1, 50_000, 7)]
+    plain = b"".join(zstd.ZstdCompressor().compress(x) + warc.SEPARATOR.encode() for x in raw)
+    assert list(warc.records(plain)) == raw
+    whole = warc.archive([("f" * 64, b"some record " * 100)])
+    for cut in (whole[:-1], whole[:-30], plain[:-9], plain[:3]):
+        with pytest.raises(ValueError):
+            list(warc.records(cut))
+
+
+def test_reading_time_follows_the_archive():
+    rng = random.Random(2)
+    items = [(f"{k:064x}", rng.randbytes(1500)) for k in range(8000)]
+
+    def seconds(n):
+        whole = warc.archive(items[:n])
+        best = 9.0
+        for _ in range(3):
+            start = time.perf_counter()
+            assert sum(1 for _ in warc.records(whole)) == n
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert seconds(8000) < 3 * seconds(4000)
+
+
 def test_empty_table(spark):
     path = scratch_path(spark, "archives")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
