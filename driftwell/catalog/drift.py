@@ -212,3 +212,28 @@ def aligned_shares(spark, folder):
             orders(spark, folder), ["o_orderstatus", "o_orderpriority", "o_custkey"]
         )
     )
+
+
+_SMALL = "(SELECT s_acctbal, s_nationkey < 12 AS ref FROM supplier)"
+#: A lattice path's mass by steps to the right, and what has left the band so far.
+_EXIT_SQL = """
+WITH RECURSIVE facts AS (SELECT least(n_ref, n_cur)::BIGINT AS m, greatest(n_ref, n_cur)::BIGINT AS n, n_ref, n_cur, d,
+    round(d * n_ref * n_cur) AS lim FROM ({ks})),
+walk AS (
+  SELECT 0 AS t, m, n, lim, list_transform(range(m + 1), lambda x: CASE WHEN x = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS mass,
+         0.0::DOUBLE AS gone FROM facts
+  UNION ALL
+  SELECT t + 1, m, n, lim,
+         list_transform(moved, lambda v, x: CASE WHEN abs((x - 1) * n - (t + 2 - x) * m) >= lim THEN 0.0::DOUBLE ELSE v END),
+         gone + list_sum(list_transform(moved, lambda v, x: CASE WHEN abs((x - 1) * n - (t + 2 - x) * m) >= lim THEN v ELSE 0.0::DOUBLE END))
+  FROM (SELECT *, list_transform(mass, lambda v, x: v * (1 - (m - x + 1) / (m + n - t)::DOUBLE)
+          + CASE WHEN x > 1 THEN mass[x - 1] * (m - x + 2) / (m + n - t)::DOUBLE ELSE 0 END) AS moved FROM walk WHERE t < m + n))
+SELECT 's_acctbal' AS "column", n_ref::BIGINT AS n_ref, n_cur::BIGINT AS n_cur, round(d, 6) AS d,
+       round((SELECT gone FROM walk WHERE t = m + n), 6) AS p_value, 'exact' AS p_method FROM facts"""
+
+
+@query("ks_exact", _EXIT_SQL.format(ks=ks_sql(_SMALL, "s_acctbal", "ref")))
+def ks_exact(spark, folder):
+    """Two small samples, with the p-value by path counting."""
+    rows = drift.mark(table(spark, folder, "supplier"), F.col("s_nationkey") < 12)
+    return rounded(drift.ks_two_sample(rows, ["s_acctbal"], p_method="exact"))

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwell.catalog.registry import query, rounded, table, union_all
+from driftwell.catalog.registry import chi_p_sql, normal_p_sql, query, rounded, table, union_all
 from driftwell.operators import assoc, profile
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]
@@ -264,10 +264,11 @@ def _mw_sql(column):
 
 @query(
     "mann_whitney",
-    f"""SELECT "column", n_1, n_0, round(u, 6) AS u,
-    round((greatest(u, CAST(n_1 AS DOUBLE) * n_0 - u) - CAST(n_1 AS DOUBLE) * n_0 / 2 - 0.5) /
-      sqrt(CAST(n_1 AS DOUBLE) * n_0 / 12 * ((n_1 + n_0 + 1) - ties / (CAST(n_1 + n_0 AS DOUBLE) * (n_1 + n_0 - 1)))), 6) AS z
-    FROM ({union_all([_mw_sql(c) for c in ('l_quantity', 'l_extendedprice', 'l_discount', 'l_tax')])})""",
+    f"""SELECT "column", n_1, n_0, round(u, 6) AS u, round(z, 6) AS z,
+    round(CASE WHEN z <= 0 THEN 1 ELSE {normal_p_sql("z")} END, 6) AS p_value FROM (SELECT *,
+    (greatest(u, CAST(n_1 AS DOUBLE) * n_0 - u) - CAST(n_1 AS DOUBLE) * n_0 / 2 - 0.5) /
+      sqrt(CAST(n_1 AS DOUBLE) * n_0 / 12 * ((n_1 + n_0 + 1) - ties / (CAST(n_1 + n_0 AS DOUBLE) * (n_1 + n_0 - 1)))) AS z
+    FROM ({union_all([_mw_sql(c) for c in ('l_quantity', 'l_extendedprice', 'l_discount', 'l_tax')])}))""",
 )
 def mann_whitney(spark, folder):
     lines = table(spark, folder, "lineitem").withColumn(
@@ -275,7 +276,7 @@ def mann_whitney(spark, folder):
     )
     return rounded(
         assoc.mann_whitney(
-            lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "good", with_p=False
+            lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "good"
         )
     )
 
@@ -299,26 +300,27 @@ _PAIRED = "(SELECT *, o_orderstatus = 'F' AS done, o_totalprice > 250000 AS big
 
 @query(
     "chi_square",
-    f"""SELECT "column", round(chi2, 6) AS chi2, dof FROM (
+    f"""SELECT "column", round(chi2, 6) AS chi2, dof, round({chi_p_sql("chi2", "dof")}, 6) AS p_value FROM (
     {_chi_sql('o_orderpriority')} UNION ALL {_chi_sql('o_custkey')})""",
 )
 def chi_square(spark, folder):
     return rounded(
         assoc.chi_square(
-            table(spark, folder, "orders"), ["o_orderpriority", "o_custkey"], "o_orderstatus", with_p=False
+            table(spark, folder, "orders"), ["o_orderpriority", "o_custkey"], "o_orderstatus"
         )
     )
 
 
 @query(
     "chi_square_yates",
-    f"""SELECT "column", round(chi2, 6) AS chi2, dof FROM ({_chi_sql('big', 'done', _PAIRED)})""",
+    f"""SELECT "column", round(chi2, 6) AS chi2, dof, round({normal_p_sql("sqrt(chi2)")}, 6) AS p_value
+    FROM ({_chi_sql('big', 'done', _PAIRED)})""",
 )
 def chi_square_yates(spark, folder):
     o = table(spark, folder, "orders").select(
         (F.col("o_orderstatus") == "F").alias("done"), (F.col("o_totalprice") > 250000).alias("big")
     )
-    return rounded(assoc.chi_square(o, ["big"], "done", with_p=False))
+    return rounded(assoc.chi_square(o, ["big"], "done"))
 
 
 @query(

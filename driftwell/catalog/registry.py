@@ -125,3 +125,21 @@ def kolmogorov_sql(lam: str) -> str:
 
 
 KS_LAMBDA = "d * sqrt(CAST(n_ref AS DOUBLE) * n_cur / (CAST(n_ref AS DOUBLE) + n_cur))"
+
+
+def simpson_sql(f: str, lo: str, hi: str, steps: int = 4000) -> str:
+    """Integral of ``f``, an expression of t, by Simpson's rule."""
+    weight = f"CASE WHEN j = 0 OR j = {steps} THEN 1 WHEN j % 2 = 1 THEN 4 ELSE 2 END"
+    cell = f.replace("@t", f"(({lo}) + j * (({hi}) - ({lo})) / {steps}.0)")
+    return f"((({hi}) - ({lo})) / {3 * steps}.0 * list_sum([({weight}) * ({cell}) FOR j IN range(0, {steps + 1})]))"
+
+
+def normal_p_sql(z: str) -> str:
+    """Two-sided p of a normal statistic that is not negative, by integration."""
+    return simpson_sql("exp(-@t * @t / 2) * sqrt(2 / pi())", z, f"({z}) + 14")
+
+
+def chi_p_sql(x: str, dof: str) -> str:
+    """Upper tail of chi-square with at least 2 degrees of freedom, by integration."""
+    a = f"(({dof}) / 2.0)"
+    return simpson_sql(f"exp(({a} - 1) * ln(@t) - @t - lgamma({a}))", f"(({x}) / 2)", f"(({x}) / 2 + 40 * sqrt({a}) + 80)")

@@ -1,15 +1,14 @@
-"""p-values of already aggregated test statistics (one row per tested column)."""
+"""p-values of already aggregated test statistics (one row per tested column).
+
+All are column expressions, so no Python worker is needed on the way.
+"""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
 
 SERIES_TERMS = 100
 SMALL_LAMBDA = 0.2
@@ -32,86 +31,98 @@ def kolmogorov_series(lam: Column, terms: int = SERIES_TERMS) -> Column:
     )
 
 
-def path_exit_probability(m: int, n: int, distance: float) -> float:
-    """P(two-sample D >= distance) when both samples share one continuous law.
+def _bound(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    Walks the uniform lattice path from (0, 0) to (m, n) one step at a time and
-    sums the mass at its first touch of |x/m - y/n| >= distance. Adding up the
-    exits, not 1 - survivors, keeps tiny p-values accurate.
+def ks_exact_p(m: Column, n: Column, distance: Column) -> Column:
+    """P(two-sample D >= distance) when both samples share one continuous law, from the
+    sample sizes and D; null if any is.
+
+    Walks the uniform lattice path from (0, 0) to (m, n) one step at a time and sums the
+    mass at its first touch of |x/m - y/n| >= distance. Adding up the exits, not
+    1 - survivors, keeps tiny p-values accurate. The work is m * (m + n), with m the
+    smaller sample: meant for samples of up to a few thousand.
     """
-    limit = round(distance * m * n)
-    if limit <= 0:
-        return 1.0
-    x = np.arange(m + 1, dtype=np.int64)
-    mass = np.zeros(m + 1)
-    mass[0] = 1.0
-    out = 0.0
-    for t in range(m + n):
-        lo = max(0, t - n)
-        hi = min(t, m)
-        here = mass[lo : hi + 1]
-        right = here * ((m - x[lo : hi + 1]) / (m + n - t))
-        up = here - right
-        step = np.zeros(m + 2)
-        step[lo : hi + 1] += up
-        step[lo + 1 : hi + 2] += right
-        mass = step[: m + 1]
-        lo2, hi2 = max(0, t + 1 - n), min(t + 1, m)
-        xs = x[lo2 : hi2 + 1]
-        touched = np.abs(xs * n - (t + 1 - xs) * m) >= limit
-        out += float(mass[lo2 : hi2 + 1][touched].sum())
-        mass[lo2 : hi2 + 1][touched] = 0.0
-    return min(1.0, max(0.0, out))
-
-
-@pandas_udf(DoubleType())
-def ks_exact_p(m: pd.Series, n: pd.Series, distance: pd.Series) -> pd.Series:
-    """Exact two-sided KS p-value of an aggregated row (sample sizes and D)."""
-    return pd.Series(
-        [
-            None
-            if pd.isna(a) or pd.isna(b) or pd.isna(d)
-            else path_exit_probability(int(a), int(b), float(d))
-            for a, b, d in zip(m, n, distance)
-        ],
-        dtype="float64",
+    short, long = F.least(m, n).cast("double"), F.greatest(m, n).cast("double")
+    limit = F.round(distance * short * long)
+
+    def step(state: Column, t: Column) -> Column:
+        left = short + long - t
+
+        def moved(x: Column) -> Column:
+            stays = F.get(state["mass"], x) * (F.lit(1.0) - (short - x) / left)
+            comes = F.when(x > 0, F.get(state["mass"], F.greatest(x - 1, F.lit(0))) * (short - x + 1) / left).otherwise(0.0)
+            return stays + comes
+
+        def touched(x: Column) -> Column:
+            return F.abs(x * long - (t + 1 - x) * short) >= limit
+
+        # Where the path is not yet out, and what has left with this step.
+        return _bound(
+            F.transform(F.sequence(F.lit(0), short.cast("int")), moved),
+            lambda mass: F.struct(
+                F.transform(mass, lambda v, x: F.when(touched(x), F.lit(0.0)).otherwise(v)).alias("mass"),
+                (state["out"] + F.aggregate(
+                    F.transform(mass, lambda v, x: F.when(touched(x), v).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, v: a + v
+                )).alias("out"),
+            ),
+        )
+
+    start = F.struct(
+        F.transform(F.sequence(F.lit(0), short.cast("int")), lambda x: F.when(x == 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("mass"),
+        F.lit(0.0).alias("out"),
+    )
+    steps = F.sequence(F.lit(0), (short + long).cast("int") - 1)
+    out = F.aggregate(steps, start, step, lambda s: F.greatest(F.lit(0.0), F.least(F.lit(1.0), s["out"])))
+    known = m.isNotNull() & n.isNotNull() & distance.isNotNull()
+    return F.when(known & (limit <= 0), F.lit(1.0)).when(known & (short > 0), out)
+
+
+def log_gamma(a: Column) -> Column:
+    """ln of the gamma function for a > 0: Stirling's series ten steps on, and back."""
+    def far(z: Column) -> Column:
+        inverse = 1.0 / z
+        square = inverse * inverse
+        tail = inverse * (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square * (1 / 1680 - square / 1188))))
+        return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + tail
+
+    back = F.aggregate(F.sequence(F.lit(0), F.lit(9)), F.lit(0.0), lambda acc, i: acc + F.ln(a + i))
+    return far(a + 10) - back
+
+
+def upper_gamma(a: Column, x: Column) -> Column:
+    """Regularized upper incomplete gamma function for a > 0: a series below a + 1, a
+    continued fraction above, evaluated from its far end. 1 for x <= 0, null for null."""
+    rounds = F.sequence(F.lit(1), (F.lit(150) + 12 * F.sqrt(a)).cast("int"))
+    safe = F.greatest(x, F.lit(1e-300))
+    front = F.exp(a * F.ln(safe) - safe - log_gamma(a))
+    series = F.aggregate(
+        rounds,
+        F.struct((1.0 / a).alias("sum"), (1.0 / a).alias("term")),
+        lambda s, n: _bound(
+            s["term"] * safe / (a + n), lambda term: F.struct((s["sum"] + term).alias("sum"), term.alias("term"))
+        ),
+        lambda s: F.lit(1.0) - front * s["sum"],
     )
+    fraction = F.aggregate(
+        F.reverse(rounds),
+        safe + 2 * F.size(rounds) + 1 - a,
+        # Where the series holds, the fraction may meet a zero; it isn't used there.
+        lambda f, n: safe + 2 * n - 1 - a - F.coalesce(F.try_divide(n * (n - a), f), F.lit(0.0)),
+        lambda f: F.try_divide(front, f),
+    )
+    p = F.when(x <= 0, F.lit(1.0)).when(x < a + 1, series).otherwise(fraction)
+    return F.when(x.isNotNull() & a.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
 
 
-@pandas_udf(DoubleType())
-def normal_two_sided_p(z: pd.Series) -> pd.Series:
+def normal_two_sided_p(z: Column) -> Column:
     """2 * P(Z > |z|)."""
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
-
+    return upper_gamma(F.lit(0.5), z * z / 2)
 
-def chi_square_tail(x: float, dof: int) -> float:
-    """Upper tail of chi-square with an integer number of degrees of freedom.
 
-    Uses the finite sums that hold for even and for odd dof.
-    """
-    if x <= 0 or dof <= 0:
-        return 1.0
-    half = x / 2.0
-    if dof % 2 == 0:
-        log_terms = [
-            i * math.log(half) - math.lgamma(i + 1) - half for i in range(dof // 2)
-        ]
-        base = 0.0
-    else:
-        log_terms = [
-            (i + 0.5) * math.log(half) - math.lgamma(i + 1.5) - half
-            for i in range((dof - 1) // 2)
-        ]
-        base = math.erfc(math.sqrt(half))
-    return min(1.0, base + sum(math.exp(t) for t in log_terms))
-
-
-@pandas_udf(DoubleType())
-def chi_square_p(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if pd.isna(a) or pd.isna(k) else chi_square_tail(float(a), int(k))
-            for a, k in zip(x, dof)
-        ],
-        dtype="float64",
-    )
+def chi_square_p(x: Column, dof: Column) -> Column:
+    """Upper tail of chi-square; 1 without degrees of freedom."""
+    free = F.greatest(dof, F.lit(1)).cast("double")
+    return F.when(dof <= 0, F.lit(1.0)).otherwise(upper_gamma(free / 2, x.cast("double") / 2))

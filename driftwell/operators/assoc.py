@@ -93,7 +93,7 @@ def chi_square(df: DataFrame, columns: Sequence[str], label: str, with_p: bool =
         .alias("chi2"),
         dof.alias("dof"),
     )
-    return out.withColumn("p_value", chi_square_p("chi2", "dof")) if with_p else out
+    return out.withColumn("p_value", chi_square_p(F.col("chi2"), F.col("dof"))) if with_p else out
 
 
 def associate(
