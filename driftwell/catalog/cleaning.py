@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwell.catalog.registry import query, rounded, table
 from driftwell.functions import is_number, to_number
-from driftwell.operators import clean, validate
+from driftwell.operators import clean, requests, validate
 from driftwell.operators.validate import Rule
 from driftwell.spec import Field, TableSpec
 
@@ -224,19 +225,55 @@ def whole_requests(spark, folder):
 
 @query(
     "explode_requests",
-    """SELECT o_custkey, count(*) OVER (PARTITION BY o_custkey) <= 20 AS batch_ok, o_orderkey, o_totalprice
-    FROM orders""",
+    """SELECT o_custkey, o_orderkey % 24 + 1 <= 20 AS batch_ok, o_orderkey * 100 + i AS o_orderkey, o_totalprice + i AS o_totalprice
+    FROM (SELECT *, unnest(range(1, o_orderkey % 24 + 2)) AS i FROM orders)""",
 )
 def explode_requests(spark, folder):
-    # Orders of one customer as the list a request carries.
-    nested = (
-        table(spark, folder, "orders")
-        .groupBy("o_custkey")
-        .agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("applications"))
+    # Each order as a request that carries up to 24 applications.
+    places = F.sequence(F.lit(1).cast("long"), F.col("o_orderkey") % 24 + 1)
+    lists = F.transform(
+        places,
+        lambda i: F.struct((F.col("o_orderkey") * 100 + i).alias("o_orderkey"), (F.col("o_totalprice") + i).alias("o_totalprice")),
     )
+    nested = table(spark, folder, "orders").select("o_custkey", lists.alias("applications"))
     return validate.explode_requests(nested, "applications", cap=20)
 
 
+_REQUEST_RULES = [Rule("customer", 5, 1_000_000_000), Rule("month", 1, 11)]
+_APPLICATION = T.StructType([T.StructField("customer", T.LongType()), T.StructField("month", T.IntegerType())])
+
+
+def request_texts(spark, folder):
+    """Each order as a request for two applications; some texts are cut off, some lists are
+    empty, some values missing."""
+    orders = table(spark, folder, "orders")
+    key = F.col("o_orderkey")
+    one = F.struct(F.col("o_custkey").alias("customer"), F.month("o_orderdate").alias("month"))
+    other = F.struct((F.col("o_custkey") - 20).alias("customer"), F.when(key % 7 > 0, F.lit(3)).alias("month"))
+    none = F.array().cast("array<struct<customer: bigint, month: int>>")
+    body = F.to_json(F.struct(F.when(key % 10 == 1, none).otherwise(F.array(one, other)).alias("applications")))
+    return orders.select("o_orderkey", F.when(key % 10 == 0, F.substring(body, 1, 20)).otherwise(body).alias("request"))
+
+
+_REPLY_SQL = """
+WITH apps AS (SELECT o_orderkey, o_orderkey % 10 AS kind, [o_custkey, o_custkey - 20] AS customers,
+                     [month(o_orderdate), CASE WHEN o_orderkey % 7 > 0 THEN 3 END] AS months FROM orders),
+marked AS (SELECT *, list_concat(
+    CASE WHEN customers[1] < 5 THEN ['{"position":0,"column":"customer","value":"' || customers[1] || '"}'] ELSE [] END,
+    CASE WHEN months[1] > 11 THEN ['{"position":0,"column":"month","value":"' || months[1] || '"}'] ELSE [] END,
+    CASE WHEN customers[2] < 5 THEN ['{"position":1,"column":"customer","value":"' || customers[2] || '"}'] ELSE [] END,
+    CASE WHEN months[2] IS NULL THEN ['{"position":1,"column":"month"}'] ELSE [] END) AS errors FROM apps),
+judged AS (SELECT o_orderkey, CASE WHEN kind = 0 THEN 'malformed' WHEN kind = 1 THEN 'wrong_size' WHEN len(errors) > 0 THEN 'invalid' ELSE 'accepted' END AS status,
+                  CASE WHEN kind < 2 THEN 0 ELSE 2 END AS n, CASE WHEN kind < 2 THEN [] ELSE errors END AS errors FROM marked)
+SELECT o_orderkey, status, '{"status":"' || status || '","n":' || n || ',"errors":[' || array_to_string(errors, ',') || ']}' AS reply FROM judged"""
+
+
+@query("json_requests", _REPLY_SQL)
+def json_requests(spark, folder):
+    parsed = requests.parse_requests(request_texts(spark, folder), "request", _APPLICATION)
+    return requests.answer_requests(parsed, _REQUEST_RULES).select("o_orderkey", "status", "reply")
+
+
 @query("drop_duplicates", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def drop_duplicates(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
@@ -297,7 +334,3 @@ def final_checks(spark, folder):
 def standardise_text_dirt(spark, folder):
     df = clean.coerce_numbers(raw_orders(spark, folder), ["hoehe"])
     return df.groupBy(F.col("hoehe").isNull().alias("missing")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def cleaner_stats(spark, folder):
-    return rounded(clean.clean_stats(spark, clean.fit_cleaner(raw_orders(spark, folder), ORDER_SPEC)))

@@ -13,7 +13,7 @@ from driftwell.operators.attribution import (
 )
 from driftwell.operators.quality import model_table, top_features
 from driftwell.operators.validate import Rule
-from driftwell.plans.jobs import train_and_test
+from driftwell.plans.jobs import evaluate, train_and_test
 from driftwell.session import scratch_path
 from driftwell.sources import tables
 from driftwell.streaming.scoring import score_stream
@@ -151,6 +151,8 @@ def train_gbt(spark, folder):
     return checked_scores(models.score_records(test, model))
 
 
+#: Labelled rows that a baseline is fitted on; all test rows are scored.
+BASELINE_FIT_ROWS = 1_000
 _BASELINES = ("DecisionTree", "GradientBoosting", "LogisticRegression", "RandomForest")
 
 
@@ -164,9 +166,10 @@ def train_baselines(spark, folder):
     written predictions."""
     train, test = _parts(spark, folder)
     prepared = prep.fit_preprocessor(train, NUMERIC, CODED, scale=True)
+    sample = models.written(models.bounded_rows(train, ["o_orderkey"], BASELINE_FIT_ROWS), "baseline-rows")
     scored = {
         name: models.written(
-            models.add_predictions(test, models.fit_model(train, prepared, estimator, LABEL)), f"baseline-{name}"
+            models.add_predictions(test, models.fit_model(sample, prepared, estimator, LABEL)), f"baseline-{name}"
         )
         for name, estimator in models.baseline_models(LABEL).items()
     }
@@ -195,7 +198,7 @@ def train_baselines(spark, folder):
 
 
 #: Labelled rows that a forest of the grid is fitted on; all rows are predicted.
-GRID_FIT_ROWS = 1_000
+GRID_FIT_ROWS = 500
 
 
 def _grid_names_sql():
@@ -372,3 +375,31 @@ def streamed_scores(spark, folder):
             "o_orderkey", F.lit(False).alias("valid"), F.array_join("failures.column", ",").alias("broken")
         )
     )
+
+
+@query(
+    "evaluate_model",
+    f"""SELECT count(*) AS rows, count(*) FILTER (good = 1) AS positives, TRUE AS accuracy_agrees, TRUE AS curve_ends,
+    TRUE AS record_agrees FROM {_APPLICATIONS}""",
+)
+def evaluate_model(spark, folder):
+    """A saved model evaluated on the whole table; its written tables agree with each other."""
+    rows = applications(spark, folder)
+    prepared = prep.fit_preprocessor(rows, NUMERIC, CODED, scale=True)
+    fitted = models.fit_model(rows, prepared, models.baseline_models(LABEL)["LogisticRegression"], LABEL)
+    path = scratch_path(spark, "evaluated")
+    tables.save_model(fitted, f"{path}/model")
+    found = evaluate(spark, f"{path}/model", rows, LABEL, f"{path}/out", attribute_rows=False)
+    cells = spark.read.parquet(f"{path}/out/confusion")
+    record = spark.read.json(f"{path}/out/metrics").first()  # one row, as is the curve's end
+    end = spark.read.parquet(f"{path}/out/roc").agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")).first()
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    total = tn + fp + fn + tp
+    right, near = (tp + tn) / total, lambda a, b: F.abs(a - F.lit(b)) < 1e-9
+    return cells.select(
+        total.alias("rows"),
+        (tp + fn).alias("positives"),
+        near(right, found.metrics["accuracy_test"]).alias("accuracy_agrees"),
+        F.lit(end["fpr"] == 1 and end["tpr"] == 1).alias("curve_ends"),
+        (near(right, record["accuracy_test"]) & near(tp / (tp + fn), record["recall_test"])).alias("record_agrees"),
+    )

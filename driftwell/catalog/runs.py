@@ -119,3 +119,49 @@ def metric_files(spark, folder):
         parts[0].alias("run_id"), parts[1].alias("key"), parts[2].alias("value")
     )
     return rounded(runlog.parse_metric_lines(read), 9)
+
+
+@query(
+    "run_log",
+    """SELECT experiment, 'FINISHED' AS status, unnest(['customers', 'balance']) AS key, unnest([n, b]) AS value,
+    experiment AS param FROM (SELECT n_name AS experiment, CAST(count(*) AS DOUBLE) AS n, round(sum(c_acctbal), 2) AS b
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1 GROUP BY 1)""",
+)
+def run_log(spark, folder):
+    """A run for each nation of a region, with what its customers come to; one is ended
+    twice, as after a failure, and one never, and neither shows."""
+    nations = table(spark, folder, "nation").where(F.col("n_regionkey") == 1)
+    customers = table(spark, folder, "customer")
+    measured = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(
+        F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("b")
+    )
+    log = runlog.RunLog(spark, scratch_path(spark, "run-log"))
+    for number, r in enumerate(measured.orderBy("n_name").collect()):  # a region's few nations
+        run = log.start_run(r["n_name"])
+        run.log_params({"nation": r["n_name"]})
+        run.log_metrics({"customers": r["n"], "balance": r["b"]})
+        log.end_run(run)
+        if not number:
+            log.end_run(run)
+    lost = log.start_run("lost")
+    lost.log_metrics({"customers": 1})
+    log.write_parts(lost, "unfinished")
+    params = log.table("run_params").select("run_id", F.col("value").alias("param"))
+    metrics_ = log.table("run_metrics").select("run_id", "key", "value")
+    runs = log.table("runs").select("run_id", "experiment", "status")
+    return runs.join(metrics_, "run_id").join(params, "run_id").select("experiment", "status", "key", "value", "param")
+
+
+@query(
+    "run_times",
+    """SELECT run_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S') AS at, regexp_replace(lower(key), '[^a-z0-9_]+', '_', 'g') AS name,
+    printf('%.4f', value / 7) AS shown FROM (SELECT run_id, ts_ms, 'Max ' || key || ' (n)' AS key, value FROM """ + _METRICS + """)""",
+)
+def run_times(spark, folder):
+    """Metrics as a page lists them: times as text, tidy names, four decimals."""
+    return metrics(spark, folder).select(
+        "run_id",
+        runlog.time_text(F.col("ts_ms")).alias("at"),
+        runlog.tidy_name(F.concat(F.lit("Max "), F.col("key"), F.lit(" (n)"))).alias("name"),
+        runlog.short_number(F.col("value") / 7).alias("shown"),
+    )

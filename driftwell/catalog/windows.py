@@ -120,3 +120,18 @@ def stream_windowed_drift(spark, folder):
 )
 def drift_summary(spark, folder):
     return windows.drift_summary(windowed_drift(spark, folder))
+
+
+@query("stream_late_rows", "SELECT event_id, event_type FROM events")
+def stream_late_rows(spark, folder):
+    """Rows on time and late rows of a stream that arrives out of order: together they are
+    the rows that came, none lost or doubled."""
+    events = table(spark, folder, "events")
+    path = scratch_path(spark, "arrivals")
+    events.repartition(3, "event_id").write.parquet(f"{path}/in")
+    arrivals = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    stream = windows.split_late(arrivals, "ts", f"{path}/on-time", f"{path}/late", f"{path}/checkpoint", "1 day")
+    stream.awaitTermination()
+    kinds = T.StructType([*events.schema.fields, T.StructField("batch", T.LongType())])
+    both = [spark.read.schema(kinds).parquet(f"{path}/{part}") for part in ("on-time", "late")]
+    return both[0].unionByName(both[1]).select("event_id", "event_type")

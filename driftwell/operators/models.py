@@ -30,6 +30,8 @@ BOOSTED = {"maxIter": 150, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.
 BOOSTED_COLUMN_SHARE = "0.8"
 FOREST_TREES = 300
 SEED = 42
+# Memory of a task for the nodes that a forest splits in one pass.
+FOREST_MEMORY_MB = 1024
 FOREST_GRID = {
     "numTrees": (200, 400, 600),
     "maxDepth": (30, 8, 12),
@@ -133,6 +135,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def bounded_rows(train: DataFrame, key: Sequence[str], fit_rows: int, salt: str = "fit-rows") -> DataFrame:
+    """At most about ``fit_rows`` rows, by a keyed draw."""
+    share = min(1.0, fit_rows / max(1, train.count()))
+    return train.where(keyed_uniform(key, salt) < F.lit(share))
+
+
 @dataclass(frozen=True)
 class GridSearch:
     """``results``: params, f1, one row per point in grid order. ``predictions``: key,
@@ -176,7 +184,9 @@ def grid_search(
     share = 1.0 if fit_rows is None else min(1.0, fit_rows / max(1, rows))
     sample = ready.where(F.col(DRAW) < F.lit(share)).drop(DRAW)
     points, (top, fits) = nested_points(grid), nested_fits(grid)
-    forest = RandomForestClassifier(labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=SEED)
+    forest = RandomForestClassifier(
+        labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=SEED, maxMemoryInMB=FOREST_MEMORY_MB
+    )
 
     def fitted(estimator, fold: int | None = None):
         part = sample if fold is None else sample.where(F.col("fold") != fold)

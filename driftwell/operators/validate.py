@@ -29,7 +29,10 @@ class Rule:
         return f"{self.column} in [{self.lo}, {self.hi}]"
 
     def broken(self) -> Column:
-        c = F.col(self.column)
+        return self.fails(F.col(self.column))
+
+    def fails(self, c: Column) -> Column:
+        """Whether a value breaks the rule; a missing one does."""
         ok = c.between(self.lo, self.hi)
         if self.whole:
             ok = ok & (c == F.floor(c))

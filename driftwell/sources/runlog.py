@@ -18,6 +18,8 @@ RUNS = (
 )
 RUN_PARAMS = "run_id string, key string, value string"
 RUN_METRICS = "run_id string, key string, ts_ms long, value double, step long"
+#: Tells the rows of one call of ``end_run`` from those of another.
+ATTEMPT = "attempt"
 TABLES = {"runs": RUNS, "run_params": RUN_PARAMS, "run_metrics": RUN_METRICS}
 
 
@@ -46,6 +48,11 @@ class Run:
 
 
 class RunLog:
+    """Three tables below ``path``. Parameters and metrics of a run are written first, its
+    row in ``runs`` last: that row commits the run. Readers leave out what isn't committed,
+    and of a run that was written twice, as after a failure between the steps, they take
+    the attempt that its row names."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -55,34 +62,34 @@ class RunLog:
         return Run(experiment, f"run_{stamp}", description)
 
     def end_run(self, run: Run, status: str = "FINISHED") -> None:
-        end = int(time.time() * 1000)
-        rows = {
-            "run_params": [(run.run_id, k, v) for k, v in run.params.items()],
-            "run_metrics": [(run.run_id, *m) for m in run.metrics],
-            "runs": [
-                (
-                    run.run_id,
-                    run.experiment,
-                    run.name,
-                    run.start_ms,
-                    end,
-                    status,
-                    run.description,
-                    run.artifacts,
-                )
-            ],
-        }
-        for table, values in rows.items():
-            if values:
-                frame = self.spark.createDataFrame(values, TABLES[table]).coalesce(1)
-                frame.write.mode("append").parquet(f"{self.path}/{table}")
+        """Write the run; safe to call again after a failure, also after a success."""
+        end, attempt = int(time.time() * 1000), uuid.uuid4().hex
+        self.write_parts(run, attempt)
+        row = (run.run_id, run.experiment, run.name, run.start_ms, end, status, run.description, run.artifacts)
+        self._append("runs", [row], attempt)  # commits the run
+
+    def write_parts(self, run: Run, attempt: str) -> None:
+        """What a run has logged, not yet committed."""
+        self._append("run_params", [(run.run_id, k, v) for k, v in run.params.items()], attempt)
+        self._append("run_metrics", [(run.run_id, *m) for m in run.metrics], attempt)
+
+    def _append(self, name: str, rows: list, attempt: str) -> None:
+        # Tables without rows are written too, so that they can be read.
+        frame = self.spark.createDataFrame(rows, TABLES[name]).withColumn(ATTEMPT, F.lit(attempt))
+        frame.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{name}")
+        """A table of committed runs: of several commits of a run the last one counts."""
+        runs = self._raw("runs")
+        last = runs.groupBy("run_id").agg(F.max_by(ATTEMPT, F.struct("end_ms", ATTEMPT)).alias(ATTEMPT))
+        return self._raw(name).join(last, ["run_id", ATTEMPT], "left_semi").drop(ATTEMPT)
+
+    def _raw(self, name: str) -> DataFrame:
+        return self.spark.read.schema(f"{TABLES[name]}, {ATTEMPT} string").parquet(f"{self.path}/{name}")
 
 
 def run_record(run: Run) -> dict[str, str]:
-    """Metadata stored next to a model."""
+    """Metadata stored next to a model; the keys are fixed values."""
     return {
         "run_id": run.run_id,
         "training_timestamp_utc": datetime.now(timezone.utc).isoformat(),
@@ -159,6 +166,23 @@ def read_param_files(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
+def time_text(ts_ms: Column) -> Column:
+    """Milliseconds since 1970 as text to the second, UTC."""
+    zero = F.lit("1970-01-01").cast("timestamp_ntz")
+    whole = F.floor(ts_ms / 1000)
+    return F.date_format(zero + F.make_dt_interval(secs=whole), "yyyy-MM-dd HH:mm:ss")
+
+
+def tidy_name(key: Column) -> Column:
+    """A metric's name in lower case, anything but letters, digits and _ as one _."""
+    return F.regexp_replace(F.lower(key), "[^a-z0-9_]+", "_")
+
+
+def short_number(value: Column) -> Column:
+    """Four decimals, as text."""
+    return F.format_string("%.4f", value.cast("double"))
+
+
 def latest_metrics(metrics: DataFrame) -> DataFrame:
     """(run_id, key, value): the last value by time, then step."""
     return metrics.groupBy("run_id", "key").agg(

@@ -162,6 +162,48 @@ def watch_stream(
     return writer.start()
 
 
+def split_late(
+    arrivals: DataFrame,
+    time: str,
+    on_time_path: str,
+    late_path: str,
+    checkpoint: str,
+    watermark: str = "1 hour",
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Write every arriving row to one of two tables: on time, or late.
+
+    A row is late if its time lies more than ``watermark`` before the latest time of all
+    batches before its own, which is when a window may have closed without it; a missing
+    time is late. Each table is partitioned by batch, and a batch that runs again replaces
+    its part, so no row is lost or doubled: rows on time and rows late make the rows in.
+    """
+    spark = arrivals.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        newest = None
+        if number:
+            before = spark.read.parquet(f"{on_time_path}_newest").where(F.col("batch") < number)
+            newest = before.agg(F.max("newest")).first()[0]
+        late = F.col(time).isNull()
+        if newest is not None:
+            late = late | (F.col(time) < F.lit(newest) - F.expr(f"INTERVAL {watermark}"))
+        marked = batch.withColumn("is_late__", F.coalesce(late, F.lit(True))).persist()
+        try:
+            for path, part in ((on_time_path, ~F.col("is_late__")), (late_path, F.col("is_late__"))):
+                rows = marked.where(part).drop("is_late__").withColumn("batch", F.lit(number))
+                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+            marked.agg(F.max(time).alias("newest"), F.lit(number).alias("batch")).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("batch").parquet(f"{on_time_path}_newest")
+        finally:
+            marked.unpersist()
+
+    writer = arrivals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
 class LateRows(StreamingQueryListener):
     """Running total of groups dropped for lateness, by query run; whole, unlike the few
     last reports that a query remembers. ``spark.streams.addListener(LateRows())``."""

@@ -156,3 +156,73 @@ def test_shared_folder_follows_the_session(spark):
     got = session.shared_dir(spark)
     assert got == named if named else got == session.shared_dir(spark)
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_late_rows_go_to_their_own_table(spark, tmp_path):
+    df = events(spark, 200)
+    source, out = tmp_path / "in", tmp_path / "out"
+
+    def run():
+        arrivals = spark.readStream.schema(df.schema).parquet(str(source))
+        q = windows.split_late(arrivals, "ts", f"{out}/on", f"{out}/late", str(tmp_path / "cp"), "1 hour")
+        q.awaitTermination()
+
+    df.coalesce(1).write.parquet(str(source))
+    run()
+    # Days later, with rows long before the watermark, one at its edge and one without time.
+    newest = df.agg(F.max("ts")).first()[0]
+    edge = df.limit(1).withColumn("ts", F.lit(newest) - F.expr("INTERVAL 1 HOUR"))
+    untimed = df.limit(1).withColumn("ts", F.lit(None).cast("timestamp"))
+    more = events(spark, 40, "2024-01-08").unionByName(events(spark, 10)).unionByName(edge).unionByName(untimed)
+    more.coalesce(1).write.mode("append").parquet(str(source))
+    run()
+    on_time, late = (spark.read.parquet(f"{out}/{p}") for p in ("on", "late"))
+    assert (on_time.count(), late.count()) == (241, 11)
+    assert late.where("ts is null").count() == 1
+    assert on_time.agg(F.max("batch")).first()[0] == 1
+
+
+def test_only_whole_runs_are_read(spark, tmp_path):
+    log = runlog.RunLog(spark, str(tmp_path / "log"))
+    run = log.start_run("e")
+    run.log_params({"a": 1})
+    run.log_metrics({"m": 0.5})
+    log.write_parts(run, "broken")  # fails before the commit
+    log.end_run(run, "FAILED")
+    log.end_run(run)  # written once more
+    other = log.start_run("f")
+    other.log_metrics({"m": 1.5})
+    log.write_parts(other, "never")
+    assert [(r["experiment"], r["status"]) for r in log.table("runs").collect()] == [("e", "FINISHED")]
+    assert [(r["key"], r["value"]) for r in log.table("run_params").collect()] == [("a", "1")]
+    assert [r["value"] for r in log.table("run_metrics").collect()] == [0.5]
+
+
+def test_texts_of_times_names_and_numbers(spark):
+    df = spark.createDataFrame([(1700000000123, "F1 score (test)", 0.123456), (0, "auc", None)], "ts long, k string, v double")
+    got = [tuple(r) for r in df.select(runlog.time_text(F.col("ts")), runlog.tidy_name(F.col("k")), runlog.short_number(F.col("v"))).collect()]
+    assert got[0] == ("2023-11-14 22:13:20", "f1_score_test_", "0.1235") and got[1][:2] == ("1970-01-01 00:00:00", "auc")
+
+
+def test_requests_as_json(spark):
+    from pyspark.sql import types as T
+
+    from driftwell.operators import requests
+
+    texts = [
+        '{"applications": [{"age": 30, "name": "x"}, {"age": 200}]}', '{"applications": []}', '{"applications": [{"age": 30}',
+        None, "", "[]", '{"other": 1}', '{"applications": [{"age": "thirty"}]}', '{"applications": [{"age": 18}, {"age": 99}]}',
+        '{"applications": [' + ", ".join(['{"age": 20}'] * 101) + "]}",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, body string").withColumnRenamed("n", "id")
+    kind = T.StructType([T.StructField("age", T.IntegerType())])
+    answered = requests.answer_requests(requests.parse_requests(df, "body", kind), [Rule("age", 18, 99)])
+    rows = {r["id"]: r for r in answered.collect()}
+    status = [rows[i]["status"] for i in range(len(texts))]
+    assert status == [
+        "invalid", "wrong_size", "malformed", "malformed", "malformed", "malformed", "malformed", "invalid", "accepted", "wrong_size",
+    ]
+    assert json.loads(rows[0]["reply"]) == {"status": "invalid", "n": 2, "errors": [{"position": 1, "column": "age", "value": "200"}]}
+    assert rows[2]["malformed"] == texts[2]
+    taken = requests.accepted_applications(answered).orderBy("position").collect()
+    assert [(r["id"], r["position"], r["age"]) for r in taken] == [(8, 0, 18), (8, 1, 99)]
