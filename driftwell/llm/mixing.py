@@ -19,8 +19,11 @@ from driftwell.llm.text import count_words, let, running_total, stored, words
 #: Words per block and slots per output shard.
 BLOCK = 64
 SHARD = 1024
+#: Slots of one task, about.
+SLOT_ROWS = 100_000
 #: Cells of the unit interval by which a draw finds its source.
 CELLS = 4096
+CUT = "cut__"
 #: Fixed primes for index permutations; a block count can't be divisible by all of them.
 PRIMES = (1_000_000_007, 1_000_000_009, 1_000_000_021, 1_000_000_033)
 
@@ -62,40 +65,66 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def shard_counts(sources: DataFrame, slots: int, seed: int, shard: int = SHARD) -> DataFrame:
-    """Draw source counts per output shard: shard, source_no, n, and n_blocks of the source.
-
-    ``sources``: source_no, n_blocks, lo, hi (its part of the unit interval). The draws of
-    a shard are multinomial, stratified: slot i's uniform lies in the i-th part of the unit
-    interval. Each slot has a source's share as its probability, and counts stay within
-    few slots of their mean in tables of every size.
-    """
-    spark = sources.sparkSession
-    drawn = spark.range(slots).select(
-        F.floor(F.col("id") / shard).alias("shard"),
-        F.pmod("id", F.lit(shard)).alias("slot"),
-    )
-    width = F.least(F.lit(shard), F.lit(slots) - F.col("shard") * shard)
-    drawn = drawn.withColumn(
-        "u", (F.col("slot") + _uniform(F.lit(seed), F.col("shard"), F.col("slot"))) / width
-    ).withColumn("cell", F.least(F.floor(F.col("u") * CELLS), F.lit(CELLS - 1)))
-    parts = sources.withColumn(
-        "cell",
-        F.explode(
-            F.sequence(
-                F.least(F.floor(F.col("lo") * CELLS), F.lit(CELLS - 1)),
-                F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1)),
-            )
-        ),
-    )
+def _chosen(slots: DataFrame, parts: DataFrame) -> DataFrame:
+    """Slots (shard, u) with the source whose part [lo, hi) of the unit interval has u,
+    counted by shard and source: shard, source_no, n_blocks, n."""
+    cell = lambda c: F.least(F.floor(F.col(c) * CELLS), F.lit(CELLS - 1))
+    parts = parts.withColumn("cell", F.explode(F.sequence(cell("lo"), cell("hi"))))
     return (
-        drawn.join(parts, "cell")
+        slots.withColumn("cell", cell("u"))
+        .join(parts, "cell")
         .where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
         .groupBy("shard", "source_no", "n_blocks")
         .agg(F.count("*").alias("n"))
     )
 
 
+def _numbers(spark, n: int) -> DataFrame:
+    return spark.range(0, n, 1, max(8, -(-n // 500_000)))
+
+
+def settled_slots(slots: int, least: float, shard: int = SHARD) -> int:
+    """How many slots, those of the last shards, are kept for what draws leave of targets.
+
+    Four standard deviations of the count of the smallest source, whose share is ``least``,
+    out of its part of these slots: a part of all slots that shrinks as they grow.
+    """
+    wanted = min(slots, math.ceil(4 * math.sqrt(slots / max(least, 1e-12))))
+    return slots - (slots - wanted) // shard * shard
+
+
+def shard_counts(sources: DataFrame, slots: int, least: float, seed: int, shard: int = SHARD) -> DataFrame:
+    """Source counts per output shard: shard, source_no, n_blocks, n.
+
+    ``sources``: source_no, n_blocks, lo, hi (its part of the unit interval). Every slot of
+    a shard draws its source by itself, so a shard's counts are multinomial. The slots of
+    the last shards (`settled_slots`) go to the sources that the draws left short, in a
+    pseudorandom order, so that every source ends with its share of all slots, rounded.
+    """
+    spark = sources.sparkSession
+    settled = settled_slots(slots, least, shard)
+    drawn = _numbers(spark, slots - settled).select(F.floor(F.col("id") / shard).alias("shard"), F.pmod("id", F.lit(shard)).alias("slot"))
+    drawn = drawn.select("shard", _uniform(F.lit(seed), F.col("shard"), F.col("slot")).alias("u"))
+    counts = stored(_chosen(drawn, sources), "mix-drawn")
+    had = counts.groupBy("source_no").agg(F.sum("n").alias("had"))
+    quota = F.floor(F.least(F.col("hi"), F.lit(1.0)) * slots) - F.floor(F.col("lo") * slots)
+    short = F.greatest(quota - F.coalesce("had", F.lit(0)), F.lit(0))
+    by_no = Window.partitionBy().orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
+    left = sources.join(had, "source_no", "left").select("source_no", "n_blocks", short.alias("short"))
+    left = left.withColumn("before", F.coalesce(F.sum("short").over(by_no), F.lit(0)))
+    left = stored(left.where(F.col("short") > 0), "mix-left")
+    total = left.agg(F.sum("short")).first()[0] or 0
+    parts = left.select(
+        "source_no", "n_blocks", (F.col("before") / F.lit(max(total, 1))).alias("lo"),
+        ((F.col("before") + F.col("short")) / F.lit(max(total, 1))).alias("hi"),
+    )
+    spot = permuted(F.lit(-1), F.lit(0), F.col("id"), F.lit(max(total, 1)).cast("long"), seed)
+    last = _numbers(spark, total).select(
+        (F.floor(F.col("id") / shard) + (slots - settled) // shard).alias("shard"), ((spot + 0.5) / F.lit(max(total, 1))).alias("u")
+    )
+    return counts.unionByName(_chosen(last, parts))
+
+
 def permuted(source_no: Column, turn: Column, index: Column, n: Column, seed: int) -> Column:
     """index -> (a * index + b) mod n: a is a prime that doesn't divide n, a and b are
     picked by the hash of source and turn."""
@@ -120,7 +149,8 @@ def draws(targets: DataFrame, cap: int, seed: int, shard: int = SHARD) -> DataFr
     held = targets.where(F.col("n_blocks") > 0).withColumn(
         "slots", F.col("target") * F.col("n_blocks") / F.col("source_size")
     )
-    total = float(held.agg(F.sum("slots")).first()[0] or 0.0)
+    sums = held.agg(F.sum("slots").alias("total"), F.min("slots").alias("least")).first()
+    total, least = float(sums["total"] or 0.0), float(sums["least"] or 0.0)
     by_no = Window.partitionBy().orderBy("source_no")
     parts = held.select(
         "source_no",
@@ -133,11 +163,14 @@ def draws(targets: DataFrame, cap: int, seed: int, shard: int = SHARD) -> DataFr
         .alias("hi"),
     )
     run = max(1, math.isqrt(round(total) // shard))  # shards per bucket of the running totals
-    counts = shard_counts(parts, round(total), seed, shard).withColumn("bucket", F.floor(F.col("shard") / run))
+    counts = shard_counts(parts, round(total), least / (total or 1.0), seed, shard).withColumn("bucket", F.floor(F.col("shard") / run))
     # A shard's slots go to its sources in their order; one row a source.
     in_shard = Window.partitionBy("shard").orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("at", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
-    slots = running_total(counts, ["source_no"], "bucket", ["shard"], "n", "first").select(
+    numbered = running_total(counts, ["source_no"], "bucket", ["shard"], "n", "first")
+    # Dealt by shard before they become slots, which are many more rows.
+    dealt = numbered.repartition(max(1, -(-round(total) // SLOT_ROWS)), "shard")
+    slots = dealt.select(
         "shard", "at", "first", "source_no", "n_blocks",
         F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("k"),
     )
@@ -250,9 +283,12 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it does, columns as they are.
 
-    A row comes taken / size times; a fraction comes with that probability, by the hash of
-    id and text. Rows without words are not taken. Rows that repeat both id and text share
-    what the mix takes of them.
+    A source gives as many words as `mix_sources` takes of it, in whole documents: all of
+    them as often as the words suffice, then one more copy of those that come first in a
+    hashed order. The one document at the end of that is cut to the words that are left,
+    joined by single blanks; all other texts are whole and untouched. Rows without words
+    are not taken, null sources are a source, null ids are ids like others; rows that
+    repeat id and text are taken alike. An empty table gives an empty table.
     """
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -260,13 +296,26 @@ def mixed_documents(
         F.col(source).alias("source"),
         count_words(F.col(text)).alias("size"),
     )
-    taken = mix_sources(row.drop("row"), "key", "source", "size", seed=seed, **options)
-    share = taken.where(F.col("taken") > 0).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
-    share = share.select("share", F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash"))
+    named = {"cycle": 3, "cap": 3, "block": BLOCK, "seed": seed, **options}
+    rows, slots = _slotted(row.drop("row"), "key", "source", "size", **named)
+    taken = slots.where(F.col("slot").isNotNull()).groupBy("source_no").agg(F.sum("n").alias("words"))
+    spread = slots.select("doc_id", "size", "source_size", "source_no", "start").distinct()
+    placed = spread.join(taken, "source_no").select(
+        F.col("doc_id.id").alias("_id"),
+        F.col("doc_id.hash").alias("_hash"),
+        F.floor(F.col("words") / F.col("source_size")).cast("int").alias("full"),
+        # Words that are left for it of the last, incomplete pass over the source.
+        (F.col("words") % F.col("source_size") - F.col("start")).alias("left"),
+    )
+    placed = placed.groupBy("_id", "_hash").agg(F.max("full").alias("full"), F.max("left").alias("left"))
     same = F.col("key.id").eqNullSafe(F.col("_id")) & (F.col("key.hash") == F.col("_hash"))
-    times = F.floor(F.col("share") + _uniform(F.lit(seed), F.col("key"))).cast("int")
-    return (
-        row.join(share, same)
-        .select("row", F.explode(F.array_repeat(F.lit(0), times)).alias("copy"))
-        .select("row.*")
+    whole = F.col("full") + F.when(F.col("left") >= F.col("size"), 1).otherwise(0)
+    some = (F.col("left") > 0) & (F.col("left") < F.col("size"))
+    copies = row.where(F.col("size") > 0).join(placed, same).withColumn(
+        "copy", F.explode(F.concat(F.array_repeat(F.lit(False), whole), F.when(some, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))))
+    )
+    part = F.array_join(F.slice(words(F.col(f"row.`{text}`")), 1, F.greatest(F.col("left"), F.lit(0)).cast("int")), " ")
+    cut = F.when(F.col("copy"), part).otherwise(F.col(f"row.`{text}`"))
+    return copies.select("row.*", cut.alias(CUT)).select(
+        *[F.col(CUT).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     )
