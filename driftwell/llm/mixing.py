@@ -23,7 +23,8 @@ SHARD = 1024
 SLOT_ROWS = 100_000
 #: Cells of the unit interval by which a draw finds its source.
 CELLS = 4096
-CUT = "cut__"
+#: Documents over this part of the words still wanted of their source come first.
+LARGE = 40
 #: Fixed primes for index permutations; a block count can't be divisible by all of them.
 PRIMES = (1_000_000_007, 1_000_000_009, 1_000_000_021, 1_000_000_033)
 
@@ -283,12 +284,12 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it does, columns as they are.
 
-    A source gives as many words as `mix_sources` takes of it, in whole documents: all of
-    them as often as the words suffice, then one more copy of those that come first in a
-    hashed order. The one document at the end of that is cut to the words that are left,
-    joined by single blanks; all other texts are whole and untouched. Rows without words
-    are not taken, null sources are a source, null ids are ids like others; rows that
-    repeat id and text are taken alike. An empty table gives an empty table.
+    A source gives about as many words as `mix_sources` takes of it, in whole documents:
+    all of them as often as the words suffice, then one more copy of some. Documents over
+    1 / LARGE of the words still wanted come first, in a hashed order, up to their part of
+    those words or what the others lack; the others fill up what is left, in that order. Rows
+    without words are not taken, null sources are a source, null ids are ids like others;
+    rows that repeat id and text are taken alike. An empty table gives an empty table.
     """
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -297,25 +298,34 @@ def mixed_documents(
         count_words(F.col(text)).alias("size"),
     )
     named = {"cycle": 3, "cap": 3, "block": BLOCK, "seed": seed, **options}
-    rows, slots = _slotted(row.drop("row"), "key", "source", "size", **named)
+    _, slots = _slotted(row.drop("row"), "key", "source", "size", **named)
+    slots = stored(slots.select("doc_id", "size", "source_size", "source_no", "start", "slot", "n"), "mix-slots")
     taken = slots.where(F.col("slot").isNotNull()).groupBy("source_no").agg(F.sum("n").alias("words"))
-    spread = slots.select("doc_id", "size", "source_size", "source_no", "start").distinct()
-    placed = spread.join(taken, "source_no").select(
-        F.col("doc_id.id").alias("_id"),
-        F.col("doc_id.hash").alias("_hash"),
-        F.floor(F.col("words") / F.col("source_size")).cast("int").alias("full"),
-        # Words that are left for it of the last, incomplete pass over the source.
-        (F.col("words") % F.col("source_size") - F.col("start")).alias("left"),
-    )
-    placed = placed.groupBy("_id", "_hash").agg(F.max("full").alias("full"), F.max("left").alias("left"))
+    held = slots.select("doc_id", "size", "source_size", "source_no", "start").distinct().join(taken, "source_no")
+    wanted = F.col("words") % F.col("source_size")
+    large = F.col("size") * LARGE > F.col("wanted")
+    buckets = max(1, math.isqrt(held.count()))
+    held = held.withColumn("wanted", wanted).withColumns({
+        "order": F.xxhash64(F.lit(seed + 3), F.col("doc_id")),
+        "large": large,
+        "long": F.when(large, F.col("size")).otherwise(0),
+        "rest": F.when(large, F.lit(0)).otherwise(F.col("size")),
+    }).withColumn("bucket", F.pmod("order", F.lit(buckets)))
+    by = (["source_no"], "bucket", ["order", "doc_id", "start"])
+    parts = held.groupBy("source_no").agg(F.sum("long").alias("all_long"), F.sum("rest").alias("all_rest"))
+    goal = F.greatest(F.col("wanted") * F.col("all_long") / F.col("source_size"), F.col("wanted") - F.col("all_rest"))
+    held = running_total(held, *by, "long", "long_before").join(parts, "source_no")
+    fits = F.col("large") & (F.col("long_before") + F.col("size") / 2 <= goal) & (F.col("long_before") + F.col("size") <= F.col("wanted"))
+    held = stored(held.withColumn("fits", fits), "mix-long")
+    used = held.where("fits").groupBy("source_no").agg(F.sum("size").alias("used"))
+    held = running_total(held, *by, "rest", "rest_before").join(used, "source_no", "left")
+    fills = ~F.col("large") & (F.col("rest_before") + F.col("size") / 2 <= F.col("wanted") - F.coalesce("used", F.lit(0)))
+    times = F.floor(F.col("words") / F.col("source_size")) + (F.col("fits") | fills).cast("int")
+    placed = held.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash"), times.cast("int").alias("times"))
+    placed = placed.groupBy("_id", "_hash").agg(F.max("times").alias("times")).where(F.col("times") > 0)
     same = F.col("key.id").eqNullSafe(F.col("_id")) & (F.col("key.hash") == F.col("_hash"))
-    whole = F.col("full") + F.when(F.col("left") >= F.col("size"), 1).otherwise(0)
-    some = (F.col("left") > 0) & (F.col("left") < F.col("size"))
-    copies = row.where(F.col("size") > 0).join(placed, same).withColumn(
-        "copy", F.explode(F.concat(F.array_repeat(F.lit(False), whole), F.when(some, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))))
-    )
-    part = F.array_join(F.slice(words(F.col(f"row.`{text}`")), 1, F.greatest(F.col("left"), F.lit(0)).cast("int")), " ")
-    cut = F.when(F.col("copy"), part).otherwise(F.col(f"row.`{text}`"))
-    return copies.select("row.*", cut.alias(CUT)).select(
-        *[F.col(CUT).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    return (
+        row.join(placed, same)
+        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("copy"))
+        .select("row.*")
     )
