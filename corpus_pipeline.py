@@ -42,13 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them, a null source being a
-    source. Rows without words go; one document a source is cut to what is left for it,
-    and counts its characters anew."""
-    mixed = mixing.mixed_documents(docs)
-    if "n_chars" not in mixed.columns:
-        return mixed
-    counted = F.when(F.col("n_chars").isNotNull(), F.length("text").cast(mixed.schema["n_chars"].dataType))
-    return mixed.withColumn("n_chars", counted)
+    source. Rows without words go."""
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
