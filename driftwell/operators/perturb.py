@@ -118,6 +118,10 @@ def perturb(df: DataFrame, steps: Sequence, key: Sequence[str], seed: int = 42)
     return out
 
 
+#: Rows of one slice that is numbered by one task, about.
+SLICE_ROWS = 1_000_000
+
+
 def permute_columns(
     df: DataFrame,
     columns: Sequence[str],
@@ -128,11 +132,12 @@ def permute_columns(
     """Give every row, per column, the value of another row.
 
     Rows and values are numbered in two orders of hashed keys and joined on the
-    number. Hashes of distinct keys spread evenly over equal slices; a key that
-    repeats is refused.
+    number. Hashes of distinct keys spread evenly over equal slices, of about SLICE_ROWS
+    rows where there are more than the shuffle tasks would give; a key that repeats is
+    refused.
     """
-    buckets = buckets or 4 * range_buckets(df.sparkSession)
-    require_row_key(df, key)
+    rows = require_row_key(df, key)
+    buckets = buckets or max(4 * range_buckets(df.sparkSession), -(-rows // SLICE_ROWS))
     base = dense_index(
         df.withColumn("draw__", keyed_uniform(key, f"{seed}-rows")),
         "draw__",
@@ -153,14 +158,17 @@ def permute_columns(
     return out.select(*df.columns)
 
 
-def require_row_key(df: DataFrame, key: Sequence[str]) -> None:
-    """Refuse a key that two rows share: it doesn't identify rows, at any table size.
+def require_row_key(df: DataFrame, key: Sequence[str]) -> int:
+    """The number of rows; refuses a key that two rows share, as it doesn't identify rows,
+    at any table size.
 
     Counted exactly, groups combined before they are shuffled.
     """
-    twice = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    if not twice.isEmpty():
+    groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    seen = groups.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if (seen["most"] or 0) > 1:
         raise ValueError(f"key {list(key)} repeats, so it doesn't identify rows")
+    return seen["rows"] or 0
 
 
 # The three stress scenarios for the credit table.
