@@ -16,6 +16,16 @@ def stratified(spark, folder):
     return stratified_split(orders, "o_orderstatus", KEY).select("o_orderkey", "is_test")
 
 
+_MANY = _SPLIT.replace("o_orderstatus", "o_custkey").replace("DESC, k)", "DESC, CAST(k AS VARCHAR))")
+
+
+@query("stratified_split_many", f"SELECT o_orderkey, is_test FROM {_MANY}")
+def stratified_many(spark, folder):
+    """As many classes as there are customers."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return stratified_split(orders, "o_custkey", KEY).select("o_orderkey", "is_test")
+
+
 @query(
     "stratified_folds",
     f"""SELECT o_orderkey, CAST(CASE WHEN k <= (n % 5) * (n // 5 + 1) THEN (k - 1) // (n // 5 + 1)

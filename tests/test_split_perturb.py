@@ -118,3 +118,19 @@ def test_invert_off_scale_is_missing(spark):
     df = spark.createDataFrame([(0,), (4,), (7,)], "x int")
     out = p.perturb(df, [p.Invert("x", 0, 4)], ["x"])
     assert sorted((r[0] for r in out.collect()), key=str) == [0, 4, None]
+
+
+@pytest.mark.parametrize("slice_rows", [10**6, 7])
+def test_many_classes_are_cut_like_few(spark, monkeypatch, slice_rows):
+    """The table of bounds gives the parts that order statistics give, missing labels too."""
+    rows = [(i, f"c{i * i % 13}" if i % 17 else None, i % 5) for i in range(900)] + [(5, "c1", 0)]
+    df = spark.createDataFrame(rows, "id long, y string, x long").repartition(3)
+    few = [
+        split.stratified_split(df, "y", ["id"]),
+        split.stratified_folds(df, "y", ["id"], 4),
+    ]
+    few = [sorted(map(str, t.collect())) for t in few]
+    monkeypatch.setattr(split, "FEW_CLASSES", 3)
+    monkeypatch.setattr(split, "SLICE_ROWS", slice_rows)
+    many = [split.stratified_split(df, "y", ["id"]), split.stratified_folds(df, "y", ["id"], 4)]
+    assert [sorted(map(str, t.collect())) for t in many] == few
