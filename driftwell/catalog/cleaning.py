@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwell.catalog.registry import query, rounded, table
+from driftwell.catalog.registry import query, table
 from driftwell.functions import is_number, to_number
 from driftwell.operators import clean, requests, validate
 from driftwell.operators.validate import Rule

@@ -7,7 +7,6 @@ the rows share is one row. Everything after works on the counts.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 

@@ -16,7 +16,6 @@ from driftwell.functions import (
     bin_right_closed,
     kolmogorov_series,
     ks_exact_p,
-    no_nan,
 )
 from driftwell.operators.counts import SideCounts, count_sides, reference_quantiles
 from driftwell.operators.ordered import ColumnFacts, pair_walk, quantiles
