@@ -285,9 +285,10 @@ def mixed_documents(
     """The rows of ``docs`` that the mix takes, each as often as it does, columns as they are.
 
     A source gives about as many words as `mix_sources` takes of it, in whole documents:
-    all of them as often as the words suffice, then one more copy of some. Documents over
-    1 / LARGE of the words still wanted come first, in a hashed order, up to their part of
-    those words or what the others lack; the others fill up what is left, in that order. Rows
+    all of them as often as the words suffice, then one more copy of some. Of documents
+    over 1 / LARGE of the words still wanted each is drawn with its source's share, by
+    hash, and those come first; short ones fill up what is left in a hashed order, and
+    where they don't suffice the other long ones do, shorter ones first. Rows
     without words are not taken, null sources are a source, null ids are ids like others;
     rows that repeat id and text are taken alike. An empty table gives an empty table.
     """
@@ -303,24 +304,20 @@ def mixed_documents(
     taken = slots.where(F.col("slot").isNotNull()).groupBy("source_no").agg(F.sum("n").alias("words"))
     held = slots.select("doc_id", "size", "source_size", "source_no", "start").distinct().join(taken, "source_no")
     wanted = F.col("words") % F.col("source_size")
-    large = F.col("size") * LARGE > F.col("wanted")
+    drawn = _uniform(F.lit(seed + 2), F.col("doc_id")) * F.col("source_size") < wanted
+    # Long documents that are drawn, then the short ones, then other long ones by length.
+    short = F.col("size") * LARGE <= wanted
     buckets = max(1, math.isqrt(held.count()))
-    held = held.withColumn("wanted", wanted).withColumns({
-        "order": F.xxhash64(F.lit(seed + 3), F.col("doc_id")),
-        "large": large,
-        "long": F.when(large, F.col("size")).otherwise(0),
-        "rest": F.when(large, F.lit(0)).otherwise(F.col("size")),
-    }).withColumn("bucket", F.pmod("order", F.lit(buckets)))
-    by = (["source_no"], "bucket", ["order", "doc_id", "start"])
-    parts = held.groupBy("source_no").agg(F.sum("long").alias("all_long"), F.sum("rest").alias("all_rest"))
-    goal = F.greatest(F.col("wanted") * F.col("all_long") / F.col("source_size"), F.col("wanted") - F.col("all_rest"))
-    held = running_total(held, *by, "long", "long_before").join(parts, "source_no")
-    fits = F.col("large") & (F.col("long_before") + F.col("size") / 2 <= goal) & (F.col("long_before") + F.col("size") <= F.col("wanted"))
-    held = stored(held.withColumn("fits", fits), "mix-long")
-    used = held.where("fits").groupBy("source_no").agg(F.sum("size").alias("used"))
-    held = running_total(held, *by, "rest", "rest_before").join(used, "source_no", "left")
-    fills = ~F.col("large") & (F.col("rest_before") + F.col("size") / 2 <= F.col("wanted") - F.coalesce("used", F.lit(0)))
-    times = F.floor(F.col("words") / F.col("source_size")) + (F.col("fits") | fills).cast("int")
+    mixed = F.xxhash64(F.lit(seed + 3), F.col("doc_id"))
+    hashed = F.when(short, buckets).otherwise(0) + F.pmod(mixed, F.lit(buckets))
+    by_hash = short | drawn
+    held = held.withColumns({
+        "order": F.when(by_hash, mixed).otherwise(F.col("size")),
+        "bucket": F.when(by_hash, hashed).otherwise(2 * buckets + F.floor(F.log2("size"))),
+    })
+    held = running_total(held, ["source_no"], "bucket", ["order", "doc_id", "start"], "size", "before")
+    more = (F.col("before") + F.col("size") / 2 <= wanted).cast("int")
+    times = F.floor(F.col("words") / F.col("source_size")) + more
     placed = held.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash"), times.cast("int").alias("times"))
     placed = placed.groupBy("_id", "_hash").agg(F.max("times").alias("times")).where(F.col("times") > 0)
     same = F.col("key.id").eqNullSafe(F.col("_id")) & (F.col("key.hash") == F.col("_hash"))
