@@ -243,7 +243,8 @@ def _slotted(docs, doc_id, source, size, cycle, cap, block, seed) -> tuple[DataF
     spread = spread.withColumns({
         "n": inside, "in_doc": first - F.col("start"), "in_block": first - F.col("block") * block
     })
-    return rows, spread.join(draws(targets, cap, seed), ["source_no", "block"], "left")
+    # Slots come from a small table of counts, so the planner takes them for few.
+    return rows, spread.join(draws(targets, cap, seed).hint("merge"), ["source_no", "block"], "left")
 
 
 def mixed_blocks(
