@@ -1,17 +1,23 @@
 """p-values of already aggregated test statistics (one row per tested column).
 
-All are column expressions, so no Python worker is needed on the way.
+All but the exact Kolmogorov-Smirnov tail are column expressions, which need no Python
+worker.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SERIES_TERMS = 100
 SMALL_LAMBDA = 0.2
+# Above this n * m / (n + m) * D^2 the tail is below any double; mass that is left out.
+SURE_EXIT = 380.0
+NO_MASS = 1e-310
 
 
 def kolmogorov_series(lam: Column, terms: int = SERIES_TERMS) -> Column:
@@ -36,48 +42,59 @@ def _bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def path_exit(m: int, n: int, distance: float) -> float | None:
+    """Mass of the uniform lattice paths from (0, 0) to (m, n) that somewhere touch
+    |x/m - y/n| >= distance.
+
+    Adding up the exits, not 1 - survivors, keeps tiny values accurate. A step holds the
+    places inside the band only, without tails below what a double can tell from 0, so
+    memory grows with the root of the samples' sizes and work with their power 1.5.
+    """
+    short, long = sorted((int(m), int(n)))
+    limit = math.floor(distance * short * long + 0.5)
+    if limit <= 0:
+        return 1.0
+    if short <= 0:
+        return None
+    total = short + long
+    # The tail is at most e * exp(-2 * squared).
+    if distance * distance * short * long / total > SURE_EXIT:
+        return 0.0
+    mass, at, out = np.ones(1), 0, 0.0  # ``at``: steps to the right of the first place
+    for t in range(total):
+        right = mass * ((short - at - np.arange(len(mass))) / (total - t))
+        moved = np.zeros(len(mass) + 1)
+        moved[:-1] = mass - right
+        moved[1:] += right
+        # Places inside the band: x * total strictly within limit of (t + 1) * short.
+        middle = (t + 1) * short
+        first = max((middle - limit) // total + 1, at)
+        end = min(-(-(middle + limit) // total), at + len(moved))
+        if first > at:
+            out += float(moved[: first - at].sum())
+        if end < at + len(moved):
+            out += float(moved[max(end, first) - at :].sum())
+        mass, at = moved[first - at : max(end, first) - at], first
+        if not len(mass):
+            break
+        if mass[0] < NO_MASS or mass[-1] < NO_MASS:
+            held = np.nonzero(mass >= NO_MASS)[0]
+            if not len(held):
+                break
+            mass, at = mass[held[0] : held[-1] + 1], at + int(held[0])
+    return min(1.0, max(0.0, out))
+
+
 def ks_exact_p(m: Column, n: Column, distance: Column) -> Column:
     """P(two-sample D >= distance) when both samples share one continuous law, from the
-    sample sizes and D; null if any is.
+    sample sizes and D; null if any is. See `path_exit`; rows are independent."""
 
-    Walks the uniform lattice path from (0, 0) to (m, n) one step at a time and sums the
-    mass at its first touch of |x/m - y/n| >= distance. Adding up the exits, not
-    1 - survivors, keeps tiny p-values accurate. The work is m * (m + n), with m the
-    smaller sample: meant for samples of up to a few thousand.
-    """
-    short, long = F.least(m, n).cast("double"), F.greatest(m, n).cast("double")
-    limit = F.round(distance * short * long)
-
-    def step(state: Column, t: Column) -> Column:
-        left = short + long - t
-
-        def moved(x: Column) -> Column:
-            stays = F.get(state["mass"], x) * (F.lit(1.0) - (short - x) / left)
-            comes = F.when(x > 0, F.get(state["mass"], F.greatest(x - 1, F.lit(0))) * (short - x + 1) / left).otherwise(0.0)
-            return stays + comes
-
-        def touched(x: Column) -> Column:
-            return F.abs(x * long - (t + 1 - x) * short) >= limit
-
-        # Where the path is not yet out, and what has left with this step.
-        return _bound(
-            F.transform(F.sequence(F.lit(0), short.cast("int")), moved),
-            lambda mass: F.struct(
-                F.transform(mass, lambda v, x: F.when(touched(x), F.lit(0.0)).otherwise(v)).alias("mass"),
-                (state["out"] + F.aggregate(
-                    F.transform(mass, lambda v, x: F.when(touched(x), v).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, v: a + v
-                )).alias("out"),
-            ),
-        )
-
-    start = F.struct(
-        F.transform(F.sequence(F.lit(0), short.cast("int")), lambda x: F.when(x == 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("mass"),
-        F.lit(0.0).alias("out"),
-    )
-    steps = F.sequence(F.lit(0), (short + long).cast("int") - 1)
-    out = F.aggregate(steps, start, step, lambda s: F.greatest(F.lit(0.0), F.least(F.lit(1.0), s["out"])))
-    known = m.isNotNull() & n.isNotNull() & distance.isNotNull()
-    return F.when(known & (limit <= 0), F.lit(1.0)).when(known & (short > 0), out)
+    @F.pandas_udf("double")
+    def exits(m: pd.Series, n: pd.Series, d: pd.Series) -> pd.Series:
+        rows = [None if r.isna().any() else path_exit(*r) for _, r in pd.concat([m, n, d], axis=1).iterrows()]
+        return pd.Series(rows, dtype="float64")
+
+    return exits(m.cast("double"), n.cast("double"), distance.cast("double"))
 
 
 def log_gamma(a: Column) -> Column:

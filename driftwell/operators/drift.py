@@ -69,8 +69,8 @@ def psi_term(base: Column, current: Column) -> Column:
 def ks_p_value(df: DataFrame, method: str = "asymptotic") -> DataFrame:
     """Add ``p_value`` and ``p_method`` to rows with n_a, n_b and d.
 
-    ``method``: the limit law, or "exact" for small samples (its work is the product of
-    the sizes, for each row of the result). Tables of every size are treated alike; an empty sample gives D = 0,
+    ``method``: the limit law, or "exact" (its work grows with the power 1.5 of the
+    sizes, for each row of the result). Tables of every size are treated alike; an empty sample gives D = 0,
     p = 1.
     """
     m, n = F.col("n_a").cast("double"), F.col("n_b").cast("double")

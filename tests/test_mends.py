@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from driftwell.functions import pvalues
 from driftwell.operators import clean, drift, models, perturb, profile, quality, split
 from driftwell.sources import runlog
 
@@ -103,3 +107,14 @@ def test_names_in_run_logs_are_decoded(spark, tmp_path):
 def test_unparsed_lines_are_counted(spark):
     lines = spark.createDataFrame([("1 2.5 0",), ("x y z",), ("",)], "value string")
     assert tuple(runlog.unparsed_lines(lines).first()) == (3, 2)
+
+
+def test_exact_p_of_large_samples():
+    for n in (40, 3_000):  # equal sizes have a closed form
+        k = math.ceil(1.5 * math.sqrt(2 * n))
+        whole = [math.exp(2 * math.lgamma(n + 1) - math.lgamma(n + 1 - j * k) - math.lgamma(n + 1 + j * k)) for j in range(1, n // k + 1)]
+        assert pvalues.path_exit(n, n, k / n) == pytest.approx(2 * sum(v * (-1) ** j for j, v in enumerate(whole)), rel=1e-8)
+    began = time.perf_counter()
+    p = pvalues.path_exit(31_000, 29_000, 0.0111)
+    assert p == pytest.approx(0.0489, abs=0.002) and time.perf_counter() - began < 60
+    assert pvalues.path_exit(31_000, 29_000, 0.4) == 0.0
