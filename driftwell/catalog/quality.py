@@ -21,11 +21,17 @@ _METRICS = """coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0.0) AS accurac
   coalesce((tn + fn) / nullif(tp + tn + fp + fn, 0), 0.0) AS bad_rate"""
 
 
+def four_places(share):
+    """A share cut to four places, half up, in double arithmetic: rounding by decimals is
+    most of a scan's time."""
+    return F.when(F.isnan(share), share).otherwise(F.floor(share * 10000.0 + 0.5) / 10000.0)
+
+
 def scored_lines(spark, folder):
     lines = table(spark, folder, "lineitem")
     truth = (F.col("l_returnflag") == "R") | (F.col("l_extendedprice") > 70000)
     scored = scorecard(lines, -0.4, WEIGHTS).select(
-        truth.cast("int").alias("y"), F.round("score", 4).alias("score")
+        truth.cast("int").alias("y"), four_places(F.col("score")).alias("score")
     )
     return scored.withColumn("pred", (F.col("score") >= 0.5).cast("int"))
 

@@ -118,3 +118,28 @@ def test_exact_p_of_large_samples():
     p = pvalues.path_exit(31_000, 29_000, 0.0111)
     assert p == pytest.approx(0.0489, abs=0.002) and time.perf_counter() - began < 60
     assert pvalues.path_exit(31_000, 29_000, 0.4) == 0.0
+
+
+def test_scores_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return None if x % 10 == 9 else (x % 500) / 500
+
+    udf = F.udf(count, "double")
+    df = spark.range(30_000).select((F.col("id") * 7 % 3 % 2).alias("y"), udf("id").alias("s"))
+    row = quality.auc(df, "y", "s").first()
+    assert seen.value == 30_000 and row["n_1"] + row["n_0"] == 27_000
+    assert row["auc"] == pytest.approx(0.5, abs=0.02)
+    assert quality.roc_points(df, "y", "s", drop_collinear=False).count() == 451
+
+
+def test_many_distinct_scores_in_ranges(spark):
+    df = spark.range(60_000).select((F.col("id") % 2).alias("y"), (F.col("id") * 7919 % 60_000 / 60_000).alias("s"))
+    got = quality.auc(df, "y", "s").first()
+    by_rank = df.toPandas()
+    ranks = by_rank.s.rank()[by_rank.y == 1]
+    assert got["auc"] == pytest.approx((ranks.sum() - 30_000 * 30_001 / 2) / 30_000**2, abs=1e-12)
+    points = quality.roc_points(df, "y", "s", drop_collinear=False).orderBy(F.desc("threshold")).collect()
+    assert [p["tp"] + p["fp"] for p in points] == list(range(60_001))
