@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from driftwell.functions import pvalues
-from driftwell.operators import clean, drift, models, perturb, profile, quality, split
+from driftwell.operators import attribution, clean, drift, forests, models, perturb, prep, profile, quality, split
 from driftwell.sources import runlog
 
 
@@ -143,3 +144,20 @@ def test_many_distinct_scores_in_ranges(spark):
     assert got["auc"] == pytest.approx((ranks.sum() - 30_000 * 30_001 / 2) / 30_000**2, abs=1e-12)
     points = quality.roc_points(df, "y", "s", drop_collinear=False).orderBy(F.desc("threshold")).collect()
     assert [p["tp"] + p["fp"] for p in points] == list(range(60_001))
+
+
+def test_boosting_counts_rows_into_cells(spark, monkeypatch):
+    df = spark.range(4000).select(
+        "id", (F.col("id") * 7919 % 4000 / 4000.0).alias("x"), (F.col("id") % 3).alias("k")
+    ).withColumn("y", ((F.col("x") > 0.37) != (F.col("k") == 1)).cast("int"))
+    ready = prep.fit_preprocessor(df, ["x", "k"])
+    hashed = models._ready(df.withColumn(models.PART_HASH, models._content(df)), ready, "y")
+    monkeypatch.setattr(models, "CELL_ROWS", 900)
+    cells = models.weighted_cells(hashed, "y", 4000).toPandas()
+    assert cells[models.WEIGHT].sum() == 4000 and cells.features.map(lambda v: v[0]).nunique() <= models.LEVELS
+    assert len(cells) <= 1000 and set(cells.features.map(lambda v: v[1])) == {0.0, 1.0, 2.0}
+    model = models.fit_model(df, ready, models.boosted_trees("y", maxIter=8), "y")
+    assert models.add_predictions(df, model).where("prediction = y").count() > 3900
+    assert attribution.leaves_of(attribution.node_table(spark, model.stages[-1]), model.stages[-1].treeWeights)
+    roots = attribution.node_table(spark, model.stages[-1]).where("id = 0").toPandas()
+    assert roots["cover"].between(2400, 4000).all()  # rows, of which a tree samples 80 %
