@@ -161,3 +161,20 @@ def test_boosting_counts_rows_into_cells(spark, monkeypatch):
     assert attribution.leaves_of(attribution.node_table(spark, model.stages[-1]), model.stages[-1].treeWeights)
     roots = attribution.node_table(spark, model.stages[-1]).where("id = 0").toPandas()
     assert roots["cover"].between(2400, 4000).all()  # rows, of which a tree samples 80 %
+
+
+def test_forests_walk_each_cell_once(spark, monkeypatch):
+    df = spark.range(3000).select("id", (F.col("id") % 1000 / 1000.0).alias("x"), (F.col("id") % 2).alias("z"))
+    df = df.withColumn("y", (F.col("x") > 0.4).cast("int"))
+    ready = prep.fit_preprocessor(df, ["x", "z"]).transform(df)
+    model = models.RandomForestClassifier(labelCol="y", featuresCol="features", numTrees=5, maxDepth=4, seed=1).fit(ready)
+    forest = forests.forest_arrays(forests.node_table(spark, model))
+    x = np.array([r.features.toArray() for r in ready.orderBy("id").select("features").collect()])
+    want = forest.shares(x, [2, 4], [3, 5])
+    points = [{"maxDepth": d, "numTrees": t} for d in (2, 4) for t in (3, 5)]
+    rows = {r["id"]: r["shares"] for r in forests.nested_scores(ready, "features", forest, points, ["id"]).collect()}
+    assert np.allclose([rows[i] for i in range(3000)], want.reshape(3000, 4))
+    cells, place = np.unique(forest.cells(x), axis=0, return_inverse=True)
+    assert len(cells) < 300
+    for k in range(len(cells)):
+        assert np.ptp(want[place == k], axis=0).max() == 0
