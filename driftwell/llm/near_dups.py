@@ -10,8 +10,10 @@ its errors. Pairs within the distance connect candidate groups; inside these, li
 confirmed on the full sets, and connected components follow the confirmed links.
 
 Groups are never gathered whole. Buckets and candidate groups of more than BLOCK members
-are dealt into blocks, and every two blocks meet in a task of their own. A task keeps the
-links that connect something new: at most one fewer than its members, not all pairs.
+are dealt into blocks, twice, and a block's members meet. Where that leaves a group in
+several parts, every two blocks meet in a task of their own, for pairs of different parts.
+A task keeps the links that connect something new: at most one fewer than the members, or
+the parts, that it sees, not all pairs.
 """
 
 from __future__ import annotations
@@ -182,29 +184,73 @@ class Forest:
         return True
 
 
-def _meetings(members: DataFrame, group: str, extra: list[str]) -> DataFrame:
-    """Deals members of each group (columns group, node, extra) to pairs of blocks, side
-    by side in one task: columns group, first, second, block and theirs. Groups of one
-    member are left out."""
-    sizes = members.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
+def _dealt(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
+    """Members (columns group, node and others) of the groups in ``sizes`` (group, _n) with
+    their block."""
     blocks = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
-    held = members.join(sizes, group).withColumns(
+    return members.join(sizes, group).withColumns(
         {"_blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")}
     )
-    # A member of block b meets every block: (least, greatest) of b and the other.
-    return held.select(
-        group, "node", *extra, "block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    ).select(
-        group, "node", *extra, "block",
+
+
+def _own_blocks(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
+    """Meetings inside blocks: members of each group with columns first, second and block,
+    side by side in one task where they agree in the first two. Groups of several blocks are
+    dealt once more by another hash, which brings members of different blocks together."""
+    again = F.col("_blocks") + F.pmod(F.xxhash64("node", F.lit(1)), F.col("_blocks")).cast("int")
+    deals = F.when(F.col("_blocks") > 1, F.array("block", again)).otherwise(F.array("block"))
+    return _dealt(members, sizes, group).select(
+        *members.columns, "block", F.explode(deals).alias("first")
+    ).withColumn("second", F.col("first"))
+
+
+def _across_blocks(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
+    """Meetings of every two blocks: a member of block b meets every other, in the meeting
+    (least, greatest) of b and the other."""
+    return _dealt(members, sizes, group).select(
+        *members.columns, "block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    ).where(F.col("block") != F.col("_other")).select(
+        *members.columns, "block",
         F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"),
     )
 
 
-def _links(meetings: DataFrame, group: str, extra: list[str], scan: Callable) -> DataFrame:
-    """Rows a, b: per task and meeting, links that connect its members; ``scan`` gets the
-    columns of some whole meetings, sorted, as numpy arrays and yields positions i, j."""
+def _connected(
+    members: DataFrame,
+    sizes: DataFrame,
+    group: str,
+    extra: list[str],
+    scan: Callable,
+    complete: Callable[[DataFrame], DataFrame] = lambda meetings: meetings,
+) -> DataFrame:
+    """Links (a, b) that connect all members of each group that pairs of ``scan`` connect.
+
+    ``sizes`` has the groups of more than one member (columns group, _n) and has been
+    written down; ``complete`` adds columns of ``extra`` that members don't have. A group
+    that its own blocks' meetings connect costs work and links in proportion to its size.
+    In others, members of different parts still meet pair by pair.
+    """
+    links = _links(complete(_own_blocks(members, sizes, group)), group, extra, scan)
+    large = sizes.where(F.col("_n") > BLOCK)
+    if large.isEmpty():
+        return links
+    parts = stored(components(links), "near-blocks").select("node", F.col("comp").alias("part"))
+    known = members.join(large.select(group), group).join(parts, "node", "left")
+    known = known.withColumn("part", F.coalesce("part", "node"))
+    apart = known.groupBy(group).agg(
+        F.count("*").alias("_n"), F.min("part").alias("_least"), F.max("part").alias("_most")
+    )
+    apart = stored(apart.where(F.col("_least") != F.col("_most")).select(group, "_n"), "near-apart")
+    across = _links(complete(_across_blocks(known, apart, group)), group, extra, scan, "part")
+    return parts.select(F.col("node").alias("a"), F.col("part").alias("b")).unionByName(across)
+
+
+def _links(meetings: DataFrame, group: str, extra: list[str], scan: Callable, known: str = "node") -> DataFrame:
+    """Rows a, b: links that connect members of meetings; ``scan`` gets the columns of some
+    whole meetings, sorted, as numpy arrays, and numbers of what is ``known`` to be
+    connected, and yields positions i, j."""
     keys = [group, "first", "second"]
-    columns = [*keys, "block", "node", *extra]
+    columns = list(dict.fromkeys([*keys, "block", "node", known, *extra]))
     dealt = meetings.select(*columns).repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -238,7 +284,8 @@ def _links(meetings: DataFrame, group: str, extra: list[str], scan: Callable) ->
             group_no[1:] = np.cumsum(np.any([c[k][1:] != c[k][:-1] for k in keys], 0))
             # In a meeting of two blocks, only pairs across them are new.
             across = c["first"] != c["second"]
-            pairs = list(scan(c, group_no, across))
+            part = np.unique(c[known], return_inverse=True)[1]
+            pairs = list(scan(c, group_no, across, part))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(c["node"][i]) for i, _ in pairs], pa.int64()), pa.array([int(c["node"][j]) for _, j in pairs], pa.int64())],
                 ["a", "b"],
@@ -247,8 +294,10 @@ def _links(meetings: DataFrame, group: str, extra: list[str], scan: Callable) ->
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _near(c: dict, group_no: np.ndarray, across: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of pairs of a meeting whose signatures are within the limit."""
+def _near(
+    c: dict, group_no: np.ndarray, across: np.ndarray, part: np.ndarray, limit: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of pairs of a meeting, of different parts, whose signatures are within the limit."""
     sig = np.frombuffer(b"".join(c["sig"].to_pylist()), np.uint8).reshape(-1, POSITIONS)
     rows = np.arange(len(group_no))
     for s in range(1, len(group_no)):
@@ -256,12 +305,12 @@ def _near(c: dict, group_no: np.ndarray, across: np.ndarray, limit: int) -> Iter
         i = i[group_no[i + s] == group_no[i]]
         if not len(i):
             return
-        i = i[~across[i] | (c["block"][i] != c["block"][i + s])]
+        i = i[(~across[i] | (c["block"][i] != c["block"][i + s])) & (part[i] != part[i + s])]
         for lo in range(0, len(i), 1 << 16):
-            part = i[lo : lo + (1 << 16)]
-            close = (sig[part] != sig[part + s]).sum(1) <= limit
+            some = i[lo : lo + (1 << 16)]
+            close = (sig[some] != sig[some + s]).sum(1) <= limit
             if close.any():
-                yield part[close], part[close] + s
+                yield some[close], some[close] + s
 
 
 def candidate_links(classes: DataFrame, limit: int) -> DataFrame:
@@ -298,21 +347,23 @@ def candidate_links(classes: DataFrame, limit: int) -> DataFrame:
 
     full = buckets.repartition("key").sortWithinPartitions("key").mapInArrow(shared, "key long, node long")
     full = stored(full, "near-buckets")
-    meetings = _meetings(full, "key", []).join(classes.select("node", "sig"), "node")
+    sizes = stored(full.groupBy("key").agg(F.count("*").alias("_n")), "near-sizes")
+    signed = classes.select("node", "sig")
 
-    def scan(c, group_no, across):
+    def scan(c, group_no, across, part):
         forest = Forest(len(group_no))
-        for i, j in _near(c, group_no, across, limit):
+        for i, j in _near(c, group_no, across, part, limit):
             for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                if forest.join(x, y):
+                if forest.join(int(part[x]), int(part[y])):
                     yield x, y
 
-    return _links(meetings, "key", ["sig"], scan)
+    return _connected(full, sizes, "key", ["sig"], scan, lambda meetings: meetings.join(signed, "node"))
 
 
-def confirmed_links(members: DataFrame, limit: int, threshold: float) -> DataFrame:
+def confirmed_links(members: DataFrame, sizes: DataFrame, limit: int, threshold: float) -> DataFrame:
     """Links (a, b) that connect all classes of a candidate group whose full sets are as
-    alike as ``threshold``: columns comp, node, sig, text."""
+    alike as ``threshold``: columns comp, node, sig, text. ``sizes`` (comp, _n) has been
+    written down."""
     percent = round(threshold * 100)
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,24 +378,24 @@ def confirmed_links(members: DataFrame, limit: int, threshold: float) -> DataFra
     sets = members.select("comp", "node", "sig", "text").mapInArrow(
         shingle, "comp long, node long, sig binary, shingles binary"
     )
-    meetings = _meetings(sets, "comp", ["sig", "shingles"])
 
-    def scan(c, group_no, across):
+    def scan(c, group_no, across, part):
         forest = Forest(len(group_no))
         raw = c["shingles"].to_pylist()
-        for i, j in _near(c, group_no, across, limit):
+        for i, j in _near(c, group_no, across, part, limit):
             for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                if forest.root(x) == forest.root(y):
+                p, q = int(part[x]), int(part[y])
+                if forest.root(p) == forest.root(q):
                     continue
                 a, b = np.frombuffer(raw[x], np.uint64), np.frombuffer(raw[y], np.uint64)
                 if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
                     continue
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 if 100 * both >= percent * (len(a) + len(b) - both):
-                    forest.join(x, y)
+                    forest.join(p, q)
                     yield x, y
 
-    return _links(meetings, "comp", ["sig", "shingles"], scan)
+    return _connected(sets, sizes, "comp", ["sig", "shingles"], scan)
 
 
 # --- components -------------------------------------------------------------
@@ -448,7 +499,8 @@ def near_duplicates(
     )
     one = (F.col("_hash") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))
     members = company.join(texts, one).select("node", "comp", "sig", "text").dropDuplicates(["node"])
-    parts = stored(components(confirmed_links(members, limit, threshold)), "near-parts")
+    sizes = stored(groups.groupBy("comp").agg(F.count("*").alias("_n")), "near-sizes")
+    parts = stored(components(confirmed_links(members, sizes, limit, threshold)), "near-parts")
     labels = classes.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = labels.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = labels.join(ids, "comp").select("node", "comp", "component_id")

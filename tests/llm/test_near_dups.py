@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import tempfile
 from collections import Counter
 
 import numpy as np
@@ -67,6 +68,38 @@ def test_large_groups_meet_in_blocks(spark, monkeypatch):
     assert len(set(least[:120])) > 1
 
 
+def test_links_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    limit, made = N.distance_limit(0.85), []
+    base = rng.integers(0, 256, N.POSITIONS)
+    for n in (64, 512):  # each differs from the base in two positions
+        sigs = np.repeat(base[None, :], n, 0).astype(np.uint8)
+        for row in sigs:
+            row[rng.choice(N.POSITIONS, 2, replace=False)] ^= 1
+        path = f"{tempfile.mkdtemp()}/classes"
+        spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "node long, sig binary").write.parquet(path)
+        links = [tuple(r) for r in N.candidate_links(spark.read.parquet(path), limit).collect()]
+        forest = N.Forest(n)
+        assert sum(forest.join(a, b) for a, b in links) == n - 1
+        made.append(len(links))
+    assert made[1] <= 12 * made[0]
+
+
+def test_a_chain_through_blocks_is_one_component(spark, monkeypatch):
+    """Each text is near the next one only, so most links are across blocks."""
+    monkeypatch.setattr(N, "BLOCK", 8)
+    rng = random.Random(8)
+    words, rows = [f"w{rng.randrange(10**6)}" for _ in range(200)], []
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        for k in range(3):
+            words[(37 * i + 61 * k) % 200] = f"x{rng.randrange(10**6)}"
+    _, least = brute(rows, 80)
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 0.8).collect()}
+    assert got == {r[0]: c for r, c in zip(rows, least, strict=True)}
+
+
 def test_one_row_of_each_group_stays(spark, awkward, rows, nothing):
     kept = N.drop_near_duplicates(awkward, 0.8)
     assert kept.columns == awkward.columns
