@@ -11,7 +11,7 @@ confirmed on the full sets, and connected components follow the confirmed links.
 
 Groups are never gathered whole. Buckets and candidate groups of more than BLOCK members
 are dealt into blocks, twice, and a block's members meet. Where that leaves a group in
-several parts, every two blocks meet in a task of their own, for pairs of different parts.
+several parts, members outside the largest meet all of other parts, two blocks in a task.
 A task keeps the links that connect something new: at most one fewer than the members, or
 the parts, that it sees, not all pairs.
 """
@@ -184,32 +184,32 @@ class Forest:
         return True
 
 
-def _dealt(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
-    """Members (columns group, node and others) of the groups in ``sizes`` (group, _n) with
-    their block."""
+def _own_blocks(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
+    """Meetings inside blocks: members (columns group, node and others) of the groups in
+    ``sizes`` (group, _n) with columns first, second and block, side by side in one task
+    where they agree in the first two. Groups of several blocks are dealt once more by
+    another hash, which brings members of different blocks together."""
     blocks = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
-    return members.join(sizes, group).withColumns(
-        {"_blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")}
+    again = blocks + F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    deals = F.when(blocks > 1, F.array(block, again)).otherwise(F.array(block))
+    return members.join(sizes, group).select(*members.columns, F.explode(deals).alias("first")).withColumns(
+        {"second": F.col("first"), "block": F.col("first")}
     )
 
 
-def _own_blocks(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
-    """Meetings inside blocks: members of each group with columns first, second and block,
-    side by side in one task where they agree in the first two. Groups of several blocks are
-    dealt once more by another hash, which brings members of different blocks together."""
-    again = F.col("_blocks") + F.pmod(F.xxhash64("node", F.lit(1)), F.col("_blocks")).cast("int")
-    deals = F.when(F.col("_blocks") > 1, F.array("block", again)).otherwise(F.array("block"))
-    return _dealt(members, sizes, group).select(
-        *members.columns, "block", F.explode(deals).alias("first")
-    ).withColumn("second", F.col("first"))
-
-
-def _across_blocks(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
-    """Meetings of every two blocks: a member of block b meets every other, in the meeting
-    (least, greatest) of b and the other."""
-    return _dealt(members, sizes, group).select(
-        *members.columns, "block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    ).where(F.col("block") != F.col("_other")).select(
+def _across_blocks(members: DataFrame, apart: DataFrame, group: str) -> DataFrame:
+    """Meetings of members of different parts: those of a group's main part have blocks of
+    their own, which don't meet each other; any two other blocks do, and the members of any
+    other one. ``apart``: columns group, _main (its part), _in and _out (members in it and not)."""
+    inner, outer = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("_in", "_out"))
+    own, number = F.col("part") == F.col("_main"), F.xxhash64("node")
+    block = F.when(own, F.pmod(number, inner)).otherwise(inner + F.pmod(number, outer)).cast("int")
+    start = F.when(own, inner).otherwise(F.lit(0))
+    # A member of block b is in the meetings (least, greatest) of b and each block it meets.
+    return members.join(apart, group).select(
+        *members.columns, block.alias("block"), F.explode(F.sequence(start, inner + outer - 1)).alias("_other")
+    ).select(
         *members.columns, "block",
         F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"),
     )
@@ -227,8 +227,8 @@ def _connected(
 
     ``sizes`` has the groups of more than one member (columns group, _n) and has been
     written down; ``complete`` adds columns of ``extra`` that members don't have. A group
-    that its own blocks' meetings connect costs work and links in proportion to its size.
-    In others, members of different parts still meet pair by pair.
+    that its own blocks' meetings connect costs work and links in proportion to its size;
+    in others, members outside the largest part then meet all members of other parts.
     """
     links = _links(complete(_own_blocks(members, sizes, group)), group, extra, scan)
     large = sizes.where(F.col("_n") > BLOCK)
@@ -237,10 +237,14 @@ def _connected(
     parts = stored(components(links), "near-blocks").select("node", F.col("comp").alias("part"))
     known = members.join(large.select(group), group).join(parts, "node", "left")
     known = known.withColumn("part", F.coalesce("part", "node"))
-    apart = known.groupBy(group).agg(
-        F.count("*").alias("_n"), F.min("part").alias("_least"), F.max("part").alias("_most")
-    )
-    apart = stored(apart.where(F.col("_least") != F.col("_most")).select(group, "_n"), "near-apart")
+    main = F.max(F.struct("_c", "part"))
+    apart = (
+        known.groupBy(group, "part").agg(F.count("*").alias("_c"))
+        .groupBy(group).agg(main.alias("_most"), F.sum("_c").alias("_n"))
+        .select(group, F.col("_most.part").alias("_main"), F.col("_most._c").alias("_in"), (F.col("_n") - F.col("_most._c")).alias("_out"))
+        .where(F.col("_out") > 0)
+    )
+    apart = stored(apart, "near-apart")
     across = _links(complete(_across_blocks(known, apart, group)), group, extra, scan, "part")
     return parts.select(F.col("node").alias("a"), F.col("part").alias("b")).unionByName(across)
 
