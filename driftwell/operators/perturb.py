@@ -136,28 +136,33 @@ def permute_columns(
     rows where there are more than the shuffle tasks would give; a key that repeats is
     refused.
     """
-    rows = require_row_key(df, key)
-    buckets = buckets or max(4 * range_buckets(df.sparkSession), -(-rows // SLICE_ROWS))
-    base = dense_index(
-        df.withColumn("draw__", keyed_uniform(key, f"{seed}-rows")),
-        "draw__",
-        key,
-        "row__",
-        buckets,
-    ).drop("draw__", *columns)
-    out = base
+    buckets = buckets or slices(df, key)
+    out = numbered_rows(df, key, seed, buckets).drop(*columns)
     for c in columns:
-        values = dense_index(
-            df.select(*key, F.col(c).alias("value__"), keyed_uniform(key, f"{seed}-{c}").alias("draw__")),
-            "draw__",
-            key,
-            "row__",
-            buckets,
-        ).select("row__", F.col("value__").alias(c))
-        out = out.join(values, "row__")
+        out = out.join(numbered_values(df, c, key, seed, buckets), "row__")
     return out.select(*df.columns)
 
 
+def slices(df: DataFrame, key: Sequence[str]) -> int:
+    """Into how many slices rows are numbered; refuses a key that repeats."""
+    rows = require_row_key(df, key)
+    return max(4 * range_buckets(df.sparkSession), -(-rows // SLICE_ROWS))
+
+
+def numbered_rows(df: DataFrame, key: Sequence[str], seed: str, buckets: int) -> DataFrame:
+    """The rows, ``row__`` being their number; it's the same for all columns to permute."""
+    drawn = df.withColumn("draw__", keyed_uniform(key, f"{seed}-rows"))
+    return dense_index(drawn, "draw__", key, "row__", buckets).drop("draw__")
+
+
+def numbered_values(df: DataFrame, column: str, key: Sequence[str], seed: str, buckets: int) -> DataFrame:
+    """(row__, column): the values, numbered in the column's own order."""
+    drawn = df.select(
+        *key, F.col(column).alias("value__"), keyed_uniform(key, f"{seed}-{column}").alias("draw__")
+    )
+    return dense_index(drawn, "draw__", key, "row__", buckets).select("row__", F.col("value__").alias(column))
+
+
 def require_row_key(df: DataFrame, key: Sequence[str]) -> int:
     """The number of rows; refuses a key that two rows share, as it doesn't identify rows,
     at any table size.

@@ -276,6 +276,27 @@ def test_permutation_importance_finds_the_used_feature(spark):
     assert got["used"] > 0.4 and got["unused"] == 0.0
 
 
+def test_permutation_importance_numbers_rows_once(spark, monkeypatch):
+    from driftwell.operators import perturb
+    from driftwell.operators.quality import auc
+
+    checked, check = [], perturb.require_row_key
+    monkeypatch.setattr(perturb, "require_row_key", lambda *a: checked.append(1) or check(*a))
+    df = spark.range(500).select(
+        "id", F.when(F.col("id") % 9 > 0, F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"),
+        (F.col("id") % 7 > 3).cast("int").alias("y"),
+    )
+    scorer = lambda d: models.scorecard(d, -3.5, {"a": 1.0, "b": 0.1})
+    rows = attribution.permutation_importance(df, ["a", "b"], scorer, "y", "score", ["id"]).collect()
+    assert len(checked) == 1
+    base = auc(scorer(df), "y", "score").first()["auc"]
+    for r in rows:
+        after = auc(scorer(perturb.permute_columns(df, [r["feature"]], ["id"], "importance")), "y", "score")
+        assert r["importance"] == base - after.first()["auc"]
+    with pytest.raises(ValueError):
+        attribution.permutation_importance(df.union(df), ["a"], scorer, "y", "score", ["id"])
+
+
 def test_grid_search(spark, credit):
     df = credit.withColumn("credit_risk", (F.col("status") > 2).cast("int"))
     prepared = prep.fit_preprocessor(df, FEATURES)
