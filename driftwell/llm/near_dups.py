@@ -198,19 +198,21 @@ def _own_blocks(members: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
     )
 
 
-def _across_blocks(members: DataFrame, apart: DataFrame, group: str) -> DataFrame:
+def _across_blocks(members: DataFrame, group: str) -> DataFrame:
     """Meetings of members of different parts: those of a group's main part have blocks of
     their own, which don't meet each other; any two other blocks do, and the members of any
-    other one. ``apart``: columns group, _main (its part), _in and _out (members in it and not)."""
+    other one. ``members`` have their group's _main (its part), _in and _out (members in it
+    and not) beside them."""
+    columns = [c for c in members.columns if c not in ("_main", "_in", "_out")]
     inner, outer = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("_in", "_out"))
     own, number = F.col("part") == F.col("_main"), F.xxhash64("node")
     block = F.when(own, F.pmod(number, inner)).otherwise(inner + F.pmod(number, outer)).cast("int")
     start = F.when(own, inner).otherwise(F.lit(0))
     # A member of block b is in the meetings (least, greatest) of b and each block it meets.
-    return members.join(apart, group).select(
-        *members.columns, block.alias("block"), F.explode(F.sequence(start, inner + outer - 1)).alias("_other")
+    return members.select(
+        *columns, block.alias("block"), F.explode(F.sequence(start, inner + outer - 1)).alias("_other")
     ).select(
-        *members.columns, "block",
+        *columns, "block",
         F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"),
     )
 
@@ -221,21 +223,24 @@ def _connected(
     group: str,
     extra: list[str],
     scan: Callable,
+    ready: Callable[[DataFrame], DataFrame] = lambda members: members,
     complete: Callable[[DataFrame], DataFrame] = lambda meetings: meetings,
 ) -> DataFrame:
     """Links (a, b) that connect all members of each group that pairs of ``scan`` connect.
 
-    ``sizes`` has the groups of more than one member (columns group, _n) and has been
-    written down; ``complete`` adds columns of ``extra`` that members don't have. A group
-    that its own blocks' meetings connect costs work and links in proportion to its size;
-    in others, members outside the largest part then meet all members of other parts.
+    ``members`` and ``sizes``, which has the groups of more than one member (columns group,
+    _n), have been written down, as both are read more than once. Columns of ``extra`` that
+    members don't have are added by ``ready`` before they are dealt, or by ``complete`` to
+    their meetings. A group that its own blocks' meetings connect costs work and links in
+    proportion to its size; in others, members outside the largest part then meet all
+    members of other parts, and only theirs are read once more.
     """
-    links = _links(complete(_own_blocks(members, sizes, group)), group, extra, scan)
+    links = _links(complete(_own_blocks(ready(members), sizes, group)), group, extra, scan)
     large = sizes.where(F.col("_n") > BLOCK)
     if large.isEmpty():
         return links
     parts = stored(components(links), "near-blocks").select("node", F.col("comp").alias("part"))
-    known = members.join(large.select(group), group).join(parts, "node", "left")
+    known = members.select(group, "node").join(large.select(group), group).join(parts, "node", "left")
     known = known.withColumn("part", F.coalesce("part", "node"))
     main = F.max(F.struct("_c", "part"))
     apart = (
@@ -245,7 +250,8 @@ def _connected(
         .where(F.col("_out") > 0)
     )
     apart = stored(apart, "near-apart")
-    across = _links(complete(_across_blocks(known, apart, group)), group, extra, scan, "part")
+    meeting = ready(members.join(known.join(apart, group), [group, "node"]))
+    across = _links(complete(_across_blocks(meeting, group)), group, extra, scan, "part")
     return parts.select(F.col("node").alias("a"), F.col("part").alias("b")).unionByName(across)
 
 
@@ -361,27 +367,28 @@ def candidate_links(classes: DataFrame, limit: int) -> DataFrame:
                 if forest.join(int(part[x]), int(part[y])):
                     yield x, y
 
-    return _connected(full, sizes, "key", ["sig"], scan, lambda meetings: meetings.join(signed, "node"))
+    return _connected(full, sizes, "key", ["sig"], scan, complete=lambda meetings: meetings.join(signed, "node"))
 
 
 def confirmed_links(members: DataFrame, sizes: DataFrame, limit: int, threshold: float) -> DataFrame:
     """Links (a, b) that connect all classes of a candidate group whose full sets are as
-    alike as ``threshold``: columns comp, node, sig, text. ``sizes`` (comp, _n) has been
-    written down."""
+    alike as ``threshold``: columns comp, node, sig, text. ``members`` and ``sizes``
+    (comp, _n) have been written down."""
     percent = round(threshold * 100)
 
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles()
-        for b in batches:
-            sets = [shingles(t).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("comp"), b.column("node"), b.column("sig"), pa.array(sets, pa.binary())],
-                ["comp", "node", "sig", "shingles"],
-            )
+    def shingled(rows: DataFrame) -> DataFrame:
+        """Rows with the column shingles in place of the text."""
+        names = [c for c in rows.columns if c != "text"]
 
-    sets = members.select("comp", "node", "sig", "text").mapInArrow(
-        shingle, "comp long, node long, sig binary, shingles binary"
-    )
+        def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shingles = Shingles()
+            for b in batches:
+                sets = [shingles(t).tobytes() for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(b.column, names), pa.array(sets, pa.binary())], [*names, "shingles"]
+                )
+
+        return rows.mapInArrow(shingle, rows.drop("text").schema.add("shingles", "binary"))
 
     def scan(c, group_no, across, part):
         forest = Forest(len(group_no))
@@ -399,7 +406,7 @@ def confirmed_links(members: DataFrame, sizes: DataFrame, limit: int, threshold:
                     forest.join(p, q)
                     yield x, y
 
-    return _connected(sets, sizes, "comp", ["sig", "shingles"], scan)
+    return _connected(members, sizes, "comp", ["sig", "shingles"], scan, shingled)
 
 
 # --- components -------------------------------------------------------------
@@ -503,6 +510,7 @@ def near_duplicates(
     )
     one = (F.col("_hash") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))
     members = company.join(texts, one).select("node", "comp", "sig", "text").dropDuplicates(["node"])
+    members = stored(members, "near-members")
     sizes = stored(groups.groupBy("comp").agg(F.count("*").alias("_n")), "near-sizes")
     parts = stored(components(confirmed_links(members, sizes, limit, threshold)), "near-parts")
     labels = classes.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -526,14 +534,16 @@ def drop_near_duplicates(
     alone = F.when(F.col("comp").isNull(), F.struct("doc_id", "text_hash"))
     keys = (
         found.groupBy("comp", alone.alias("alone"))
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
-        .select(F.col("key.doc_id").alias("_key_id"), F.col("key.text_hash").alias("_key_hash"))
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("_key"))
+        .select("_key")
     )
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_hash"))
-    same = F.col("_id").eqNullSafe(F.col("_key_id")) & (F.col("_hash") == F.col("_key_hash"))
-    again = Window.partitionBy("_hash", "_id").orderBy("_hash")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    # A struct equals another one with the same nulls. Joined and numbered by one column
+    # of the same type, nulls allowed, rows are dealt once.
+    key = F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"))
+    key = key.cast(keys.schema["_key"].dataType)
+    again = Window.partitionBy("_key").orderBy("_key")
     return (
-        marked.join(keys, same).withColumn("_again", F.row_number().over(again))
+        docs.select(row, key.alias("_key")).join(keys, "_key").withColumn("_again", F.row_number().over(again))
         .where(F.col("_again") == 1).select("row.*")
     )

@@ -100,6 +100,59 @@ def test_a_chain_through_blocks_is_one_component(spark, monkeypatch):
     assert got == {r[0]: c for r, c in zip(rows, least, strict=True)}
 
 
+def test_texts_are_read_twice_however_groups_meet(spark, monkeypatch):
+    """Once for signatures and once for links, also where members meet across blocks."""
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rng = random.Random(8)
+    words, rows = [f"w{rng.randrange(10**6)}" for _ in range(200)], []
+    for i in range(40):
+        rows.append((i, " ".join(words)))
+        for k in range(3):
+            words[(37 * i + 61 * k) % 200] = f"x{rng.randrange(10**6)}"
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    stored, across = N.stored, []
+
+    def noted(df, label):
+        out = stored(df, label)
+        if label == "near-apart":
+            across.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "stored", noted)
+    schema = "doc_id long, text string"
+    got = N.near_duplicates(spark.createDataFrame(rows, schema).mapInArrow(counted, schema), 0.8).collect()
+    assert len(across) == 2 and across[1] > 0
+    assert len({r["component_id"] for r in got}) == len(set(brute(rows, 80)[1]))
+    assert read.value == 2 * len(rows)
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_kept_rows_are_dealt_once(spark, capsys, broadcast):
+    text = "one two three four five six seven"
+    rows = [(None, text)] * 2 + [(2, text), (2, text), (4, text)] + [(None, None)] * 2 + [(1, None), (1, None), (1, "")]
+    rows += [(None, "some other words without an id")] * 3
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        kept = N.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = Counter(map(tuple, kept.collect()))
+        capsys.readouterr()
+        kept.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == Counter([(2, text), (None, None), (1, None), (1, ""), (None, "some other words without an id")])
+    above = capsys.readouterr().out.split("== Initial Plan ==")[0].split("Join")[0]
+    assert "Window" in above
+    if broadcast == "-1":
+        assert "Exchange" not in above
+
+
 def test_one_row_of_each_group_stays(spark, awkward, rows, nothing):
     kept = N.drop_near_duplicates(awkward, 0.8)
     assert kept.columns == awkward.columns
