@@ -250,8 +250,9 @@ def _connected(
         .where(F.col("_out") > 0)
     )
     apart = stored(apart, "near-apart")
-    meeting = ready(members.join(known.join(apart, group), [group, "node"]))
-    across = _links(complete(_across_blocks(meeting, group)), group, extra, scan, "part")
+    # First by the groups, a small table, so that only their members are moved.
+    meeting = members.join(apart, group).join(known.select(group, "node", "part"), [group, "node"])
+    across = _links(complete(_across_blocks(ready(meeting), group)), group, extra, scan, "part")
     return parts.select(F.col("node").alias("a"), F.col("part").alias("b")).unionByName(across)
 
 
